@@ -35,7 +35,7 @@ def parse_mixed_date(
     Each pattern only accepts its own form, and ``try_to_date`` gives NULL
     instead of failing the task on text that does not parse.
     """
-    return F.coalesce(*[F.try_to_date(text, F.lit(p)) for p in (*first, *then)])
+    return F.coalesce(*[F.try_to_date(text, p) for p in (*first, *then)])
 
 
 def explode_json_list(

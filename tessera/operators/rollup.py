@@ -28,8 +28,15 @@ def priority_rank(value: Column, order: Sequence[str]) -> Column:
 
 
 def value_of_rank(rank: Column, order: Sequence[str]) -> Column:
-    listed = F.array(*[F.lit(v) for v in order])
-    return F.element_at(listed, rank.cast("int"))
+    """Inverse of :func:`priority_rank`; NULL rank gives NULL.
+
+    Written as a CASE chain: on Spark 4.1, ``element_at`` over a literal
+    array returned the last element for a NULL index instead of NULL.
+    """
+    expr = F.when(rank == 1, F.lit(order[0]))
+    for i, v in enumerate(order[1:], start=2):
+        expr = expr.when(rank == i, F.lit(v))
+    return expr
 
 
 def best_by_priority(

@@ -41,7 +41,9 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "engagement_locale": live.engagement_locale,
     "engagement_org_rep": live.engagement_org_rep,
     "engagement_eligibility": live.engagement_dimension,
-    "section_lookup": live.section_lookup,
+    "section_lookup": lambda t: live.section_lookup(t).withColumnsRenamed(
+        {"__is_ot": "is_ot", "__is_nt": "is_nt"}
+    ),
     "product_prep": live.prepared_products,
     "project_status": _project_status,
     "status_presence": lambda t: live.status_presence(_project_status(t)),

@@ -19,7 +19,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NULL_STR = F.lit(None).cast("string")
+def _null() -> Column:
+    return F.lit(None).cast("string")
 
 
 def _tag(prefix: str, c: Column) -> Column:
@@ -52,11 +53,11 @@ def ietf_languages_codes(t: TestTables) -> DataFrame:
         key.alias("ietf_id"),
         F.col("p_name").alias("primary_anglicized_name"),
         F.when(size % 3 == 0, F.lit(""))
-        .when(size % 7 == 0, NULL_STR)
+        .when(size % 7 == 0, _null())
         .otherwise(F.col("p_type"))
         .alias("alternative_names"),
         _tag("st", key).alias("subtag_new"),
-        F.when(key % 17 == 0, NULL_STR).otherwise(_tag("i", key - key % 5)).alias("iso_639_2"),
+        F.when(key % 17 == 0, _null()).otherwise(_tag("i", key - key % 5)).alias("iso_639_2"),
     )
 
 
@@ -66,7 +67,7 @@ def language_engagements(t: TestTables) -> DataFrame:
     return c.select(
         key.alias("language_engagement_id"),
         F.when(key % 41 == 40, F.lit(None).cast("bigint")).otherwise(key - key % 3).alias("ietf_id"),
-        F.when(key % 13 == 0, NULL_STR).otherwise(_tag("C", F.col("c_nationkey"))).alias("country_id"),
+        F.when(key % 13 == 0, _null()).otherwise(_tag("C", F.col("c_nationkey"))).alias("country_id"),
         (key % 9).alias("uw_rep_id"),
         (key % 12).alias("translation_organization_id"),
     )
@@ -130,17 +131,17 @@ def pb_language_data(t: TestTables) -> DataFrame:
         .when(size % 6 == 2, "Not Shown")
         .when(size % 6 == 3, "Goal Met")
         .when(size % 6 == 4, "")
-        .otherwise(NULL_STR)
+        .otherwise(_null())
     )
     return p.filter(key % 5 == 0).select(
-        F.when(key == 0, NULL_STR).otherwise(_tag("i", key)).alias("languagecode"),
+        F.when(key == 0, _null()).otherwise(_tag("i", key)).alias("languagecode"),
         F.col("p_name").alias("languagename"),
         F.col("p_type").alias("country"),
         _tag("C", key % 25).alias("countrycode"),
         status.alias("allaccessstatus"),
         F.col("p_brand").alias("allaccessgoal"),
         F.when(size % 2 == 0, "Yes").otherwise("No").alias("activetranslation"),
-        F.when(size % 4 == 0, NULL_STR).otherwise(F.col("p_type")).alias("completedscripture"),
+        F.when(size % 4 == 0, _null()).otherwise(F.col("p_type")).alias("completedscripture"),
         F.when(size % 5 == 0, F.lit(None).cast("int")).otherwise(F.lit(1970) + size).alias(
             "latestpublicationyear"
         ),
@@ -151,7 +152,7 @@ def bible_info(t: TestTables) -> DataFrame:
     p = t["part"]
     key = F.col("p_partkey")
     return p.filter(key <= 66).select(
-        F.when(key == 66, NULL_STR).otherwise(_tag("BK", key)).alias("scriptural_association"),
+        F.when(key == 66, _null()).otherwise(_tag("BK", key)).alias("scriptural_association"),
         F.when((key < 39) | (key == 66), "OT").otherwise("NT").alias("bible_section"),
     )
 
@@ -170,18 +171,18 @@ def uw_translation_products(t: TestTables) -> DataFrame:
     part70 = F.col("l_partkey") % 70
     status = (
         F.when(eng % 7 == 0, "Completed")
-        .when(eng % 7 == 1, F.when((line == 7) & (qty < 5), NULL_STR).otherwise("Planned"))
+        .when(eng % 7 == 1, F.when((line == 7) & (qty < 5), _null()).otherwise("Planned"))
         .when(eng % 7 == 2, F.when(line == 1, "In Progress").otherwise("Completed"))
         .when(eng % 7 == 3, F.when(line <= 3, "Not Scheduled").otherwise("Completed"))
         .when(
             eng % 7 == 4,
-            F.when(line <= 2, "Paused").when(qty < 3, NULL_STR).otherwise("Completed"),
+            F.when(line <= 2, "Paused").when(qty < 3, _null()).otherwise("Completed"),
         )
         .when(
             eng % 7 == 5,
             F.when((line == 1) & (qty < 10), "Inactive").otherwise("Completed"),
         )
-        .otherwise(F.when(qty < 5, NULL_STR).otherwise("Not Scheduled"))
+        .otherwise(F.when(qty < 5, _null()).otherwise("Not Scheduled"))
     )
     return x.select(
         eng,
@@ -199,10 +200,10 @@ def uw_translation_products(t: TestTables) -> DataFrame:
         .when(part70 == 66, "Bible")
         .when(part70 == 67, "NT")
         .when(part70 == 68, "OT")
-        .otherwise(NULL_STR)
+        .otherwise(_null())
         .alias("scriptural_association"),
         F.when(F.col("l_suppkey") % 3 == 0, "")
-        .when(F.col("l_suppkey") % 3 == 1, NULL_STR)
+        .when(F.col("l_suppkey") % 3 == 1, _null())
         .otherwise("Draft")
         .alias("scripture_text_name"),
         status.alias("product_status"),
@@ -215,7 +216,7 @@ def training_events(t: TestTables) -> DataFrame:
     return e.select(
         "event_id",
         F.when(kind == "error", "Networks PR")
-        .when(kind == "signup", NULL_STR)
+        .when(kind == "signup", _null())
         .otherwise(kind)
         .alias("Category of Training"),
     )
@@ -227,7 +228,7 @@ def joshua_project_data(t: TestTables) -> DataFrame:
     key = F.col("c_custkey")
     return c.select(
         F.col("c_name").alias("PeopNameInCountry"),
-        F.when(key % 19 == 0, NULL_STR).otherwise(_tag("R", F.col("c_nationkey"))).alias("ROG3"),
+        F.when(key % 19 == 0, _null()).otherwise(_tag("R", F.col("c_nationkey"))).alias("ROG3"),
         F.when(F.col("c_acctbal") < 0, "Y").otherwise("N").alias("LeastReached"),
         F.col("c_mktsegment").alias("PrimaryLanguageName"),
         _tag("i", (key % 400) * 5).alias("ROL3"),
@@ -259,7 +260,7 @@ def engagement_org_lists(t: TestTables) -> DataFrame:
     shape = key % 10
     text = (
         F.when(shape == 0, F.lit("[]"))
-        .when(shape == 1, NULL_STR)
+        .when(shape == 1, _null())
         .when(shape == 2, F.lit("not json"))
         .when(shape == 3, F.concat(F.lit("["), a, F.lit("]")))
         .when(shape <= 6, F.concat(F.lit("["), a, F.lit(", "), b, F.lit("]")))
@@ -280,7 +281,7 @@ def order_date_text(t: TestTables) -> DataFrame:
         .when(shape == 3, F.date_format(d, "M-d-yyyy"))
         .when(shape == 4, F.date_format(d, "MMM d, yyyy"))
         .when(shape == 5, F.lit("not a date"))
-        .otherwise(NULL_STR)
+        .otherwise(_null())
     )
     return o.select("o_orderkey", text.alias("start_date"))
 
@@ -290,7 +291,7 @@ def country_cross_reference(t: TestTables) -> DataFrame:
     n = t["nation"]
     key = F.col("n_nationkey")
     return n.select(
-        F.when(key == 5, NULL_STR).otherwise(_tag("R", key)).alias("ROG3"),
+        F.when(key == 5, _null()).otherwise(_tag("R", key)).alias("ROG3"),
         _tag("c", key).alias("ISO2"),
         F.upper(F.col("n_name")).alias("Ctry"),
     )
