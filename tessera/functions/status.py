@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import col, in_values
-from tessera.operators.rules import group_all, group_any, group_size
+from tessera.operators.rules import GroupValue, group_all, group_any, group_size
 
 # Product statuses the rules test for.
 INACTIVE = "Inactive"
@@ -112,7 +112,7 @@ def engagement_default_legacy(status: Column) -> Column:
     return F.when(status.isNull(), NO_STATUS_LISTED).otherwise(status)
 
 
-def live_group_values(status_col: str = "product_status") -> dict[str, Column]:
+def live_group_values(status_col: str = "product_status") -> dict[str, GroupValue]:
     s = col(status_col)
     return {
         COUNT_COL: group_size(),
@@ -165,7 +165,7 @@ def live_rules(
     ]
 
 
-def legacy_group_values(status_col: str = "product_status") -> dict[str, Column]:
+def legacy_group_values(status_col: str = "product_status") -> dict[str, GroupValue]:
     s = col(status_col)
     return {
         COUNT_COL: group_size(),

@@ -21,9 +21,9 @@ Group values can be attached two ways with identical results:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import col, null_safe_join
@@ -42,25 +42,34 @@ def first_match(cases: Sequence[tuple[Column, object]], default: object = None)
     return expr
 
 
-def group_any(cond: Column) -> Column:
-    """Aggregate: R's ``any(cond)`` as a definite boolean (NA counts as no)."""
-    return F.coalesce(F.bool_or(cond), F.lit(False))
+GroupValue = Callable[[WindowSpec | None], Column]
 
 
-def group_all(cond: Column) -> Column:
-    """Aggregate: R's ``all(cond)`` with NA meaning "not all" (NULL-strict)."""
-    return F.coalesce(F.bool_and(F.coalesce(cond, F.lit(False))), F.lit(False))
+def _over(agg: Column, window: WindowSpec | None) -> Column:
+    return agg if window is None else agg.over(window)
 
 
-def group_size() -> Column:
-    """Aggregate: R's ``n()``."""
-    return F.count(F.lit(1))
+def group_any(cond: Column) -> GroupValue:
+    """R's ``any(cond)`` per group as a definite boolean (NA counts as no)."""
+    return lambda w=None: F.coalesce(_over(F.bool_or(cond), w), F.lit(False))
+
+
+def group_all(cond: Column) -> GroupValue:
+    """R's ``all(cond)`` per group, NULL-strict: a NA row means "not all"."""
+    return lambda w=None: F.coalesce(
+        _over(F.bool_and(F.coalesce(cond, F.lit(False))), w), F.lit(False)
+    )
+
+
+def group_size() -> GroupValue:
+    """R's ``n()`` per group."""
+    return lambda w=None: _over(F.count(F.lit(1)), w)
 
 
 def with_group_values(
     df: DataFrame,
     keys: Sequence[str],
-    values: Mapping[str, Column],
+    values: Mapping[str, GroupValue],
     method: str = "aggregate",
 ) -> DataFrame:
     """Attach per-group aggregate ``values`` to every row of ``df``.
@@ -70,10 +79,10 @@ def with_group_values(
     """
     if method == "window":
         w = Window.partitionBy(*[col(k) for k in keys])
-        return df.select("*", *[agg.over(w).alias(name) for name, agg in values.items()])
+        return df.select("*", *[value(w).alias(name) for name, value in values.items()])
     if method != "aggregate":
         raise ValueError(f"unknown method {method!r}")
     per_group = df.groupBy(*[col(k).alias(k) for k in keys]).agg(
-        *[agg.alias(name) for name, agg in values.items()]
+        *[value(None).alias(name) for name, value in values.items()]
     )
     return null_safe_join(df, per_group, list(keys), "inner")

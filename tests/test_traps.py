@@ -1,0 +1,187 @@
+"""One test per semantic trap where R and Spark differ by default."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.functions.text import (
+    blank_to_null,
+    combined_name,
+    completed_scripture_label,
+    paste,
+    r_text,
+    strip_pattern_from_names,
+)
+from tessera.operators.joins import (
+    broadcast_if_small,
+    in_values,
+    left_join_split,
+    membership_lookup,
+    natural_join,
+    null_safe_join,
+)
+from tessera.operators.rollup import best_by_priority, pivot_presence
+from tessera.sources.schemas import SchemaError, conform
+
+
+def _sorted(rows):
+    return sorted((tuple(r) for r in rows), key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def test_null_keys_match_null(spark):
+    left = spark.createDataFrame([(1, "a"), (None, "b")], "k long, x string")
+    right = spark.createDataFrame([(1, "r1"), (None, "rn")], "k long, y string")
+    out = null_safe_join(left, right, "k", "inner")
+    assert out.columns == ["k", "x", "y"]
+    assert _sorted(out.collect()) == _sorted([(1, "a", "r1"), (None, "b", "rn")])
+
+
+def test_null_safe_join_stays_equi_join(spark):
+    left = spark.range(100).withColumnRenamed("id", "k")
+    right = spark.range(100).withColumnRenamed("id", "k2")
+    plan = null_safe_join(left, right, {"k": "k2"}, "inner")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_fan_out_is_kept(spark):
+    left = spark.createDataFrame([(1,)], "k long")
+    right = spark.createDataFrame([(1, 5), (1, 9)], "k long, v int")
+    assert null_safe_join(left, right, "k", "left").count() == 2
+
+
+def test_right_join_key_holds_right_values(spark):
+    left = spark.createDataFrame([("a", 1)], "code string, e long")
+    right = spark.createDataFrame([("a", "A"), ("b", "B")], "lc string, name string")
+    out = null_safe_join(left, right, {"code": "lc"}, "right")
+    assert out.columns == ["code", "e", "name"]
+    assert _sorted(out.collect()) == _sorted([("a", 1, "A"), ("b", None, "B")])
+
+
+def test_left_join_split_equals_left_join(spark):
+    left = spark.createDataFrame(
+        [("a", 1), ("b", 2), (None, 3), ("z", 4)], "code string, g long"
+    )
+    right = spark.createDataFrame(
+        [("a", "x")] * 5 + [(None, "n"), (None, "m"), ("b", "y")], "k string, v string"
+    )
+    plain = null_safe_join(left, right, {"code": "k"}, "left")
+    split = left_join_split(left, right, {"code": "k"})
+    assert split.columns == plain.columns
+    assert _sorted(split.collect()) == _sorted(plain.collect())
+
+
+def test_natural_join_checks_shared_columns(spark):
+    a = spark.createDataFrame([(1, "x")], "id long, name string")
+    b = spark.createDataFrame([(1, "y")], "id long, name string")
+    with pytest.raises(ValueError):
+        natural_join(a, b, ["id"])
+
+
+def test_clashing_columns_are_rejected(spark):
+    a = spark.createDataFrame([(1, "x")], "id long, name string")
+    b = spark.createDataFrame([(1, "y")], "rid long, name string")
+    with pytest.raises(ValueError):
+        null_safe_join(a, b, {"id": "rid"})
+
+
+def test_in_list_never_null_and_matches_listed_null(spark):
+    df = spark.createDataFrame([("a",), (None,), ("z",)], "x string")
+    out = df.select(
+        in_values(F.col("x"), ["a", "b"]).alias("plain"),
+        in_values(F.col("x"), ["a", None]).alias("with_null"),
+    ).collect()
+    assert [tuple(r) for r in out] == [(True, True), (False, True), (False, False)]
+
+
+def test_membership_lookup_keeps_null_association(spark):
+    bible = spark.createDataFrame(
+        [("GEN", "OT"), (None, "OT"), ("MAT", "NT"), ("X", None)], "a string, s string"
+    )
+    got = {r.a: (r.ot, r.nt) for r in membership_lookup(bible, "a", "s", {"OT": "ot", "NT": "nt"}).collect()}
+    assert got == {"GEN": (True, False), None: (True, False), "MAT": (False, True), "X": (False, False)}
+
+
+def test_two_spaces_and_year_text(spark):
+    df = spark.createDataFrame(
+        [("Bible", 2010), ("NT", None), (None, 1999)], "s string, y int"
+    )
+    out = [r[0] for r in df.select(completed_scripture_label(F.col("s"), F.col("y"))).collect()]
+    assert out == ["Bible - 2010", "NT  - No Date Associated", None]
+
+
+def test_whole_double_year_prints_like_r(spark):
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([(2010.0,), (2010.5,)], "y double")
+    out = [r[0] for r in df.select(r_text(F.col("y"), T.DoubleType())).collect()]
+    assert out == ["2010", "2010.5"]
+
+
+def test_blank_vs_null_alternative_name(spark):
+    df = spark.createDataFrame(
+        [("Eng", ""), ("Eng", None), ("Eng", "Alt"), (None, "Alt")], "p string, a string"
+    )
+    out = [r[0] for r in df.select(combined_name(F.col("p"), F.col("a"))).collect()]
+    assert out == ["Eng", None, "Eng, Alt", None]
+
+
+def test_blank_and_null_text_name_share_a_group(spark):
+    df = spark.createDataFrame([("",), (None,), ("Draft",)], "n string")
+    groups = df.groupBy(blank_to_null(F.col("n")).alias("n")).count().collect()
+    assert sorted((r.n or "", r["count"]) for r in groups) == [("", 2), ("Draft", 1)]
+
+
+def test_paste_prints_na(spark):
+    df = spark.createDataFrame([("a", None)], "x string, y string")
+    assert df.select(paste(F.col("x"), F.col("y"), sep="-")).first()[0] == "a-NA"
+
+
+def test_rollup_unlisted_and_null_status(spark):
+    order = ["Active", "Future", "Paused", "Inactive", "Intent", "Completed"]
+    df = spark.createDataFrame(
+        [(1, "Completed"), (1, "Paused"), (2, None), (3, "Weird"), (3, "Intent"), (4, "Weird")],
+        "id long, project_status string",
+    )
+    got = {r.id: r.project_status for r in best_by_priority(df, "id", "project_status", order).collect()}
+    assert got == {1: "Paused", 2: None, 3: "Intent", 4: None}
+
+
+def test_presence_pivot_has_fixed_columns(spark):
+    df = spark.createDataFrame([(1, "Active"), (2, None)], "id long, s string")
+    out = pivot_presence(df, "id", "s", ["Active", "Paused"])
+    assert out.columns == ["id", "Active", "Paused"]
+    assert _sorted(out.collect()) == _sorted([(1, "Active", None), (2, None, None)])
+
+
+def test_fan_out_inflates_group_size(spark, small_tables):
+    """A tag listed twice in the resource-level list doubles the products it joins to."""
+    from tessera.plans import live
+
+    dim = live.engagement_dimension(small_tables)
+    dupes = dim.groupBy("language_engagement_id").count().filter("count > 1").count()
+    assert dupes > 0
+
+
+def test_broadcast_only_within_bound(spark):
+    small = spark.range(10)
+    big = spark.range(1000)
+    assert "ResolvedHint" in broadcast_if_small(small, 100)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in broadcast_if_small(big, 100)._jdf.queryExecution().analyzed().toString()
+
+
+def test_schema_check_rejects_string_key(spark):
+    df = spark.createDataFrame([("1", "x")], "org_id string, name string")
+    df = df.withColumns({"abbreviation": F.lit("a"), "sensitivity": F.lit("b")})
+    with pytest.raises(SchemaError):
+        conform(df, "organizations")
+
+
+def test_schema_check_widens_int_key(spark):
+    df = spark.createDataFrame([(1, "x", "a", "b")], "org_id int, name string, abbreviation string, sensitivity string")
+    assert dict(conform(df, "organizations").dtypes)["org_id"] == "bigint"
+
+
+def test_strip_pattern_is_a_regex(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "`resource.id` int, resourcesize int, brand int")
+    assert strip_pattern_from_names(df, "resource.").columns == ["id", "ize", "brand"]
