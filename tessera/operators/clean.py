@@ -33,9 +33,35 @@ def parse_mixed_date(
     """A date from text in any of several forms; month-first forms win.
 
     Each pattern only accepts its own form, and ``try_to_date`` gives NULL
-    instead of failing the task on text that does not parse.
+    instead of failing the task on text that does not parse. A failed parse
+    costs an exception per row, so each pattern is only tried where cheap
+    necessary conditions hold (see :func:`pattern_may_match`).
     """
-    return F.coalesce(*[F.try_to_date(text, p) for p in (*first, *then)])
+    return F.coalesce(
+        *[F.when(pattern_may_match(text, p), F.try_to_date(text, p)) for p in (*first, *then)]
+    )
+
+
+def pattern_may_match(text: Column, pattern: str) -> Column:
+    """Necessary conditions for ``pattern`` to parse ``text``.
+
+    Every literal separator of the pattern must occur in the text, and the
+    first character must fit the first field: a letter for a month name, a
+    digit for a numeric field (a sign is allowed before a year). False only
+    where the parse would fail anyway, so guarding does not change results.
+    """
+    literals = sorted({ch for ch in pattern if not ch.isalpha()})
+    cond = F.lit(True)
+    for ch in literals:
+        cond = cond & (F.instr(text, ch) > 0)
+    head = pattern[0]
+    if pattern.startswith("MMM"):
+        first = "^[A-Za-z]"
+    elif head == "y":
+        first = "^[0-9+-]"
+    else:
+        first = "^[0-9]"
+    return cond & text.rlike(first)
 
 
 def explode_json_list(

@@ -17,7 +17,8 @@ Physical plan at scale (checked with ``explain``):
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import weakref
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,22 @@ from tessera.operators.rules import first_match, with_group_values
 
 Tables = Mapping[str, DataFrame]
 
+ENGAGEMENT_KEY = "language_engagement_id"
+
+# Lazy plans shared by several outputs, built once per input set. Holding a
+# DataFrame holds only its plan; nothing is cached in memory.
+_PLANS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def memo(tables: Tables, key: object, build: Callable[[], DataFrame]) -> DataFrame:
+    try:
+        plans = _PLANS.setdefault(tables, {})
+    except TypeError:  # plain dicts cannot be weakly referenced
+        return build()
+    if key not in plans:
+        plans[key] = build()
+    return plans[key]
+
 # The engagement columns kept after the language joins.
 LOCALE_COLUMNS = (
     "language_engagement_id",
@@ -124,6 +141,10 @@ def engagement_org_rep(tables: Tables) -> DataFrame:
 
 def engagement_dimension(tables: Tables) -> DataFrame:
     """The 22-column engagement dimension with goal eligibility and labels."""
+    return memo(tables, "engagement_dimension", lambda: _engagement_dimension(tables))
+
+
+def _engagement_dimension(tables: Tables) -> DataFrame:
     x = engagement_org_rep(tables)
     goals = tables["pb_language_data"]
     year_type = goals.schema["latestpublicationyear"].dataType
@@ -152,68 +173,150 @@ def engagement_dimension(tables: Tables) -> DataFrame:
 
 def section_lookup(tables: Tables) -> DataFrame:
     """One row per scriptural association with its OT / NT membership."""
-    return membership_lookup(
-        tables["bible_info"], "scriptural_association", "bible_section", BIBLE_FLAGS
+    return memo(
+        tables,
+        "section_lookup",
+        lambda: membership_lookup(
+            tables["bible_info"], "scriptural_association", "bible_section", BIBLE_FLAGS
+        ),
     )
 
 
+def flagged_products(tables: Tables, keep_flags: bool = False) -> DataFrame:
+    """Products with ``bible_book_ref``; blank text names become NULL.
+
+    The section lookup is a broadcast (bounded, checked) so this stays a
+    map-side step with no shuffle. With ``keep_flags`` the row's OT/NT
+    membership columns are kept (the retired rules read them).
+    """
+
+    def build() -> DataFrame:
+        products = tables["uw_translation_products"]
+        product_cols = products.columns
+        flagged = add_membership_flags(
+            products, "scriptural_association", section_lookup(tables), LOOKUP_BROADCAST_ROWS
+        ).withColumns(
+            {
+                "bible_book_ref": st.book_ref(
+                    col("resource_package"),
+                    col("__is_ot"),
+                    col("__is_nt"),
+                    col("scriptural_association"),
+                ),
+                "scripture_text_name": blank_to_null(col("scripture_text_name")),
+            }
+        )
+        flags = list(BIBLE_FLAGS.values()) if keep_flags else []
+        return flagged.select(*[col(c) for c in (*product_cols, "bible_book_ref", *flags)])
+
+    return memo(tables, ("flagged_products", keep_flags), build)
+
+
 def prepared_products(
     tables: Tables, dimension: DataFrame | None = None, keep_flags: bool = False
 ) -> DataFrame:
-    """Products joined to the engagement dimension, with ``bible_book_ref``.
-
-    ``scripture_text_name`` is blank-to-NULL so blank and NULL names share a
-    group. With ``keep_flags`` the row's OT/NT membership columns are kept
-    (the retired rules read them).
-    """
+    """Products joined to the engagement dimension, with ``bible_book_ref``."""
     dim = dimension if dimension is not None else engagement_dimension(tables)
-    products = tables["uw_translation_products"]
-    product_cols = products.columns
-    flagged = add_membership_flags(
-        products, "scriptural_association", section_lookup(tables), LOOKUP_BROADCAST_ROWS
-    ).withColumns(
-        {
-            "bible_book_ref": st.book_ref(
-                col("resource_package"),
-                col("__is_ot"),
-                col("__is_nt"),
-                col("scriptural_association"),
-            ),
-            "scripture_text_name": blank_to_null(col("scripture_text_name")),
-        }
-    )
-    flagged = flagged.select(
-        *product_cols, "bible_book_ref", *(list(BIBLE_FLAGS.values()) if keep_flags else [])
-    )
-    x = natural_join(flagged, dim, ["language_engagement_id"], "inner")
-    dim_rest = [c for c in dim.columns if c != "language_engagement_id"]
+    flagged = flagged_products(tables, keep_flags)
+    product_cols = [c for c in flagged.columns if c != "bible_book_ref" and c not in BIBLE_FLAGS.values()]
+    x = natural_join(flagged, dim, [ENGAGEMENT_KEY], "inner")
+    dim_rest = [c for c in dim.columns if c != ENGAGEMENT_KEY]
     out = [*product_cols, *dim_rest, "bible_book_ref"]
     if keep_flags:
         out += list(BIBLE_FLAGS.values())
     return x.select(*[col(c) for c in out])
 
 
+def status_rows(
+    tables: Tables,
+    dimension: DataFrame | None = None,
+    keys: tuple[str, ...] = st.LIVE_GROUP_KEYS,
+) -> DataFrame:
+    """Product rows that have an engagement, with ``BP_num`` and ``project_status``.
+
+    No dimension columns are attached (see :func:`project_status`). The
+    engagement id is a group key, so every row of a group joins the same
+    number of dimension rows ``m``: the group size after the join is ``n * m``
+    and any/all are unchanged by the repeats. Group values are therefore a
+    partial aggregate over the narrow product rows, and the join back moves
+    only product columns. A group without an engagement has no group values,
+    so its rows drop out here as they would in the inner join.
+    """
+    if ENGAGEMENT_KEY not in keys:
+        raise ValueError("status_rows needs the engagement id among the group keys")
+    flagged = flagged_products(tables)
+    missing = set(keys) - set(flagged.columns)
+    if missing:
+        raise ValueError(f"group keys not on the product rows: {sorted(missing)}")
+    dim = dimension if dimension is not None else engagement_dimension(tables)
+    per_group = flagged.groupBy(*[col(k).alias(k) for k in keys]).agg(
+        *[value(None).alias(name) for name, value in st.live_group_values().items()]
+    )
+    fan_out = dim.groupBy(col(ENGAGEMENT_KEY).alias(ENGAGEMENT_KEY)).agg(
+        F.count(F.lit(1)).alias("__fan_out")
+    )
+    per_group = null_safe_join(per_group, fan_out, ENGAGEMENT_KEY, "inner").withColumn(
+        st.COUNT_COL, col(st.COUNT_COL) * col("__fan_out")
+    )
+    rows = null_safe_join(flagged, per_group.drop("__fan_out"), list(keys), "inner")
+    return rows.select(
+        *[col(c) for c in flagged.columns],
+        col(st.COUNT_COL),
+        first_match(st.live_rules()).alias(st.STATUS_COL),
+    )
+
+
+def attach_dimension(rows: DataFrame, dim: DataFrame) -> DataFrame:
+    """Output A layout: product columns, dimension columns, then the derived ones.
+
+    The wide dimension columns are joined once, at the end, instead of being
+    shuffled with every product row.
+    """
+    x = natural_join(rows, dim, [ENGAGEMENT_KEY], "inner")
+    derived = ["bible_book_ref", st.COUNT_COL, st.STATUS_COL]
+    product_cols = [c for c in rows.columns if c not in derived]
+    dim_rest = [c for c in dim.columns if c != ENGAGEMENT_KEY]
+    return x.select(*[col(c) for c in (*product_cols, *dim_rest, *derived)])
+
+
 def project_status(
     tables: Tables,
     prepared: DataFrame | None = None,
     keys: tuple[str, ...] = st.LIVE_GROUP_KEYS,
     method: str = "aggregate",
+    dimension: DataFrame | None = None,
 ) -> DataFrame:
-    """Output A: every product with its group size and derived project status."""
-    prep = prepared if prepared is not None else prepared_products(tables)
-    values = st.live_group_values()
-    x = with_group_values(prep, keys, values, method)
+    """Output A: every product with its group size and derived project status.
+
+    ``method="aggregate"`` with product-side keys that include the engagement
+    id uses the dimension-last plan; other keys (e.g. display names from the
+    dimension) group the joined rows. ``method="window"`` uses one window.
+    """
+    if prepared is None and method == "aggregate" and ENGAGEMENT_KEY in keys:
+        if set(keys) <= set(flagged_products(tables).columns):
+            dim = dimension if dimension is not None else engagement_dimension(tables)
+            return attach_dimension(status_rows(tables, dim, keys), dim)
+    prep = prepared if prepared is not None else prepared_products(tables, dimension)
+    x = with_group_values(prep, keys, st.live_group_values(), method)
     status = first_match(st.live_rules())
     return x.select(*[col(c) for c in prep.columns], col(st.COUNT_COL), status.alias(st.STATUS_COL))
 
 
 def status_presence(projects: DataFrame, priority=st.LIVE_PRIORITY) -> DataFrame:
-    """Wide view: one column per status, set when the engagement has it."""
+    """Wide view: one column per status, set when the engagement has it.
+
+    ``projects`` is Output A or :func:`status_rows`; both hold the same
+    (engagement, status) pairs.
+    """
     return pivot_presence(projects, "language_engagement_id", st.STATUS_COL, list(priority))
 
 
 def engagement_status(projects: DataFrame, priority=st.LIVE_PRIORITY) -> DataFrame:
-    """One status per engagement: the highest-priority project status."""
+    """One status per engagement: the highest-priority project status.
+
+    ``projects`` is Output A or :func:`status_rows`: dimension fan-out only
+    repeats rows, which does not change a minimum.
+    """
     return best_by_priority(projects, "language_engagement_id", st.STATUS_COL, list(priority))
 
 
@@ -251,7 +354,7 @@ def goal_coverage(goals: DataFrame, engagements: DataFrame) -> DataFrame:
 def run_live(tables: Tables, method: str = "aggregate") -> dict[str, DataFrame]:
     """All three live outputs, built lazily from one set of input frames."""
     dim = engagement_dimension(tables)
-    projects = project_status(tables, prepared_products(tables, dim), method=method)
+    projects = project_status(tables, method=method, dimension=dim)
     master = engagement_master(dim, engagement_status(projects))
     goals = goal_coverage(tables["pb_language_data"], master)
     return {

@@ -63,7 +63,7 @@ def run_pipeline(
     tables = source.load_all(LIVE_INPUTS)
     dim = materialize(live.engagement_dimension(tables))
     if flow == "live":
-        projects = live.project_status(tables, live.prepared_products(tables, dim), method=method)
+        projects = live.project_status(tables, method=method, dimension=dim)
     elif flow == "legacy":
         projects = legacy.legacy_project_status(tables, dim, method=method)
     else:

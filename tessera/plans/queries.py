@@ -23,8 +23,7 @@ def _project_status(t: Tables) -> DataFrame:
 
 def _engagement_master(t: Tables) -> DataFrame:
     dim = live.engagement_dimension(t)
-    projects = live.project_status(t, live.prepared_products(t, dim))
-    return live.engagement_master(dim, live.engagement_status(projects))
+    return live.engagement_master(dim, live.engagement_status(live.status_rows(t, dim)))
 
 
 def _goal_coverage(t: Tables) -> DataFrame:
@@ -46,8 +45,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "product_prep": live.prepared_products,
     "project_status": _project_status,
-    "status_presence": lambda t: live.status_presence(_project_status(t)),
-    "engagement_status": lambda t: live.engagement_status(_project_status(t)),
+    "status_presence": lambda t: live.status_presence(live.status_rows(t)),
+    "engagement_status": lambda t: live.engagement_status(live.status_rows(t)),
     "engagement_master": _engagement_master,
     "goal_coverage": _goal_coverage,
     "legacy_project_status": lambda t: legacy.legacy_project_status(t),

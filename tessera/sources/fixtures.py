@@ -14,6 +14,7 @@ can compare the two engines.
 from __future__ import annotations
 
 import os
+import weakref
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -349,7 +350,19 @@ class FixtureTables(Mapping):
     def __len__(self) -> int:
         return len(FIXTURES)
 
+    # Identity semantics, so plans built from these tables can be memoized.
+    __hash__ = object.__hash__
+
+    def __eq__(self, other: object) -> bool:
+        return self is other
+
+
+_SESSIONS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
 
 def fixture_frames(spark: SparkSession, sf_dir: str) -> FixtureTables:
-    """All fixture views over one scale factor, built lazily."""
-    return FixtureTables(spark, sf_dir)
+    """All fixture views over one scale factor, built lazily, once per session."""
+    per_session = _SESSIONS.setdefault(spark, {})
+    if sf_dir not in per_session:
+        per_session[sf_dir] = FixtureTables(spark, sf_dir)
+    return per_session[sf_dir]
