@@ -15,6 +15,7 @@ row bound.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+import weakref
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -147,15 +148,21 @@ def natural_join(
     return null_safe_join(left, right, list(keys), how)
 
 
+_BOUND_CHECKS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only if it holds at most ``max_rows`` rows.
 
     The bound is measured (a limited count stops after ``max_rows + 1``
-    rows per task), so a lookup that grows with the data falls back to a
-    shuffled join instead of exhausting executor memory.
+    rows per task), so a side that grows with the data falls back to a
+    shuffled join instead of exhausting executor memory. The decision is
+    remembered per DataFrame, so a frame used in several joins is counted once.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    seen = _BOUND_CHECKS.setdefault(df, {})
+    if max_rows not in seen:
+        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if seen[max_rows] else df
 
 
 def in_values(c: Column, values: Iterable[object]) -> Column:

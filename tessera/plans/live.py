@@ -112,6 +112,10 @@ GOAL_COLUMNS = (
 
 # Countries and Bible sections are reference lists of bounded size.
 LOOKUP_BROADCAST_ROWS = 100_000
+# The engagement dimension grows with the data: it is broadcast into the
+# product join only while it stays under this many rows (about 30 MB at
+# its width); beyond that the join is a sort-merge join.
+DIMENSION_BROADCAST_ROWS = 100_000
 
 BIBLE_FLAGS = {"OT": "__is_ot", "NT": "__is_nt"}
 
@@ -219,7 +223,9 @@ def prepared_products(
     dim = dimension if dimension is not None else engagement_dimension(tables)
     flagged = flagged_products(tables, keep_flags)
     product_cols = [c for c in flagged.columns if c != "bible_book_ref" and c not in BIBLE_FLAGS.values()]
-    x = natural_join(flagged, dim, [ENGAGEMENT_KEY], "inner")
+    x = natural_join(
+        flagged, broadcast_if_small(dim, DIMENSION_BROADCAST_ROWS), [ENGAGEMENT_KEY], "inner"
+    )
     dim_rest = [c for c in dim.columns if c != ENGAGEMENT_KEY]
     out = [*product_cols, *dim_rest, "bible_book_ref"]
     if keep_flags:
@@ -272,7 +278,7 @@ def attach_dimension(rows: DataFrame, dim: DataFrame) -> DataFrame:
     The wide dimension columns are joined once, at the end, instead of being
     shuffled with every product row.
     """
-    x = natural_join(rows, dim, [ENGAGEMENT_KEY], "inner")
+    x = natural_join(rows, broadcast_if_small(dim, DIMENSION_BROADCAST_ROWS), [ENGAGEMENT_KEY], "inner")
     derived = ["bible_book_ref", st.COUNT_COL, st.STATUS_COL]
     product_cols = [c for c in rows.columns if c not in derived]
     dim_rest = [c for c in dim.columns if c != ENGAGEMENT_KEY]
