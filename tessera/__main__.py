@@ -52,9 +52,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
     p.add_argument("--jdbc-partition", action="append", default=[], metavar="T:COL:LO:HI:N")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
+    p.add_argument("--profile", choices=["local", "cluster"], default="cluster")
     args = p.parse_args(argv)
 
-    spark = build_session(args.master, app_name=f"tessera-{args.flow}")
+    spark = build_session(args.master, app_name=f"tessera-{args.flow}", profile=args.profile)
     jdbc = _jdbc_options(args.jdbc_option)
 
     kind, _, where = args.input.partition(":")

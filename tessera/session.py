@@ -18,12 +18,39 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for the full-size job (on the order of 100 TB of product rows on
+# about 1,000 executors). Shuffles here carry narrow product rows, tens of
+# TB at that size: start from enough partitions for ~256 MB each and let AQE
+# coalesce small ones. Scan splits of 256 MB keep the task count near 1e5.
+# A partition over 1 GB and 5x the median is split by the skew-join rule.
+# Decommissioning migrates shuffle and cached blocks off an executor that is
+# being taken away, so its map output is not recomputed.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "80000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "80000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+}
+
+PROFILES = {"local": {}, "cluster": CLUSTER_CONF}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "tessera",
     shuffle_partitions: int | None = None,
     checkpoint_dir: str | None = None,
     extra_conf: dict[str, str] | None = None,
+    profile: str = "local",
 ) -> SparkSession:
     """Create (or reuse) a session with the package defaults.
 
@@ -34,6 +61,7 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    conf.update(PROFILES[profile])
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
