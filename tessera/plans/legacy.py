@@ -35,6 +35,12 @@ def legacy_project_status(
     method: str = "aggregate",
 ) -> DataFrame:
     """Products with group size and the retired project-status rules."""
+    if method == "aggregate":
+        dim = dimension if dimension is not None else live.engagement_dimension(tables)
+        rows = live.status_rows(
+            tables, dim, keys, st.legacy_group_values(), st.legacy_rules(), keep_flags=True
+        )
+        return live.attach_dimension(rows, dim).drop(*live.BIBLE_FLAGS.values())
     prep = live.prepared_products(tables, dimension, keep_flags=True)
     out_cols = [c for c in prep.columns if c not in live.BIBLE_FLAGS.values()]
     x = with_group_values(prep, keys, st.legacy_group_values(), method)

@@ -35,7 +35,7 @@ from tessera.operators.joins import (
     null_safe_join,
 )
 from tessera.operators.rollup import best_by_priority, pivot_presence
-from tessera.operators.rules import first_match, with_group_values
+from tessera.operators.rules import GroupValue, first_match, with_group_values
 
 Tables = Mapping[str, DataFrame]
 
@@ -237,52 +237,79 @@ def status_rows(
     tables: Tables,
     dimension: DataFrame | None = None,
     keys: tuple[str, ...] = st.LIVE_GROUP_KEYS,
+    values: Mapping[str, GroupValue] | None = None,
+    rules: list | None = None,
+    keep_flags: bool = False,
 ) -> DataFrame:
     """Product rows that have an engagement, with ``BP_num`` and ``project_status``.
 
-    No dimension columns are attached (see :func:`project_status`). The
-    engagement id is a group key, so every row of a group joins the same
-    number of dimension rows ``m``: the group size after the join is ``n * m``
-    and any/all are unchanged by the repeats. Group values are therefore a
-    partial aggregate over the narrow product rows, and the join back moves
-    only product columns. A group without an engagement has no group values,
-    so its rows drop out here as they would in the inner join.
+    Only the dimension columns used as group keys are attached; the rest
+    follow in :func:`attach_dimension`. The group size counts joined rows,
+    so a product whose engagement has ``m`` dimension rows counts ``m`` times;
+    any/all are unchanged by such repeats.
+
+    * Keys on the product rows that include the engagement id: ``m`` is the
+      same for the whole group, so group values are a partial aggregate over
+      the narrow product rows and the size is ``n * m``.
+    * Keys taken from the dimension (country, display name): the dimension is
+      first reduced to one row per (engagement, those keys) with its count
+      ``m``, joined to the product rows, and the size is ``sum(m)``.
+
+    Either way the shuffles carry product columns plus a few keys, never the
+    whole dimension. Rows without an engagement drop out, as in the inner
+    join.
     """
-    if ENGAGEMENT_KEY not in keys:
-        raise ValueError("status_rows needs the engagement id among the group keys")
-    flagged = flagged_products(tables)
-    missing = set(keys) - set(flagged.columns)
-    if missing:
-        raise ValueError(f"group keys not on the product rows: {sorted(missing)}")
+    values = dict(values if values is not None else st.live_group_values())
+    rules = rules if rules is not None else st.live_rules()
+    flagged = flagged_products(tables, keep_flags)
     dim = dimension if dimension is not None else engagement_dimension(tables)
-    per_group = flagged.groupBy(*[col(k).alias(k) for k in keys]).agg(
-        *[value(None).alias(name) for name, value in st.live_group_values().items()]
-    )
-    fan_out = dim.groupBy(col(ENGAGEMENT_KEY).alias(ENGAGEMENT_KEY)).agg(
+    dim_keys = [k for k in keys if k not in flagged.columns]
+    missing = [k for k in dim_keys if k not in dim.columns]
+    if missing:
+        raise ValueError(f"group keys on neither products nor dimension: {missing}")
+    link = [ENGAGEMENT_KEY, *dim_keys]
+    fan_out = dim.groupBy(*[col(k).alias(k) for k in link]).agg(
         F.count(F.lit(1)).alias("__fan_out")
     )
-    per_group = null_safe_join(per_group, fan_out, ENGAGEMENT_KEY, "inner").withColumn(
-        st.COUNT_COL, col(st.COUNT_COL) * col("__fan_out")
-    )
-    rows = null_safe_join(flagged, per_group.drop("__fan_out"), list(keys), "inner")
+    group_cols = [col(k).alias(k) for k in keys]
+    if not dim_keys and ENGAGEMENT_KEY in keys:
+        per_group = flagged.groupBy(*group_cols).agg(
+            *[value(None).alias(name) for name, value in values.items()]
+        )
+        per_group = null_safe_join(per_group, fan_out, ENGAGEMENT_KEY, "inner").withColumn(
+            st.COUNT_COL, col(st.COUNT_COL) * col("__fan_out")
+        )
+        rows = null_safe_join(flagged, per_group.drop("__fan_out"), list(keys), "inner")
+    else:
+        weighted = null_safe_join(flagged, fan_out, ENGAGEMENT_KEY, "inner")
+        values[st.COUNT_COL] = lambda w=None: F.sum(col("__fan_out"))
+        per_group = weighted.groupBy(*group_cols).agg(
+            *[value(None).alias(name) for name, value in values.items()]
+        )
+        rows = null_safe_join(weighted.drop("__fan_out"), per_group, list(keys), "inner")
     return rows.select(
-        *[col(c) for c in flagged.columns],
+        *[col(c) for c in (*flagged.columns, *dim_keys)],
         col(st.COUNT_COL),
-        first_match(st.live_rules()).alias(st.STATUS_COL),
+        first_match(rules).alias(st.STATUS_COL),
     )
 
 
 def attach_dimension(rows: DataFrame, dim: DataFrame) -> DataFrame:
     """Output A layout: product columns, dimension columns, then the derived ones.
 
-    The wide dimension columns are joined once, at the end, instead of being
-    shuffled with every product row.
+    ``rows`` come from :func:`status_rows`; they are joined to the dimension
+    on the engagement id plus any dimension columns they already carry, which
+    restores each product's dimension rows exactly once. The wide dimension
+    columns are joined once, at the end, instead of being shuffled with every
+    product row.
     """
-    x = natural_join(rows, broadcast_if_small(dim, DIMENSION_BROADCAST_ROWS), [ENGAGEMENT_KEY], "inner")
+    link = [ENGAGEMENT_KEY, *[c for c in rows.columns if c in dim.columns and c != ENGAGEMENT_KEY]]
+    x = natural_join(rows, broadcast_if_small(dim, DIMENSION_BROADCAST_ROWS), link, "inner")
     derived = ["bible_book_ref", st.COUNT_COL, st.STATUS_COL]
-    product_cols = [c for c in rows.columns if c not in derived]
+    flags = [c for c in BIBLE_FLAGS.values() if c in rows.columns]
+    product_cols = [c for c in rows.columns if c not in (*derived, *flags) and c not in link[1:]]
     dim_rest = [c for c in dim.columns if c != ENGAGEMENT_KEY]
-    return x.select(*[col(c) for c in (*product_cols, *dim_rest, *derived)])
+    return x.select(*[col(c) for c in (*product_cols, *dim_rest, *derived, *flags)])
 
 
 def project_status(
@@ -294,14 +321,14 @@ def project_status(
 ) -> DataFrame:
     """Output A: every product with its group size and derived project status.
 
-    ``method="aggregate"`` with product-side keys that include the engagement
-    id uses the dimension-last plan; other keys (e.g. display names from the
-    dimension) group the joined rows. ``method="window"`` uses one window.
+    ``method="aggregate"`` (default) uses :func:`status_rows` then
+    :func:`attach_dimension`; ``method="window"`` joins first and computes
+    the group values with one window (one shuffle, but each group must fit
+    in one task).
     """
-    if prepared is None and method == "aggregate" and ENGAGEMENT_KEY in keys:
-        if set(keys) <= set(flagged_products(tables).columns):
-            dim = dimension if dimension is not None else engagement_dimension(tables)
-            return attach_dimension(status_rows(tables, dim, keys), dim)
+    if prepared is None and method == "aggregate":
+        dim = dimension if dimension is not None else engagement_dimension(tables)
+        return attach_dimension(status_rows(tables, dim, keys), dim)
     prep = prepared if prepared is not None else prepared_products(tables, dimension)
     x = with_group_values(prep, keys, st.live_group_values(), method)
     status = first_match(st.live_rules())
