@@ -317,6 +317,12 @@ ORACLE_SQL: dict[str, str] = {
     "engagement_org_rep": _q("SELECT * FROM eng_org_rep"),
     "engagement_eligibility": _q("SELECT * FROM eng_dim"),
     "section_lookup": _q("SELECT * FROM sections"),
+    "section_membership": _q(
+        """SELECT p.language_engagement_id, p.l_orderkey, p.l_linenumber, p.scriptural_association,
+    coalesce(s.is_ot, false) AS in_ot_list, coalesce(s.is_nt, false) AS in_nt_list
+  FROM uw_translation_products p
+  LEFT JOIN sections s ON p.scriptural_association IS NOT DISTINCT FROM s.scriptural_association"""
+    ),
     "product_prep": _q(f"SELECT {PREP_COLUMNS} FROM prep_flags"),
     "project_status": _q("SELECT * FROM projects"),
     "status_presence": _q(

@@ -186,6 +186,16 @@ def section_lookup(tables: Tables) -> DataFrame:
     )
 
 
+def section_membership(tables: Tables) -> DataFrame:
+    """Every product with its association's OT / NT list membership (``%in%``)."""
+    products = tables["uw_translation_products"].select(
+        ENGAGEMENT_KEY, "l_orderkey", "l_linenumber", "scriptural_association"
+    )
+    return add_membership_flags(
+        products, "scriptural_association", section_lookup(tables), LOOKUP_BROADCAST_ROWS
+    ).withColumnsRenamed({"__is_ot": "in_ot_list", "__is_nt": "in_nt_list"})
+
+
 def flagged_products(tables: Tables, keep_flags: bool = False) -> DataFrame:
     """Products with ``bible_book_ref``; blank text names become NULL.
 

@@ -43,6 +43,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "section_lookup": lambda t: live.section_lookup(t).withColumnsRenamed(
         {"__is_ot": "is_ot", "__is_nt": "is_nt"}
     ),
+    "section_membership": live.section_membership,
     "product_prep": live.prepared_products,
     "project_status": _project_status,
     "status_presence": lambda t: live.status_presence(live.status_rows(t)),

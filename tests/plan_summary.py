@@ -29,7 +29,9 @@ def summarize(plan: str) -> dict:
         "broadcasts": plan.count("BroadcastExchange"),
         "broadcast_hash_joins": plan.count("BroadcastHashJoin"),
         "sort_merge_joins": plan.count("SortMergeJoin"),
-        "partial_aggregates": plan.count("partial_"),
+        "partial_aggregates": sum(
+            1 for line in plan.splitlines() if "HashAggregate" in line and "partial_" in line
+        ),
         "windows": len(re.findall(r"\bWindow \[", plan)),
         "nested_loop_or_cartesian": plan.count("NestedLoop") + plan.count("CartesianProduct"),
         "python_udfs": plan.count("BatchEvalPython") + plan.count("ArrowEvalPython"),
