@@ -4,8 +4,9 @@ Lineage is cut at two points so a lost executor never forces a recompute
 from the sources:
 
 * the engagement dimension (read by the product join and by the engagement
-  table) is checkpointed to the shared directory the cluster names in
-  ``spark.checkpoint.dir``, when one is configured;
+  table) is written once as a Parquet table under the shared directory the
+  cluster names in ``spark.checkpoint.dir``, when one is configured, and
+  read back (an RDD checkpoint would compute it twice unless persisted);
 * each output is written, and the next output reads it back from the sink
   (the rollup needs only two columns of the product table, which a columnar
   read prunes to).
@@ -16,6 +17,8 @@ replaced by its own job commit.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.plans import legacy, live
@@ -35,12 +38,20 @@ LIVE_INPUTS = (
 )
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` when one is set."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir():
-        return df.checkpoint(eager=True)
-    return df
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared checkpoint directory and read it back.
+
+    Without a configured directory the frame is returned as is (Spark then
+    recomputes it from lineage where needed); no machine-local folder is
+    ever used.
+    """
+    spark = df.sparkSession
+    base = spark.sparkContext.getCheckpointDir()
+    if not base:
+        return df
+    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def read_back(spark: SparkSession, sink: TableSink, name: str) -> DataFrame:
@@ -61,7 +72,7 @@ def run_pipeline(
 ) -> dict[str, str]:
     """Run one flow end to end; returns the written table names by role."""
     tables = source.load_all(LIVE_INPUTS)
-    dim = materialize(live.engagement_dimension(tables))
+    dim = materialize(live.engagement_dimension(tables), "engagement_dimension")
     if flow == "live":
         projects = live.project_status(tables, method=method, dimension=dim)
     elif flow == "legacy":
