@@ -6,7 +6,6 @@ All of these stay inside whole-stage codegen; none is a Python UDF.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,7 +114,3 @@ def flatten_struct_columns(df: DataFrame, sep: str = ".") -> DataFrame:
     for f in df.schema.fields:
         cols += walk(f.name, f.dataType, F.col(f"`{f.name}`"))
     return df.select(*cols)
-
-
-def names(cols: Sequence[str]) -> list[Column]:
-    return [F.col(f"`{c}`") for c in cols]

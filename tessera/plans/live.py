@@ -381,17 +381,14 @@ def goal_coverage(goals: DataFrame, engagements: DataFrame) -> DataFrame:
         col("language_engagement_id").alias("__engagement"),
     )
     x = left_join_split(goals, eng, {"languagecode": "__iso"})
-    return x.select(
-        "languagename",
-        col("languagecode").alias("iso_639_2"),
-        "country",
-        "countrycode",
-        "allaccessstatus",
-        "allaccessgoal",
-        st.aag_eligibility(col("allaccessstatus")).alias("aag_elligible"),
-        yes_no(col("__engagement").isNotNull()).alias("has_uw_engagement"),
-        "uw_project_status",
+    x = x.withColumns(
+        {
+            "iso_639_2": col("languagecode"),
+            "aag_elligible": st.aag_eligibility(col("allaccessstatus")),
+            "has_uw_engagement": yes_no(col("__engagement").isNotNull()),
+        }
     )
+    return x.select(*GOAL_COLUMNS)
 
 
 def run_live(tables: Tables, method: str = "aggregate") -> dict[str, DataFrame]:

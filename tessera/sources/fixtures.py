@@ -20,8 +20,9 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-def _null() -> Column:
-    return F.lit(None).cast("string")
+from tessera.functions.text import null_string
+
+_null = null_string
 
 
 def _tag(prefix: str, c: Column) -> Column:
