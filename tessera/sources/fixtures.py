@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import null_string
+from tessera.sources.schemas import REFERENCE_SCHEMAS, conform
 
 _null = null_string
 
@@ -341,7 +342,9 @@ class FixtureTables(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name in FIXTURES:
             if name not in self._views:
-                self._views[name] = FIXTURES[name](self.base)
+                view = FIXTURES[name](self.base)
+                # the same load-time check a real source gets
+                self._views[name] = conform(view, name) if name in REFERENCE_SCHEMAS else view
             return self._views[name]
         return self.base[name]
 
