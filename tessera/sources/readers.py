@@ -48,13 +48,18 @@ class TableSource:
 
 @dataclass
 class ParquetSource(TableSource):
-    """Tables stored as ``<root>/<name>.parquet`` (file or directory)."""
+    """Tables stored as ``<root>/<name><suffix>`` (a file or a directory).
+
+    The default suffix matches the test data (``orders.parquet``); pass
+    ``suffix=""`` for table directories named after the table.
+    """
 
     spark: SparkSession
     root: str
+    suffix: str = ".parquet"
 
     def load(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
+        return self.spark.read.parquet(os.path.join(self.root, f"{name}{self.suffix}"))
 
 
 @dataclass
