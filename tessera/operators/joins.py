@@ -165,6 +165,28 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if seen[max_rows] else df
 
 
+def null_key_report(left: DataFrame, right: DataFrame, on: KeySpec) -> DataFrame:
+    """Rows and NULL-key rows on each side of a NULL-safe join (two rows).
+
+    NULL keys all hash to one partition and match each other, so the join
+    emits the product of the two ``null_rows`` for them. Each side is reduced
+    by a single aggregate; nothing is collected.
+    """
+    pairs = _key_pairs(on)
+
+    def side(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+        all_null = reduce(lambda a, b: a & b, [col(k).isNull() for k in keys])
+        return df.agg(
+            F.lit(name).alias("side"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(all_null).alias("null_rows"),
+        )
+
+    return side(left, [lk for lk, _ in pairs], "left").unionByName(
+        side(right, [rk for _, rk in pairs], "right")
+    )
+
+
 def in_values(c: Column, values: Iterable[object]) -> Column:
     """R's ``x %in% c(...)``: never NULL, and NULL matches a listed NULL."""
     values = list(values)

@@ -185,3 +185,13 @@ def test_schema_check_widens_int_key(spark):
 def test_strip_pattern_is_a_regex(spark):
     df = spark.createDataFrame([(1, 2, 3)], "`resource.id` int, resourcesize int, brand int")
     assert strip_pattern_from_names(df, "resource.").columns == ["id", "ize", "brand"]
+
+
+def test_null_key_report(spark):
+    from tessera.operators.joins import null_key_report
+
+    left = spark.createDataFrame([(1,), (None,), (None,)], "k long")
+    right = spark.createDataFrame([(None,), (None,), (None,), (2,)], "rk long")
+    r = {row.side: (row.rows, row.null_rows) for row in null_key_report(left, right, {"k": "rk"}).collect()}
+    assert r == {"left": (3, 2), "right": (4, 3)}
+    assert null_safe_join(left, right, {"k": "rk"}).count() == r["left"][1] * r["right"][1]
