@@ -13,7 +13,7 @@ import argparse
 import os
 import sys
 
-from tessera.plans.pipeline import run_pipeline
+from tessera.plans.job import run_job
 from tessera.session import build_session
 from tessera.sources.readers import JdbcSource, ParquetSource
 from tessera.sources.sinks import JdbcSink, ParquetSink
@@ -74,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         p.error(f"unknown output kind {kind!r}")
 
-    written = run_pipeline(spark, source, sink, flow=args.flow, method=args.method)
+    written = run_job(spark, source, sink, flow=args.flow, method=args.method)
     print(" ".join(written.values()))
     return 0
 

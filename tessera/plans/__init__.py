@@ -1 +1 @@
-"""Flows built from the operators: live, retired rules, retired cleaning, pipeline."""
+"""Flows built from the operators: live, retired rules, retired cleaning, the daily job."""

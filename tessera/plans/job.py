@@ -63,7 +63,7 @@ def read_back(spark: SparkSession, sink: TableSink, name: str) -> DataFrame:
     return loader(spark, name)
 
 
-def run_pipeline(
+def run_job(
     spark: SparkSession,
     source: TableSource,
     sink: TableSink,

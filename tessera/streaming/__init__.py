@@ -2,6 +2,6 @@
 
 The reference is a daily batch job with no streams, watermarks or state, so
 there is no streaming operator here. A caller that lands product updates
-continuously can run :func:`tessera.plans.pipeline.run_pipeline` per batch
+continuously can run :func:`tessera.plans.job.run_job` per batch
 (for example from ``foreachBatch``); the plans themselves are batch plans.
 """

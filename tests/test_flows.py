@@ -1,4 +1,4 @@
-"""Whole-flow properties, the pipeline with sinks, and the oracle at sf0.001."""
+"""Whole-flow properties, the daily job with sinks, and the oracle at sf0.001."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tessera.plans import legacy, live
-from tessera.plans.pipeline import run_pipeline
+from tessera.plans.job import run_job
 from tessera.sources.fixtures import FIXTURES
 from tessera.sources.readers import FrameSource
 from tessera.sources.sinks import ParquetSink
@@ -53,10 +53,10 @@ def test_products_with_engagement_all_appear(small_tables):
 
 
 @pytest.mark.parametrize("flow", ["live", "legacy"])
-def test_pipeline_writes_three_tables(spark, small_tables, scratch, flow):
+def test_job_writes_three_tables(spark, small_tables, scratch, flow):
     sink = ParquetSink(os.path.join(scratch, "out"))
     source = FrameSource({name: small_tables[name] for name in FIXTURES})
-    run_pipeline(spark, source, sink, flow=flow)
+    run_job(spark, source, sink, flow=flow)
     expected = (live.run_live if flow == "live" else legacy.run_legacy)(small_tables)
     for name, df in expected.items():
         written = spark.read.parquet(sink.path(name))
