@@ -113,3 +113,35 @@ def test_hot_key_on_right_of_goal_join_is_split(spark):
     plain = null_safe_join(goals, engagements, {"lc": "iso"}, "left")
     assert sorted((r.lc, r.eid or -1) for r in rows) == sorted((r.lc, r.eid or -1) for r in plain.collect())
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_hot_group_is_split_with_nullable_keys(spark):
+    """Same as above with several non-constant, partly NULL group keys (as in the flagship)."""
+    i = F.col("id")
+    df = spark.range(120_000).select(
+        F.when(i % 3 == 0, F.lit(0)).otherwise(i % 5000).cast("long").alias("gid"),
+        F.when(i % 3 == 0, F.lit("BP")).otherwise(F.when(i % 2 == 0, "OBS").otherwise("EJ")).alias(
+            "resource_package"
+        ),
+        F.when(i % 3 == 0, F.lit("NT"))
+        .otherwise(F.when(i % 5 == 0, F.lit(None)).otherwise("OT"))
+        .alias("bible_book_ref"),
+        F.when(i % 3 == 0, F.lit("Draft"))
+        .otherwise(F.when(i % 7 == 0, F.lit(None)).otherwise("X"))
+        .alias("scripture_text_name"),
+        F.lit("MAT").alias("scriptural_association"),
+        F.when(i % 7 == 0, "Planned").otherwise("Completed").alias("product_status"),
+        i.alias("row_id"),
+    )
+    keys = ["gid", "resource_package", "bible_book_ref", "scripture_text_name"]
+    with skew_conf(spark):
+        out = with_group_values(df, keys, st.live_group_values(), "aggregate").select(
+            "row_id", "BP_num", first_status()
+        )
+        got = {r.row_id: (r.BP_num, r.s) for r in out.collect()}
+        plan = _final_plan(out)
+    assert "SortMergeJoin(skew=true)" in plan
+    ref = with_group_values(df, keys, st.live_group_values(), "window").select(
+        "row_id", "BP_num", first_status()
+    )
+    assert got == {r.row_id: (r.BP_num, r.s) for r in ref.collect()}
