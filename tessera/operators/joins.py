@@ -159,10 +159,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     shuffled join instead of exhausting executor memory. The decision is
     remembered per DataFrame, so a frame used in several joins is counted once.
     """
+    return F.broadcast(df) if within_rows(df, max_rows) else df
+
+
+def within_rows(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` holds at most ``max_rows`` rows (measured once per frame)."""
     seen = _BOUND_CHECKS.setdefault(df, {})
     if max_rows not in seen:
         seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if seen[max_rows] else df
+    return seen[max_rows]
 
 
 def null_key_report(left: DataFrame, right: DataFrame, on: KeySpec) -> DataFrame:

@@ -36,7 +36,9 @@ def legacy_project_status(
 ) -> DataFrame:
     """Products with group size and the retired project-status rules."""
     if method == "aggregate":
-        dim = dimension if dimension is not None else live.engagement_dimension(tables)
+        dim = live.shared_dimension(
+            dimension if dimension is not None else live.engagement_dimension(tables)
+        )
         rows = live.status_rows(
             tables, dim, keys, st.legacy_group_values(), st.legacy_rules(), keep_flags=True
         )

@@ -28,6 +28,7 @@ from tessera.functions.text import blank_to_null, combined_name, completed_scrip
 from tessera.operators.joins import (
     add_membership_flags,
     broadcast_if_small,
+    within_rows,
     col,
     left_join_split,
     membership_lookup,
@@ -304,6 +305,19 @@ def status_rows(
     )
 
 
+def shared_dimension(dim: DataFrame) -> DataFrame:
+    """The dimension as read by both the row-count factor and the final attach.
+
+    A dimension proven to be within the broadcast bound is cached, so the two
+    reads share one computation. A larger one is left alone: the daily job
+    has already materialized it, and caching it would hold engagement-scale
+    data in executor memory.
+    """
+    if within_rows(dim, DIMENSION_BROADCAST_ROWS):
+        return dim.cache()
+    return dim
+
+
 def attach_dimension(rows: DataFrame, dim: DataFrame) -> DataFrame:
     """Output A layout: product columns, dimension columns, then the derived ones.
 
@@ -337,7 +351,7 @@ def project_status(
     in one task).
     """
     if prepared is None and method == "aggregate":
-        dim = dimension if dimension is not None else engagement_dimension(tables)
+        dim = shared_dimension(dimension if dimension is not None else engagement_dimension(tables))
         return attach_dimension(status_rows(tables, dim, keys), dim)
     prep = prepared if prepared is not None else prepared_products(tables, dimension)
     x = with_group_values(prep, keys, st.live_group_values(), method)
