@@ -16,25 +16,60 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def final_plan(plan: str) -> str:
     """The executed part of an adaptive plan string (drop the initial plan)."""
-    if "== Final Plan ==" in plan:
-        plan = plan.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
+    # Only the outer markers start a line; plans nested in cached relations
+    # carry their own, indented ones.
+    if "\n+- == Final Plan ==" in plan:
+        plan = plan.split("\n+- == Final Plan ==", 1)[1].split("\n+- == Initial Plan ==", 1)[0]
     return plan
 
 
-def summarize(plan: str) -> dict:
-    plan = final_plan(plan)
+STAGE_WRAPPERS = ("ShuffleQueryStage", "BroadcastQueryStage", "TableCacheQueryStage", "ResultQueryStage")
+
+
+def plan_nodes(node):
+    """Operators of an executed plan, through adaptive plans and query stages.
+
+    Cached relations are not entered: they are computed once and appear as
+    one ``InMemoryTableScan``.
+    """
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        yield from plan_nodes(node.finalPhysicalPlan())
+        return
+    if name in STAGE_WRAPPERS:
+        yield from plan_nodes(node.plan())
+        return
+    yield node
+    children = node.children()
+    for i in range(children.size()):
+        yield from plan_nodes(children.apply(i))
+
+
+def run(df) -> None:
+    """Execute the DataFrame's own query (finalizing its adaptive plan) without
+    bringing rows to the driver."""
+    df._jdf.queryExecution().toRdd().count()
+
+
+def summarize(df) -> dict:
+    nodes = list(plan_nodes(df._jdf.queryExecution().executedPlan()))
+    names = [n.nodeName() for n in nodes]
     return {
-        "shuffles": len(re.findall(r"Exchange hashpartitioning|Exchange SinglePartition|Exchange RoundRobin", plan)),
-        "reused_shuffles": plan.count("ReusedExchange"),
-        "broadcasts": plan.count("BroadcastExchange"),
-        "broadcast_hash_joins": plan.count("BroadcastHashJoin"),
-        "sort_merge_joins": plan.count("SortMergeJoin"),
+        "shuffles": names.count("Exchange"),
+        "reused_shuffles": sum(1 for n in nodes if n.nodeName() == "ReusedExchange"),
+        "broadcasts": names.count("BroadcastExchange"),
+        "broadcast_hash_joins": names.count("BroadcastHashJoin"),
+        "sort_merge_joins": names.count("SortMergeJoin"),
         "partial_aggregates": sum(
-            1 for line in plan.splitlines() if "HashAggregate" in line and "partial_" in line
+            1
+            for n in nodes
+            if n.nodeName() in ("HashAggregate", "ObjectHashAggregate", "SortAggregate")
+            and "partial_" in n.simpleString(100)
         ),
-        "windows": len(re.findall(r"\bWindow \[", plan)),
-        "nested_loop_or_cartesian": plan.count("NestedLoop") + plan.count("CartesianProduct"),
-        "python_udfs": plan.count("BatchEvalPython") + plan.count("ArrowEvalPython"),
+        "windows": names.count("Window"),
+        "nested_loop_or_cartesian": names.count("BroadcastNestedLoopJoin") + names.count("CartesianProduct"),
+        "python_udfs": names.count("BatchEvalPython") + names.count("ArrowEvalPython"),
+        "cache_scans": names.count("InMemoryTableScan"),
     }
 
 
@@ -45,20 +80,20 @@ def main() -> None:
 
     spark = build_session("local[8]", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
-    print("| query | shuffles | reused | broadcasts | BHJ | SMJ | partial aggs | windows | loops/cartesian | Python UDFs |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
+    print("| query | shuffles | reused | broadcasts | BHJ | SMJ | partial aggs | cache scans | windows | loops/cartesian | Python UDFs |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     scans = {}
     for name, build in entry.queries().items():
         df = build(spark, sf_dir)
-        df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        s = summarize(plan)
+        run(df)
+        plan = final_plan(df._jdf.queryExecution().executedPlan().toString())
+        s = summarize(df)
         print(
             f"| {name} | {s['shuffles']} | {s['reused_shuffles']} | {s['broadcasts']} | {s['broadcast_hash_joins']} | "
-            f"{s['sort_merge_joins']} | {s['partial_aggregates']} | {s['windows']} | "
+            f"{s['sort_merge_joins']} | {s['partial_aggregates']} | {s['cache_scans']} | {s['windows']} | "
             f"{s['nested_loop_or_cartesian']} | {s['python_udfs']} |"
         )
-        for m in re.finditer(r"FileScan parquet \S*\[([^\]]*)\].*?Location: \S+\(\d+ paths\)\[file:[^\]]*/(\w+)\.parquet\]", final_plan(plan)):
+        for m in re.finditer(r"FileScan parquet \S*\[([^\]]*)\].*?Location: \S+\(\d+ paths\)\[file:[^\]]*/(\w+)\.parquet\]", plan):
             scans.setdefault(m.group(2), set()).add(m.group(1).count(",") + 1)
     print()
     print("Columns read per scan (by table):", {k: sorted(v) for k, v in sorted(scans.items())})

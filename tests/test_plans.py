@@ -7,14 +7,14 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from tests.plan_summary import final_plan
+from tests.plan_summary import final_plan, run
 
 SF_SMALL = "/root/testdata/sf0.001"
 
 
 def _executed_plan(spark, name: str) -> str:
     df = entry.queries()[name](spark, SF_SMALL)
-    df.collect()
+    run(df)
     return final_plan(df._jdf.queryExecution().executedPlan().toString())
 
 
