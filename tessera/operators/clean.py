@@ -17,9 +17,14 @@ from tessera.functions.text import flatten_struct_columns, ordered_join
 from tessera.operators.joins import col, null_safe_join
 from tessera.operators.rollup import priority_rank, value_of_rank
 
-# Month-first forms tried before ISO forms.
-MONTH_DAY_YEAR_PATTERNS = ("M/d/yyyy", "M-d-yyyy", "M/d/yy", "MMMM d, yyyy", "MMM d, yyyy")
+# Month-first forms tried before ISO forms. Two-digit years
+# ("1/5/98") are handled separately, see two_digit_year_date.
+MONTH_DAY_YEAR_PATTERNS = ("M/d/yyyy", "M-d-yyyy", "MMMM d, yyyy", "MMM d, yyyy")
 ISO_DATE_PATTERNS = ("yyyy-MM-dd", "yyyy/MM/dd")
+# Fixed value: two-digit years up to this one are 20xx, later ones 19xx.
+TWO_DIGIT_YEAR_CUTOFF = 68
+
+_SHORT_MDY = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{2})$"
 
 # Network sensitivity, most restrictive first.
 SENSITIVITY_PRIORITY = ("Confidential", "Restricted", "Unrestricted")
@@ -37,9 +42,23 @@ def parse_mixed_date(
     costs an exception per row, so each pattern is only tried where cheap
     necessary conditions hold (see :func:`pattern_may_match`).
     """
-    return F.coalesce(
-        *[F.when(pattern_may_match(text, p), F.try_to_date(text, p)) for p in (*first, *then)]
-    )
+    month_first = [F.when(pattern_may_match(text, p), F.try_to_date(text, p)) for p in first]
+    iso = [F.when(pattern_may_match(text, p), F.try_to_date(text, p)) for p in then]
+    return F.coalesce(*month_first, two_digit_year_date(text), *iso)
+
+
+def two_digit_year_date(text: Column, cutoff: int = TWO_DIGIT_YEAR_CUTOFF) -> Column:
+    """Month/day/two-digit-year text ("1/5/98", "12-31-05") as a date.
+
+    Spark's ``yy`` reads every two-digit year as 20xx; the reference's parser
+    reads years up to ``cutoff`` as 20xx and later ones as 19xx, so the
+    century is chosen here before parsing the full date.
+    """
+    month, day, yy = (F.regexp_extract(text, _SHORT_MDY, i) for i in (1, 2, 3))
+    y = yy.try_cast("int")
+    year = F.when(y <= cutoff, y + 2000).otherwise(y + 1900)
+    iso = F.concat(year.cast("string"), F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"))
+    return F.when(text.rlike(_SHORT_MDY), F.try_to_date(iso, "yyyy-MM-dd"))
 
 
 def pattern_may_match(text: Column, pattern: str) -> Column:

@@ -195,3 +195,30 @@ def test_null_key_report(spark):
     r = {row.side: (row.rows, row.null_rows) for row in null_key_report(left, right, {"k": "rk"}).collect()}
     assert r == {"left": (3, 2), "right": (4, 3)}
     assert null_safe_join(left, right, {"k": "rk"}).count() == r["left"][1] * r["right"][1]
+
+
+def test_mixed_dates_two_digit_years_and_forms(spark):
+    import datetime as dt
+
+    from tessera.operators.clean import parse_mixed_date
+
+    cases = [
+        ("1/5/1998", dt.date(1998, 1, 5)),
+        ("10-3-1998", dt.date(1998, 10, 3)),
+        ("1/5/98", dt.date(1998, 1, 5)),
+        ("12-31-05", dt.date(2005, 12, 31)),
+        ("6/1/68", dt.date(2068, 6, 1)),
+        ("6/1/69", dt.date(1969, 6, 1)),
+        ("January 5, 1998", dt.date(1998, 1, 5)),
+        ("Jan 5, 1998", dt.date(1998, 1, 5)),
+        ("1998-01-05", dt.date(1998, 1, 5)),
+        ("1998/01/05", dt.date(1998, 1, 5)),
+        ("13/45/2000", None),
+        ("2/30/99", None),
+        ("not a date", None),
+        ("", None),
+        (None, None),
+    ]
+    df = spark.createDataFrame([(t,) for t, _ in cases], "t string")
+    got = [r[0] for r in df.select(parse_mixed_date(F.col("t"))).collect()]
+    assert got == [want for _, want in cases]
