@@ -57,3 +57,14 @@ def test_cli_runs_the_job_on_parquet(spark, small_tables, scratch):
         "master_uw_language_engagements": 111,
         "pb_language_engagements": 119,
     }
+
+
+def test_cluster_profile_sizes_for_full_scale():
+    from tessera.session import CLUSTER_CONF, DEFAULT_CONF
+
+    assert DEFAULT_CONF["spark.sql.adaptive.enabled"] == "true"
+    assert DEFAULT_CONF["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert DEFAULT_CONF["spark.ui.enabled"] == "false"
+    assert int(CLUSTER_CONF["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 10_000
+    assert CLUSTER_CONF["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert CLUSTER_CONF["spark.storage.decommission.shuffleBlocks.enabled"] == "true"
