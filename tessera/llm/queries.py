@@ -6,13 +6,18 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import order, packing
+from tessera.llm import mixing, order, packing, quality, sharding, simhash, templates
 from tessera.llm.common import Scratch, ship_package
 
 END_ID = 1
 MAX_TOKENS = 4096
 ORDER_KEY = 20_240_601
+QUALITY_THRESHOLD = 0.3
+SHARDS = 16
+SIMHASH_SHINGLE = 3
+SIMHASH_BITS = 2
 
 
 def tokenizer_path() -> str:
@@ -44,18 +49,81 @@ def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).sequences
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the number of lines dropped and what is left of its text."""
+    out = templates.drop_recurring_lines(table(spark, sf_dir, "documents"), Scratch(spark, "lines"))
+    return out.select(
+        "doc_id",
+        F.col("n_dropped").cast("long").alias("n_dropped"),
+        F.length("text").cast("long").alias("n_chars_kept"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
+
+
+def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All columns of ``docs`` and ``score``, learnt from the labels."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return docs.withColumn("score", model.score_column(F.col("text")))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_scores(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), sf_dir)
+    return scored.select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        quality.predicted(F.col("score"), QUALITY_THRESHOLD).alias("predicted"),
+    )
+
+
+def op5_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), Scratch(spark, "sharding"), SHARDS)
+    return out.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces = packing.token_pieces(docs, tokenizer_path(), MAX_TOKENS, END_ID)
     return packing.pack(pieces, MAX_TOKENS, Scratch(spark, "packing"))
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), Scratch(spark, "mixing"))
+    return mixed.select(
+        "doc_id",
+        F.col("__size").alias("size"),
+        F.col("__source_size").alias("source_size"),
+        F.col("__target").alias("target"),
+        (F.col("__copies") * F.col("__size")).alias("taken"),
+    )
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = simhash.near_duplicates(
+        table(spark, sf_dir, "documents"), Scratch(spark, "simhash"), SIMHASH_SHINGLE, SIMHASH_BITS
+    )
+    return classes.select("doc_id", simhash.fp_hex("fp").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: registered(query)
     for query in (
         op1_training_order,
+        op3_line_dedup,
+        op4_quality_classifier,
+        op5_sampled_splitters,
         op6_best_fit_packing,
+        op7_source_mixing,
+        op8_simhash_near_dedup,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_source_mixing": mixing.mix_sql()}
