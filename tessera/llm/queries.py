@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, order, packing, quality, sharding, simhash, templates
-from tessera.llm.common import Scratch, ship_package
+from tessera.llm import mixing, order, packing, quality, secrets, sharding, simhash, templates, weighted
+from tessera.llm.common import Scratch, parts_for, ship_package
 
 END_ID = 1
 MAX_TOKENS = 4096
@@ -113,6 +113,33 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", simhash.fp_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op9_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = weighted.fingerprint_pairs(
+        table(spark, sf_dir, "documents"), parts_for(spark), Scratch(spark, "weighted")
+    )
+    return out.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        weighted.as_text(F.col("signature")).alias("fingerprint"),
+        weighted.as_text(F.col("edited_signature")).alias("edited_fingerprint"),
+        weighted.likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
+        weighted.likeness(F.col("signature"), F.col("next_signature")).alias("near_next"),
+    )
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"), Scratch(spark, "secrets"))
+    return found.select(
+        "doc_id",
+        *[secrets.count_kind(F.col("base"), k).alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(secrets.joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+        "n_examples",
+        "n_live",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: registered(query)
     for query in (
@@ -123,6 +150,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_best_fit_packing,
         op7_source_mixing,
         op8_simhash_near_dedup,
+        op9_weighted_sampling,
+        op10_secret_scan,
     )
 }
 
