@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, order, packing, quality, secrets, sharding, simhash, templates, weighted
+from tessera.llm import collisions, mixing, order, packing, quality, secrets, sharding, simhash, templates, weighted
 from tessera.llm.common import Scratch, parts_for, ship_package
 
 END_ID = 1
@@ -16,6 +16,7 @@ MAX_TOKENS = 4096
 ORDER_KEY = 20_240_601
 QUALITY_THRESHOLD = 0.3
 SHARDS = 16
+COSINE = 0.95
 SIMHASH_SHINGLE = 3
 SIMHASH_BITS = 2
 
@@ -49,6 +50,11 @@ def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).sequences
 
 
+def op2_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = collisions.near_duplicates(table(spark, sf_dir, "embeddings"), Scratch(spark, "collisions"), COSINE)
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the number of lines dropped and what is left of its text."""
     out = templates.drop_recurring_lines(table(spark, sf_dir, "documents"), Scratch(spark, "lines"))
@@ -144,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: registered(query)
     for query in (
         op1_training_order,
+        op2_collision_counting,
         op3_line_dedup,
         op4_quality_classifier,
         op5_sampled_splitters,
