@@ -266,10 +266,12 @@ def keep_one(docs: DataFrame, scratch: Scratch, shingle_words: int = 3, bound: i
         .withColumn("__own", fp_of("text"))
         .join(several, col("doc_id").eqNullSafe(col("__id")) & (col("__own") == col("__fp")), "left_semi")
         .groupBy("doc_id", "__own")
-        .agg(F.min(F.struct("text", *others)).alias("r"))
+        .agg(F.min(F.struct("text", *[col(c) for c in others])).alias("r"))
         .select("doc_id", "r.*")
     )
-    return docs.join(alone, col("doc_id") == col("__id"), "left_semi").unionByName(repeats.select(*docs.columns))
+    return docs.join(alone, col("doc_id") == col("__id"), "left_semi").unionByName(
+        repeats.select(*[col(c) for c in docs.columns])
+    )
 
 
 def fp_hex(fp: str) -> Column:

@@ -92,7 +92,10 @@ def signatures(rows: DataFrame, keys: list[str], text_col: str, samples: int = S
     terms = rows.select(*own, F.explode_outer(weighted_terms(F.coalesce(col(text_col), F.lit("")))).alias("t"))
     flat = terms.select(*own, F.col("t.term").alias("term"), F.log(F.col("t.weight").cast("double")).alias("lw"))
     least = flat.groupBy(*own).agg(
-        *[F.min(_sample(F.col("term"), F.col("lw"), n)).alias(f"s{n}") for n in range(samples)]
+        *[
+            F.min(F.when(F.col("term").isNotNull(), _sample(F.col("term"), F.col("lw"), n))).alias(f"s{n}")
+            for n in range(samples)
+        ]
     )
     all_samples = F.array(*[F.coalesce(F.col(f"s{n}"), F.lit(EMPTY).cast("long")) for n in range(samples)])
     return least.select(*own, all_samples.alias("signature"))

@@ -1,0 +1,143 @@
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tessera.llm import secrets, weighted
+from tests.llm.conftest import make_docs, odd_rows
+
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
+)
+KEY = "AKIA" + "ABCDEFGH12345678"
+HEX = "0123456789abcdef" * 2
+SECRETS = [
+    (1, f"é password = 'hunter2-long' and TOKEN:abc, {KEY}x {HEX} end", "a"),
+    (2, f"password: token: abcdef123 api_key=\"{HEX}\" apikey:{KEY}{KEY}", "b"),
+    (3, "secret=short token==abcdefg Passwd : 'x' ſecret=longlonglong toKen=longlonglong", "c"),
+    (4, f"{KEY}", "a"),
+    (5, f"日本 {HEX}{HEX} ghp_Zx81LmQ0aPq77TtRr2 tail", "d"),
+    (6, "Zx81LmQ0aPq77TtRr2Zx81LmQ0 and " + KEY, "e"),
+    (7, None, "f"),
+    (8, "", None),
+    (None, f"token={HEX}", None),
+    (10, f"password = 'hunter2-long' {KEY}", "z"),
+]
+
+
+def plain_spans(text):
+    text = text or ""
+    spans = [(m.start(), 0, "assign", m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    spans += [(m.start(), 1, "access", m.end(), m[0]) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [(m.start(), 2, "hex", m.end(), m[0]) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [(k, a, b, v) for a, _, k, b, v in sorted(spans)]
+
+
+def test_base_spans_and_owners(ready, work):
+    rows = SECRETS + [SECRETS[0]]
+    got = secrets.scan(make_docs(ready, rows).repartition(3), work).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _, _ in rows)
+    by_id = {r.doc_id: r for r in got}
+    holders = {}
+    for i, t, s in rows:
+        for k, a, b, v in plain_spans(t):
+            holders.setdefault(v, set()).add((s, i))
+    for i, t, _ in rows:
+        want = plain_spans(t)
+        assert [(s.kind, s.start, s.end, s.value) for s in by_id[i].base] == want
+        for s in by_id[i].base:
+            assert s.owners == len({o for o, _ in holders[s.value]})
+            assert s.repositories == len(holders[s.value])
+        more = [s for s in by_id[i].spans if s.kind == secrets.OWNED]
+        assert all(s.owners == 1 and (t or "")[s.start : s.end] == s.value for s in more)
+    assert [s.value for s in by_id[5].spans if s.kind == secrets.OWNED] == ["ghp_Zx81LmQ0aPq77TtRr2"]
+    # Three sources hold the access key: a copied example.
+    assert by_id[4].n_examples == 1 and by_id[4].n_live == 0
+
+
+def test_joined_spans_of_empty_documents(ready, work, empty):
+    digest = secrets.scan(make_docs(ready, SECRETS), work).select(
+        "doc_id", F.sha2(secrets.joined(F.col("base")).cast("binary"), 256).alias("h"), secrets.joined("spans").alias("j")
+    )
+    by_id = {r.doc_id: r for r in digest.collect()}
+    for i, t, _ in SECRETS:
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b, _ in plain_spans(t))
+        assert by_id[i].h == hashlib.sha256(text.encode()).hexdigest()
+    assert by_id[7].j == by_id[8].j == ""
+    assert secrets.scan(empty, work).count() == 0
+
+
+def test_weighted_terms_are_counts(ready):
+    texts = ["a b a c a", "", "  ", "x", "b b b b", None]
+    df = ready.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", weighted.weighted_terms(F.coalesce("t", F.lit(""))).alias("w")).collect()
+    for r in rows:
+        assert sorted(x.weight for x in r.w) == sorted(Counter((r.t or "").split()).values())
+
+
+def test_neighbours_and_edits(ready, odd, empty):
+    rows = [(r.doc_id, r.text, r.next_id, r.next_text) for r in weighted.with_next(odd, 4).collect()]
+    ids = sorted((i for i, _, _ in odd_rows()), key=lambda i: (i is not None, i or 0))
+    assert sorted(map(str, (r[0] for r in rows))) == sorted(map(str, ids))
+    after = {a: b for a, b in zip(ids, [*ids[1:], ids[0]]) if ids.count(a) == 1}
+    for i, _, n, _ in rows:
+        assert i not in after or n == after[i]
+    assert weighted.with_next(empty, 4).count() == 0
+    one = weighted.with_next(make_docs(ready, [(3, "abcdefgh", "s")]), 4).select(
+        weighted.edited(F.col("text"), F.col("next_text")).alias("e")
+    )
+    assert one.first().e == "abcdefab"
+
+
+def jaccard(a, b):
+    x, y = Counter((a or "").split()), Counter((b or "").split())
+    both = set(x) | set(y)
+    return sum(min(x[k], y[k]) for k in both) / max(1, sum(max(x[k], y[k]) for k in both))
+
+
+def test_collision_rate_is_generalised_jaccard(ready, work):
+    import random
+
+    rng = random.Random(3)
+    vocab = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choices(vocab, [1 / (k + 1) for k in range(40)], k=80)), "s") for i in range(120)]
+    got = weighted.fingerprint_pairs(make_docs(ready, rows).repartition(3), 3, work, samples=64).select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        weighted.likeness(F.col("signature"), F.col("edited_signature")).alias("e"),
+        weighted.likeness(F.col("signature"), F.col("next_signature")).alias("n"),
+    )
+    errors = []
+    by_id = {r.doc_id: r for r in got.collect()}
+    for k, (i, t, _) in enumerate(rows):
+        following = rows[(k + 1) % len(rows)][1]
+        cut = len(t) // 4
+        changed = t[: len(t) - cut] + following[:cut]
+        assert by_id[i].n_chars == len(t)
+        assert by_id[i].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+        errors += [by_id[i].e - jaccard(t, changed), by_id[i].n - jaccard(t, following)]
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.09
+
+
+def test_equal_texts_have_equal_signatures(ready, odd, work, empty):
+    rows = weighted.fingerprint_pairs(odd, 4, work).collect()
+    assert len(rows) == len(odd_rows())
+    texts = {i: t for i, t, _ in odd_rows()}
+    by_text = {}
+    for r in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", texts[r.doc_id] or "")
+        by_text.setdefault(" ".join(sorted(words)), set()).add(tuple(r.signature))
+    assert all(len(s) == 1 for s in by_text.values())
+    assert tuple([weighted.EMPTY] * weighted.SAMPLES) in by_text[""]
+    assert weighted.fingerprint_pairs(empty, 4, work).count() == 0
+
+
+def test_plans_hold_no_python(ready, odd, work):
+    for df in (secrets.scan(odd, work), weighted.fingerprint_pairs(odd, 4, work)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
