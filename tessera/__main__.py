@@ -4,7 +4,8 @@ Inputs and outputs are ``parquet:<dir>`` (tables as ``<dir>/<name>.parquet``
 in, ``<dir>/<name>`` out) or ``jdbc:<url>``. JDBC credentials come from
 ``--jdbc-option user=...`` or the environment variables
 ``TESSERA_JDBC_USER`` / ``TESSERA_JDBC_PASSWORD``. A large table can be read
-in parallel ranges with ``--jdbc-partition table:column:lower:upper:parts``.
+in parallel ranges with ``--jdbc-partition table:column:lower:upper:parts``; the
+product table must be.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import os
 import sys
 
 from tessera.plans.job import run_job
-from tessera.session import build_session
+from tessera.session import build_session, size_shuffles, stored_bytes
 from tessera.sources.readers import JdbcSource, ParquetSource
 from tessera.sources.sinks import JdbcSink, ParquetSink
 
@@ -48,21 +49,27 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--input", required=True, help="parquet:<dir> or jdbc:<url>")
     p.add_argument("--output", required=True, help="parquet:<dir> or jdbc:<url>")
     p.add_argument("--flow", choices=["live", "legacy"], default="live")
-    p.add_argument("--method", choices=["aggregate", "window"], default="aggregate")
     p.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
     p.add_argument("--jdbc-partition", action="append", default=[], metavar="T:COL:LO:HI:N")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     p.add_argument("--profile", choices=["local", "cluster"], default="cluster")
+    p.add_argument("--checkpoint-dir", default=None, help="shared directory, where spark.checkpoint.dir is unset")
+    p.add_argument("--input-gb", type=float, default=None, help="size of a JDBC input, to size shuffles from")
     args = p.parse_args(argv)
 
-    spark = build_session(args.master, app_name=f"tessera-{args.flow}", profile=args.profile)
+    spark = build_session(
+        args.master, app_name=f"tessera-{args.flow}", profile=args.profile, checkpoint_dir=args.checkpoint_dir
+    )
     jdbc = _jdbc_options(args.jdbc_option)
 
     kind, _, where = args.input.partition(":")
     if kind == "parquet":
         source = ParquetSource(spark, where)
+        size_shuffles(spark, stored_bytes(spark, where))
     elif kind == "jdbc":
         source = JdbcSource(spark, where, jdbc, _partitions(args.jdbc_partition))
+        if args.input_gb is not None:
+            size_shuffles(spark, int(args.input_gb * 2**30))
     else:
         p.error(f"unknown input kind {kind!r}")
 
@@ -74,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         p.error(f"unknown output kind {kind!r}")
 
-    written = run_job(spark, source, sink, flow=args.flow, method=args.method)
+    written = run_job(spark, source, sink, flow=args.flow)
     print(" ".join(written.values()))
     return 0
 

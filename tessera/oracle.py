@@ -23,32 +23,38 @@ language_engagements AS (
     c_custkey % 9 AS uw_rep_id, c_custkey % 12 AS translation_organization_id
   FROM customer),
 sli_language_data AS (
-  SELECT 'st' || CAST(p_partkey AS VARCHAR) AS bcp47, p_size % 5 AS resource_level FROM part WHERE p_size <= 25
+  SELECT CASE WHEN p_size <= 25 THEN 'st' ELSE 'none' END || CAST(p_partkey AS VARCHAR) AS bcp47,
+    p_size % 5 AS resource_level FROM part
   UNION ALL
-  SELECT 'st' || CAST(p_partkey AS VARCHAR) AS bcp47, 9 AS resource_level FROM part WHERE p_size <= 5),
+  SELECT CASE WHEN p_size <= 5 THEN 'st' ELSE 'nil' END || CAST(p_partkey AS VARCHAR) AS bcp47,
+    9 AS resource_level FROM part),
 countries AS (
-  SELECT 'C' || CAST(n_nationkey AS VARCHAR) AS alpha_3_code, 'c' || CAST(n_nationkey AS VARCHAR) AS alpha_2_code,
+  SELECT CASE WHEN n_nationkey < 22 THEN 'C' ELSE 'X' END || CAST(n_nationkey AS VARCHAR) AS alpha_3_code,
+    CASE WHEN n_nationkey < 22 THEN 'c' ELSE 'x' END || CAST(n_nationkey AS VARCHAR) AS alpha_2_code,
     n_name AS english_short_name, r_name AS world_region
-  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 22),
+  FROM nation JOIN region ON n_regionkey = r_regionkey),
 organizations AS (
-  SELECT s_suppkey AS org_id, s_name AS name, 'S' || CAST(s_suppkey AS VARCHAR) AS abbreviation,
+  SELECT CASE WHEN s_suppkey % 11 <> 7 THEN s_suppkey ELSE -s_suppkey END AS org_id, s_name AS name, 'S' || CAST(s_suppkey AS VARCHAR) AS abbreviation,
     CASE s_suppkey % 3 WHEN 0 THEN 'Unrestricted' WHEN 1 THEN 'Restricted' ELSE 'Confidential' END AS sensitivity
-  FROM supplier WHERE s_suppkey % 11 <> 7),
+  FROM supplier),
 uw_reps AS (
-  SELECT s_suppkey AS uw_rep_id, s_name AS first_name, s_name AS last_name FROM supplier WHERE s_suppkey <> 8),
+  SELECT CASE WHEN s_suppkey <> 8 THEN s_suppkey ELSE -s_suppkey END AS uw_rep_id,
+    s_name AS first_name, s_name AS last_name FROM supplier),
 pb_language_data AS (
-  SELECT CASE WHEN p_partkey = 0 THEN NULL ELSE 'i' || CAST(p_partkey AS VARCHAR) END AS languagecode,
+  SELECT CASE WHEN p_partkey = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN 'i' || CAST(p_partkey AS VARCHAR)
+      ELSE 'u' || CAST(p_partkey AS VARCHAR) END AS languagecode,
     p_name AS languagename, p_type AS country, 'C' || CAST(p_partkey % 25 AS VARCHAR) AS countrycode,
     CASE p_size % 6 WHEN 0 THEN 'Translation in Progress' WHEN 1 THEN 'Translation Not Started' WHEN 2 THEN 'Not Shown'
       WHEN 3 THEN 'Goal Met' WHEN 4 THEN '' ELSE NULL END AS allaccessstatus,
     p_brand AS allaccessgoal, CASE WHEN p_size % 2 = 0 THEN 'Yes' ELSE 'No' END AS activetranslation,
     CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_type END AS completedscripture,
     CASE WHEN p_size % 5 = 0 THEN NULL ELSE 1970 + p_size END AS latestpublicationyear
-  FROM part WHERE p_partkey % 5 = 0),
+  FROM part),
 bible_info AS (
-  SELECT CASE WHEN p_partkey = 66 THEN NULL ELSE 'BK' || CAST(p_partkey AS VARCHAR) END AS scriptural_association,
-    CASE WHEN p_partkey < 39 OR p_partkey = 66 THEN 'OT' ELSE 'NT' END AS bible_section
-  FROM part WHERE p_partkey <= 66),
+  SELECT CASE WHEN p_partkey % 67 = 66 THEN NULL ELSE 'BK' || CAST(p_partkey % 67 AS VARCHAR) END
+      AS scriptural_association,
+    CASE WHEN p_partkey % 67 < 39 OR p_partkey % 67 = 66 THEN 'OT' ELSE 'NT' END AS bible_section
+  FROM part),
 uw_translation_products AS (
   SELECT language_engagement_id, l_orderkey, l_linenumber, l_partkey, l_suppkey,
     CASE WHEN l_returnflag = 'N' THEN 'BP' WHEN l_returnflag = 'R' THEN 'Scripture Text' WHEN l_linestatus = 'F' THEN 'OBS' ELSE 'EJ' END AS resource_package,
@@ -87,12 +93,32 @@ engagement_org_lists AS (
          ELSE '[' || CAST(c_custkey % 97 AS VARCHAR) || ', ' || CAST((c_custkey * 7) % 113 AS VARCHAR) || ', '
               || CAST(c_nationkey AS VARCHAR) || ']' END AS translating_organization
   FROM customer),
-order_date_text AS (
-  SELECT o_orderkey,
-    CASE o_orderkey % 7 WHEN 0 THEN strftime(o_orderdate, '%-m/%-d/%Y') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d')
-      WHEN 2 THEN strftime(o_orderdate, '%B %-d, %Y') WHEN 3 THEN strftime(o_orderdate, '%-m-%-d-%Y')
-      WHEN 4 THEN strftime(o_orderdate, '%b %-d, %Y') WHEN 5 THEN 'not a date' ELSE NULL END AS start_date
+order_date_forms AS (
+  SELECT o_orderkey, [strftime(o_orderdate, '%-m/%-d/%Y'), strftime(o_orderdate, '%Y-%m-%d'),
+    strftime(o_orderdate, '%B %-d, %Y'), strftime(o_orderdate, '%-m-%-d-%Y'), strftime(o_orderdate, '%b %-d, %Y'),
+    'not a date', NULL, strftime(o_orderdate, '%-m/%-d/') || lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0'),
+    strftime(o_orderdate, '%Y/%m/%d'), strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'),
+    strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || 'Z', strftime(o_orderdate, '%m.%d.%Y'),
+    strftime(o_orderdate, '%m%d%Y'), strftime(o_orderdate, '%b %-d %Y'), strftime(o_orderdate, '%B %-d %Y'),
+    ' ' || strftime(o_orderdate, '%-m/%-d/%Y') || ' ', strftime(o_orderdate, '%-m / %-d / %Y'), '13/45/2000'] AS f
   FROM orders),
+order_date_text AS (
+  SELECT o_orderkey, f[1 + o_orderkey % 18] AS start_date, f[1 + (o_orderkey * 5 + 3) % 18] AS published_date
+  FROM order_date_forms),
+event_records AS (
+  SELECT event_id, n, '{"id": ' || CAST(event_id * 10 + n AS VARCHAR) || ', "languageName": "' || event_type || '-'
+    || CAST(n AS VARCHAR) || '", "geo": {"country": {"code": "C' || CAST((event_id + n) % 25 AS VARCHAR)
+    || '"}, "size": ' || CAST(event_id * 10 + n AS VARCHAR) || '}, "tags": ["a' || CAST(event_id * 10 + n AS VARCHAR)
+    || '", "b"]' || CASE WHEN (event_id + n) % 4 = 0 THEN '' ELSE ', "level": ' || CAST((event_id + n) % 7 AS VARCHAR) END
+    || '}' AS record
+  FROM events, range(3) AS r(n)),
+event_documents AS (
+  SELECT event_id,
+    CASE WHEN event_id % 12 = 9 THEN NULL WHEN event_id % 12 = 10 THEN '{"resource": [{"id": '
+      ELSE '{"resource": [' || coalesce(string_agg(record, ', ' ORDER BY n) FILTER (n <
+        CASE WHEN event_id % 12 = 0 THEN 0 WHEN event_id % 12 <= 4 THEN 1 WHEN event_id % 12 <= 8 THEN 2 ELSE 3 END), '')
+        || ']}' END AS document
+  FROM event_records GROUP BY event_id),
 country_cross_reference AS (
   SELECT CASE WHEN n_nationkey = 5 THEN NULL ELSE 'R' || CAST(n_nationkey AS VARCHAR) END AS ROG3,
     'c' || CAST(n_nationkey AS VARCHAR) AS ISO2, upper(n_name) AS Ctry
@@ -154,6 +180,7 @@ prep_flags AS (
   LEFT JOIN sections s ON p.scriptural_association IS NOT DISTINCT FROM s.scriptural_association)
 """
 
+# The columns of a prepared product, in output order.
 PREP_COLUMNS = """language_engagement_id, l_orderkey, l_linenumber, l_partkey, l_suppkey, resource_package,
     resource_format, scriptural_association, scripture_text_name, product_status, ietf_id,
     primary_anglicized_name, alternative_names, subtag_new, resource_level, english_short_name, country_id,
@@ -206,6 +233,7 @@ def live_projects_cte(name: str, keys: str) -> str:
   FROM {name}_w)"""
 
 
+# Group keys of the two flows and of the display-name form.
 LEGACY_KEYS = (
     "english_short_name, combined_anglicized_name, resource_package, resource_format, "
     "bible_book_ref, scripture_text_name"
@@ -255,6 +283,7 @@ def _rollup(source: str, key: str, order: tuple[str, ...]) -> str:
   FROM {source} GROUP BY {key}"""
 
 
+# Rollup priorities of the two flows, highest first.
 LIVE_ORDER = ("Active", "Future", "Paused", "Inactive", "Intent", "Completed")
 LEGACY_ORDER = ("Active", "Future", "Paused", "Completed", "Inactive")
 
@@ -312,7 +341,24 @@ def _q(body: str) -> str:
     return f"{PREFIX}\n{body.strip()}"
 
 
+def _date_sql(name: str) -> str:
+    """Month-first forms by format, the century chosen by hand, then ISO."""
+    t = f"trim(replace({name}, ' / ', '/'))"
+    formats = ("%m/%d/%Y", "%m-%d-%Y", "%m.%d.%Y", "%m%d%Y", "%B %d, %Y", "%b %d, %Y", "%B %d %Y", "%b %d %Y")
+    tried = ", ".join(f"try_strptime({t}, '{f}')" for f in formats)
+    short = (
+        f"CASE WHEN regexp_full_match({t}, '[0-9]+/[0-9]+/[0-9][0-9]') THEN try_strptime("
+        f"regexp_replace({t}, '[0-9][0-9]$', '') || CASE WHEN right({t}, 2) <= '68' THEN '20' ELSE '19' END"
+        f" || right({t}, 2), '%m/%d/%Y') END"
+    )
+    iso = ", ".join(f"try_strptime(left({t}, 10), '{f}')" for f in ("%Y-%m-%d", "%Y/%m/%d"))
+    return f"CAST(coalesce({short}, {tried}, {iso}) AS DATE)"
+
+
 ORACLE_SQL: dict[str, str] = {
+    "engagement_organization_links": _q(
+        "SELECT c_custkey AS language_engagement_id, c_custkey % 12 AS org_id FROM customer"
+    ),
     "engagement_locale": _q("SELECT * FROM eng_locale_c"),
     "engagement_org_rep": _q("SELECT * FROM eng_org_rep"),
     "engagement_eligibility": _q("SELECT * FROM eng_dim"),
@@ -363,11 +409,7 @@ ORACLE_SQL: dict[str, str] = {
   FROM exploded_orgs GROUP BY language_engagement_id"""
     ),
     "mixed_dates": _q(
-        """SELECT o_orderkey, start_date,
-    CAST(coalesce(try_strptime(start_date, '%m/%d/%Y'), try_strptime(start_date, '%m-%d-%Y'),
-      try_strptime(start_date, '%m/%d/%y'), try_strptime(start_date, '%B %d, %Y'),
-      try_strptime(start_date, '%b %d, %Y'), try_strptime(start_date, '%Y-%m-%d'),
-      try_strptime(start_date, '%Y/%m/%d')) AS DATE) AS new_start
+        f"""SELECT o_orderkey, {_date_sql('start_date')} AS new_start, {_date_sql('published_date')} AS new_published
   FROM order_date_text"""
     ),
     "strip_column_prefix": _q(
@@ -384,6 +426,19 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "group_by_display_name": _q("SELECT * FROM display_projects"),
     "json_document": _q(
-        """SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS "props.k" FROM events"""
+        """SELECT d.event_id, CAST(json_extract(r, '$.id') AS BIGINT) AS id,
+    json_extract_string(r, '$.languageName') AS languageName,
+    json_extract_string(r, '$.geo.country.code') AS "geo.country.code",
+    CAST(json_extract(r, '$.geo.size') AS BIGINT) AS "geo.size",
+    array_to_string(CAST(json_extract(r, '$.tags') AS VARCHAR[]), ';') AS tags,
+    CAST(json_extract(r, '$.level') AS INTEGER) AS level
+  FROM event_documents d LEFT JOIN (
+    SELECT event_id, unnest(CAST(json_extract(document, '$.resource') AS JSON[])) AS r
+    FROM event_documents WHERE json_valid(document)) x ON d.event_id = x.event_id"""
     ),
 }
+ORACLE_SQL |= {
+    "written_projects": ORACLE_SQL["project_status"],
+    "written_engagements": ORACLE_SQL["engagement_master"],
+    "written_goals": ORACLE_SQL["goal_coverage"],
+}

@@ -19,22 +19,22 @@ DEFAULT_CONF = {
 
 
 # Settings for the full-size job (on the order of 100 TB of product rows on
-# about 1,000 executors). Shuffles here carry narrow product rows, tens of
-# TB at that size: start from enough partitions for ~256 MB each and let AQE
-# coalesce small ones. Scan splits of 256 MB keep the task count near 1e5.
-# A partition over 1 GB and 5x the median is split by the skew-join rule.
-# Decommissioning migrates shuffle and cached blocks off an executor that is
-# being taken away, so its map output is not recomputed.
+# about 1,000 executors). Scan splits of 1 GB keep the map side at 1e5 tasks
+# there; the number of reducers is set from the input by size_shuffles(). A
+# partition over 1 GB and 5x the median is split by the skew-join rule.
+# Blocks are meant to be served by the external shuffle service with
+# push-based merging (YARN): a reducer then reads merged chunks instead of a
+# small block from every map task. Without that service, decommissioning
+# migrates shuffle and cached blocks off an executor that is being taken away.
 CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "80000",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "80000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "1g",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.shuffle.push.enabled": "true",
     "spark.decommission.enabled": "true",
     "spark.storage.decommission.enabled": "true",
     "spark.storage.decommission.shuffleBlocks.enabled": "true",
@@ -91,3 +91,23 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         sc.setCheckpointDir(target)
         return sc.getCheckpointDir()
     return None
+
+
+# Input behind one reducer. Shuffles carry narrow product rows, about a fifth
+# of the input, so a reducer reads about 400 MB.
+BYTES_A_REDUCER = 2 << 30
+MOST_REDUCERS = 50_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set the number of shuffle partitions from the size of the input."""
+    cores = spark.sparkContext.defaultParallelism
+    parts = min(MOST_REDUCERS, max(2 * cores, -(-input_bytes // BYTES_A_REDUCER)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    return parts
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``, from the file system's own summary."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()

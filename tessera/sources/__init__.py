@@ -6,7 +6,6 @@ from tessera.sources.readers import (
     JdbcSource,
     ParquetSource,
     TableSource,
-    register_views,
 )
 from tessera.sources.schemas import REFERENCE_SCHEMAS, SchemaError, conform
 from tessera.sources.sinks import OUTPUT_TABLES, JdbcSink, ParquetSink, TableSink
@@ -24,5 +23,4 @@ __all__ = [
     "JdbcSink",
     "SchemaError",
     "conform",
-    "register_views",
 ]

@@ -2,10 +2,9 @@
 
 The reference reads twelve tables from a relational database. The test data
 holds TPC-H-like tables instead, so each reference table is defined here as a
-view over them. Every view is a projection/filter/join of a whole base table,
-so its size grows with the scale factor; the modulo expressions shape values
-(which rows carry NULLs, which codes collide, which languages are goal
-languages) and are not row caps.
+view over them. Every view has a row for every row of its base tables, so its
+size grows with the scale factor; the modulo expressions shape values (which
+rows carry NULLs, which codes collide, which match nothing) and drop no row.
 
 The same shapes are written in DuckDB SQL in ``tessera.oracle`` so the driver
 can compare the two engines.
@@ -79,34 +78,33 @@ def language_engagements(t: TestTables) -> DataFrame:
 def sli_language_data(t: TestTables) -> DataFrame:
     p = t["part"]
     key, size = F.col("p_partkey"), F.col("p_size")
-    levels = p.filter(size <= 25).select(
-        _tag("st", key).alias("bcp47"), (size % 5).alias("resource_level")
+    levels = p.select(
+        F.when(size <= 25, _tag("st", key)).otherwise(_tag("none", key)).alias("bcp47"),
+        (size % 5).alias("resource_level"),
     )
-    repeats = p.filter(size <= 5).select(
-        _tag("st", key).alias("bcp47"), F.lit(9).alias("resource_level")
+    repeats = p.select(
+        F.when(size <= 5, _tag("st", key)).otherwise(_tag("nil", key)).alias("bcp47"),
+        F.lit(9).alias("resource_level"),
     )
     return levels.unionByName(repeats)
 
 
 def countries(t: TestTables) -> DataFrame:
     n, r = t["nation"], t["region"]
-    return (
-        n.filter(F.col("n_nationkey") < 22)
-        .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            _tag("C", F.col("n_nationkey")).alias("alpha_3_code"),
-            _tag("c", F.col("n_nationkey")).alias("alpha_2_code"),
-            F.col("n_name").alias("english_short_name"),
-            F.col("r_name").alias("world_region"),
-        )
+    key = F.col("n_nationkey")
+    return n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.when(key < 22, _tag("C", key)).otherwise(_tag("X", key)).alias("alpha_3_code"),
+        F.when(key < 22, _tag("c", key)).otherwise(_tag("x", key)).alias("alpha_2_code"),
+        F.col("n_name").alias("english_short_name"),
+        F.col("r_name").alias("world_region"),
     )
 
 
 def organizations(t: TestTables) -> DataFrame:
     s = t["supplier"]
     key = F.col("s_suppkey")
-    return s.filter(key % 11 != 7).select(
-        key.alias("org_id"),
+    return s.select(
+        F.when(key % 11 != 7, key).otherwise(-key).alias("org_id"),
         F.col("s_name").alias("name"),
         _tag("S", key).alias("abbreviation"),
         F.when(key % 3 == 0, "Unrestricted")
@@ -118,8 +116,9 @@ def organizations(t: TestTables) -> DataFrame:
 
 def uw_reps(t: TestTables) -> DataFrame:
     s = t["supplier"]
-    return s.filter(F.col("s_suppkey") != 8).select(
-        F.col("s_suppkey").alias("uw_rep_id"),
+    key = F.col("s_suppkey")
+    return s.select(
+        F.when(key != 8, key).otherwise(-key).alias("uw_rep_id"),
         F.col("s_name").alias("first_name"),
         F.col("s_name").alias("last_name"),
     )
@@ -136,8 +135,11 @@ def pb_language_data(t: TestTables) -> DataFrame:
         .when(size % 6 == 4, "")
         .otherwise(_null())
     )
-    return p.filter(key % 5 == 0).select(
-        F.when(key == 0, _null()).otherwise(_tag("i", key)).alias("languagecode"),
+    return p.select(
+        F.when(key == 0, _null())
+        .when(key % 5 == 0, _tag("i", key))
+        .otherwise(_tag("u", key))
+        .alias("languagecode"),
         F.col("p_name").alias("languagename"),
         F.col("p_type").alias("country"),
         _tag("C", key % 25).alias("countrycode"),
@@ -152,9 +154,9 @@ def pb_language_data(t: TestTables) -> DataFrame:
 
 
 def bible_info(t: TestTables) -> DataFrame:
-    p = t["part"]
-    key = F.col("p_partkey")
-    return p.filter(key <= 66).select(
+    """Sixty-six books and one NULL, each listed as often as parts have its number."""
+    key = F.col("p_partkey") % 67
+    return t["part"].select(
         F.when(key == 66, _null()).otherwise(_tag("BK", key)).alias("scriptural_association"),
         F.when((key < 39) | (key == 66), "OT").otherwise("NT").alias("bible_section"),
     )
@@ -273,20 +275,84 @@ def engagement_org_lists(t: TestTables) -> DataFrame:
 
 
 def order_date_text(t: TestTables) -> DataFrame:
-    """Order dates rendered in the mixed text forms a tracker accumulates."""
+    """Order dates in the mixed text forms a tracker accumulates, in two columns.
+
+    Month first with any separator, none, a month name, two-digit years on
+    either side of the century cutoff; ISO with dashes, slashes and times;
+    padded text; text that is no date; NULL.
+    """
     o = t["orders"]
-    d = F.col("o_orderdate")
-    shape = F.col("o_orderkey") % 7
+    key, d = F.col("o_orderkey"), F.col("o_orderdate")
+    two_digits = F.concat(F.date_format(d, "M/d/"), F.lpad((key % 100).cast("string"), 2, "0"))
+    forms = [
+        F.date_format(d, "M/d/yyyy"),
+        F.date_format(d, "yyyy-MM-dd"),
+        F.date_format(d, "MMMM d, yyyy"),
+        F.date_format(d, "M-d-yyyy"),
+        F.date_format(d, "MMM d, yyyy"),
+        F.lit("not a date"),
+        _null(),
+        two_digits,
+        F.date_format(d, "yyyy/MM/dd"),
+        F.date_format(d, "yyyy-MM-dd HH:mm:ss"),
+        F.concat(F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")),
+        F.date_format(d, "MM.dd.yyyy"),
+        F.date_format(d, "MMddyyyy"),
+        F.date_format(d, "MMM d yyyy"),
+        F.date_format(d, "MMMM d yyyy"),
+        F.concat(F.lit(" "), F.date_format(d, "M/d/yyyy"), F.lit(" ")),
+        F.date_format(d, "M / d / yyyy"),
+        F.lit("13/45/2000"),
+    ]
+
+    def text(shape: Column) -> Column:
+        out = F.when(shape == 0, forms[0])
+        for k, form in enumerate(forms[1:], start=1):
+            out = out.when(shape == k, form)
+        return out
+
+    n = len(forms)
+    return o.select(
+        "o_orderkey",
+        text(key % n).alias("start_date"),
+        text((key * 5 + 3) % n).alias("published_date"),
+    )
+
+
+def event_documents(t: TestTables) -> DataFrame:
+    """An API response for every event: a JSON document that holds an array of records.
+
+    One to three records a document, each with a nested object, a list and a
+    field that is absent from some; an empty array, a NULL and malformed text.
+    """
+    e = t["events"]
+    key = F.col("event_id")
+
+    def record(n: int) -> Column:
+        number = (key * 10 + n).cast("string")
+        level = F.when((key + n) % 4 == 0, F.lit("")).otherwise(
+            F.concat(F.lit(', "level": '), ((key + n) % 7).cast("string"))
+        )
+        return F.concat(
+            F.lit('{"id": '), number, F.lit(', "languageName": "'), F.col("event_type"), F.lit(f'-{n}", '),
+            F.lit('"geo": {"country": {"code": "'), _tag("C", (key + n) % 25), F.lit('"}, "size": '), number,
+            F.lit('}, "tags": ["a'), number, F.lit('", "b"]'), level, F.lit("}"),
+        )
+
+    records = [record(n) for n in range(3)]
+    shape = key % 12
+    body = (
+        F.when(shape == 0, F.lit(""))
+        .when(shape <= 4, records[0])
+        .when(shape <= 8, F.concat_ws(", ", *records[:2]))
+        .otherwise(F.concat_ws(", ", *records))
+    )
     text = (
-        F.when(shape == 0, F.date_format(d, "M/d/yyyy"))
-        .when(shape == 1, F.date_format(d, "yyyy-MM-dd"))
-        .when(shape == 2, F.date_format(d, "MMMM d, yyyy"))
-        .when(shape == 3, F.date_format(d, "M-d-yyyy"))
-        .when(shape == 4, F.date_format(d, "MMM d, yyyy"))
-        .when(shape == 5, F.lit("not a date"))
-        .otherwise(_null())
+        F.when(shape == 9, _null())
+        .when(shape == 10, F.lit('{"resource": [{"id": '))
+        .otherwise(F.concat(F.lit('{"resource": ['), body, F.lit("]}")))
     )
-    return o.select("o_orderkey", text.alias("start_date"))
+    return e.select("event_id", text.alias("document"))
 
 
 def country_cross_reference(t: TestTables) -> DataFrame:
@@ -327,6 +393,7 @@ FIXTURES: dict[str, Callable[[TestTables], DataFrame]] = {
     "uw_translation_products": uw_translation_products,
     "engagement_org_lists": engagement_org_lists,
     "order_date_text": order_date_text,
+    "event_documents": event_documents,
     "country_cross_reference": country_cross_reference,
     "resource_document": resource_document,
 }

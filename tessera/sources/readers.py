@@ -31,6 +31,9 @@ REFERENCE_TABLES = (
     "uw_translation_products",
 )
 
+# The table that grows with the data.
+LARGE_TABLES = ("uw_translation_products",)
+
 
 class TableSource:
     """Something that can hand out a DataFrame per table name."""
@@ -70,8 +73,9 @@ class JdbcSource(TableSource):
     large table into parallel range reads, e.g.
     ``{"uw_translation_products": {"partitionColumn": "product_id",
     "lowerBound": "0", "upperBound": "100000000", "numPartitions": "256"}}``.
-    Small lookup tables are read in one query. ``fetchsize`` keeps the driver
-    from buffering a whole table per round trip.
+    Small lookup tables are read in one query; a table of ``must_partition``
+    without such options is an error, as one task would read all of it.
+    ``fetchsize`` keeps the driver from buffering a whole table per round trip.
     """
 
     spark: SparkSession
@@ -79,8 +83,11 @@ class JdbcSource(TableSource):
     options: Mapping[str, str] = field(default_factory=dict)
     partitioning: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
     fetchsize: int = 10_000
+    must_partition: tuple[str, ...] = LARGE_TABLES
 
     def reader_options(self, name: str) -> dict[str, str]:
+        if name in self.must_partition and name not in self.partitioning:
+            raise ValueError(f"{name} must be read in parallel ranges: give its partitioning options")
         opts = {"url": self.url, "dbtable": name, "fetchsize": str(self.fetchsize)}
         opts.update(self.options)
         opts.update(self.partitioning.get(name, {}))
@@ -101,9 +108,3 @@ class FrameSource(TableSource):
             return self.frames[name]
         except KeyError as exc:
             raise KeyError(f"no frame registered for table {name!r}") from exc
-
-
-def register_views(frames: Mapping[str, DataFrame]) -> None:
-    """Expose frames as temporary views so SQL users can query them."""
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)

@@ -75,6 +75,8 @@ REFERENCE_SCHEMAS: dict[str, T.StructType] = {
 }
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+# Decimal digits that always fit.
+_WHOLE_DIGITS = {T.ByteType: 2, T.ShortType: 4, T.IntegerType: 9, T.LongType: 18}
 
 
 class SchemaError(ValueError):
@@ -84,18 +86,20 @@ class SchemaError(ValueError):
 def _widenable(actual: T.DataType, declared: T.DataType) -> bool:
     if actual == declared:
         return True
-    if isinstance(declared, _INTEGRAL) and isinstance(actual, _INTEGRAL):
-        return True
+    if not isinstance(declared, _INTEGRAL):
+        return False
+    if isinstance(actual, _INTEGRAL):
+        return _INTEGRAL.index(type(actual)) < _INTEGRAL.index(type(declared))
     # A year that arrives as DECIMAL(4,0) from a JDBC source is still a year.
-    if isinstance(declared, _INTEGRAL) and isinstance(actual, T.DecimalType):
-        return actual.scale == 0
+    if isinstance(actual, T.DecimalType):
+        return actual.scale == 0 and actual.precision <= _WHOLE_DIGITS[type(declared)]
     return False
 
 
 def conform(df: DataFrame, name: str, schemas: dict[str, T.StructType] | None = None) -> DataFrame:
     """Check ``df`` against the declared schema of table ``name``.
 
-    Integral columns are widened to the declared type; every other column is
+    Integral columns are widened to the declared type, never narrowed; every other column is
     passed through untouched and in its original order.
     """
     declared = (schemas or REFERENCE_SCHEMAS)[name]

@@ -68,9 +68,3 @@ class JdbcSink(TableSink):
         }
         opts.update(self.options)
         df.write.format("jdbc").mode("overwrite").options(**opts).save()
-
-    def load(self, spark, name: str) -> DataFrame:
-        """Read a written table back (the daily job reads outputs it wrote)."""
-        opts = {"url": self.url, "dbtable": name}
-        opts.update(self.options)
-        return spark.read.format("jdbc").options(**opts).load()
