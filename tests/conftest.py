@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+from contextlib import contextmanager
 
 import pytest
 
@@ -32,6 +33,19 @@ def small_tables(spark):
     return fixture_frames(spark, SF_SMALL)
 
 
+@contextmanager
+def settings(spark, conf):
+    """Run-time settings for a while."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @pytest.fixture()
 def scratch():
     return tempfile.mkdtemp(prefix="tessera-test-", dir="/tmp")

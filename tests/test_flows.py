@@ -7,12 +7,17 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from pyspark.sql import functions as F
+
+from tessera.oracle import ORACLE_SQL
 from tessera.plans import legacy, live
-from tessera.plans.job import run_job
-from tessera.sources.fixtures import FIXTURES
+from tessera.plans.job import Staging, run_job
+from tessera.plans.queries import QUERIES
+from tessera.sources.fixtures import FIXTURES, FixtureTables
 from tessera.sources.readers import FrameSource
-from tessera.sources.sinks import ParquetSink
+from tessera.sources.sinks import OUTPUT_TABLES, ParquetSink
 from tests.compare import compare, duck_connection
+from tests.conftest import settings
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -75,10 +80,22 @@ def duck():
     return duck_connection(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
-def test_oracle_agrees(spark, duck, name):
-    df = entry.queries()[name](spark, SF_SMALL)
-    res = compare(df, entry.oracle_sql()[name], duck)
+# Large-size plans: no broadcast, from sizes or at run time.
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.mark.parametrize("conf", [{}, NO_BROADCAST], ids=["as-planned", "no-broadcast"])
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_oracle_agrees(spark, duck, name, conf):
+    with settings(spark, conf):
+        # fresh views: a frame keeps the plan it was first run with
+        df = QUERIES[name](FixtureTables(spark, SF_SMALL))
+        res = compare(df, ORACLE_SQL[name], duck)
+        if conf:
+            assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
     assert res["columns_match"], res
     assert not res["type_mismatch"], res
     assert res["spark_rows"] == res["oracle_rows"], res
@@ -86,7 +103,50 @@ def test_oracle_agrees(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+
+
+def test_building_a_query_runs_no_job(spark):
+    """Footers of Parquet files aside, nothing runs and nothing is cached until the caller asks."""
+    sc = spark.sparkContext
+    tables = FixtureTables(spark, SF_SMALL)
+    for name in FIXTURES:
+        tables[name].schema
+    for name, build in QUERIES.items():
+        if name.startswith("written_"):
+            continue  # writes to a sink and reads it back
+        sc.setJobGroup(f"build-{name}", "build")
+        df = build(tables)
+        sc._jsc.clearJobGroup()
+        assert not sc.statusTracker().getJobIdsForGroup(f"build-{name}"), name
+        assert not df.storageLevel.useMemory and "InMemoryTableScan" not in df._jdf.queryExecution().toString()
+
+
+def test_a_failure_leaves_the_old_tables(spark, small_tables, scratch):
+    """All outputs are computed before the first is replaced."""
+    sink = ParquetSink(os.path.join(scratch, "out"))
+    good = {name: small_tables[name] for name in FIXTURES}
+    run_job(spark, FrameSource(good), sink)
+    before = {n: _multiset(spark.read.parquet(sink.path(n))) for n in OUTPUT_TABLES}
+    broken = dict(good)
+    goals = good["pb_language_data"]
+    broken["pb_language_data"] = goals.withColumn("allaccessgoal", F.raise_error(F.lit("bad row")).cast("string"))
+    broken["uw_translation_products"] = good["uw_translation_products"].limit(0)
+    with pytest.raises(Exception, match="bad row"):
+        run_job(spark, FrameSource(broken), sink)
+    assert {n: _multiset(spark.read.parquet(sink.path(n))) for n in OUTPUT_TABLES} == before
+
+
+def test_staging_is_shared_and_deleted(spark, small_tables, scratch, monkeypatch):
+    kept = []
+    original = Staging.save
+    monkeypatch.setattr(Staging, "save", lambda self, df, name: kept.append(self.root) or original(self, df, name))
+    run_job(spark, FrameSource({n: small_tables[n] for n in FIXTURES}), ParquetSink(os.path.join(scratch, "o")))
+    assert kept and kept[0].startswith(spark.sparkContext.getCheckpointDir())
+    assert not os.path.exists(kept[0].removeprefix("file:"))
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        Staging(spark)
 
 
 def test_dimension_keys_that_differ_within_an_engagement(spark, small_tables):

@@ -7,7 +7,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from tests.plan_summary import final_plan, run
+from tessera.plans import live
+from tessera.plans.queries import QUERIES
+from tessera.sources.fixtures import FixtureTables
+from tests.conftest import settings
+from tests.plan_summary import final_plan, plan_nodes, run
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -18,7 +22,7 @@ def _executed_plan(spark, name: str) -> str:
     return final_plan(df._jdf.queryExecution().executedPlan().toString())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_nested_loops_or_python(spark, name):
     plan = _executed_plan(spark, name)
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
@@ -45,3 +49,46 @@ def test_bounded_lookups_are_broadcast(spark):
     plan = _executed_plan(spark, "product_prep")
     # the section lookup is joined map-side into the product scan
     assert "BroadcastHashJoin" in plan
+
+
+LARGE = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+def _tables_read(plan: str, table: str) -> int:
+    return len(re.findall(rf"FileScan parquet [^\n]*{table}\.parquet", plan))
+
+
+def test_large_plan_reads_the_dimension_once(spark):
+    """Products: one read for the groups and one for the rows; the dimension: one."""
+    with settings(spark, LARGE):
+        df = live.project_status(FixtureTables(spark, SF_SMALL))
+        run(df)
+        plan = final_plan(df._jdf.queryExecution().executedPlan().toString())
+    assert _tables_read(plan, "customer") == 1
+    assert _tables_read(plan, "lineitem") <= 2
+
+
+@pytest.mark.parametrize("name", ["status_presence", "engagement_status", "engagement_master", "legacy_engagement_master"])
+def test_rollups_shuffle_products_only_through_partial_aggregates(spark, name):
+    """Above the association lookup, no exchange carries a product's line number."""
+    plan = _executed_plan(spark, name)
+    assert "l_linenumber" not in "".join(
+        line for line in plan.splitlines() if "Exchange" in line and "l_orderkey" not in line
+    )
+    aggregates = [l for l in plan.splitlines() if "HashAggregate" in l and "partial_count(1)" in l]
+    assert any("product_status" in l for l in aggregates), plan
+
+
+def test_goal_coverage_computes_statuses_once(spark):
+    """The anti join's side has no product scan under it."""
+    with settings(spark, LARGE):
+        df = QUERIES["goal_coverage"](FixtureTables(spark, SF_SMALL))
+        run(df)
+        nodes = list(plan_nodes(df._jdf.queryExecution().executedPlan()))
+    anti = [n for n in nodes if "Join" in n.nodeName() and "LeftAnti" in n.toString().splitlines()[0]]
+    assert anti
+    for n in anti:
+        assert "lineitem" not in n.toString()

@@ -7,14 +7,15 @@ results must equal the unsplit computation.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import status as st
 from tessera.operators.joins import left_join_split, null_safe_join
 from tessera.operators.rules import with_group_values
+from tessera.plans import legacy, live
+from tessera.sources.fixtures import FIXTURES
+from tests.conftest import settings
 
 SKEW_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
@@ -26,19 +27,8 @@ SKEW_CONF = {
 }
 
 
-@contextmanager
 def skew_conf(spark):
-    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
-    for k, v in SKEW_CONF.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    return settings(spark, SKEW_CONF)
 
 
 def _final_plan(df) -> str:
@@ -145,3 +135,50 @@ def test_hot_group_is_split_with_nullable_keys(spark):
         "row_id", "BP_num", first_status()
     )
     assert got == {r.row_id: (r.BP_num, r.s) for r in ref.collect()}
+
+
+@pytest.fixture(scope="module")
+def hot_tables(spark, small_tables):
+    """A third of 300,000 products belong to one engagement; products come from 16 tasks."""
+    tables = {name: small_tables[name] for name in FIXTURES}
+    i = F.col("id")
+    ids = sorted(r[0] for r in live.engagement_dimension(small_tables).select("language_engagement_id").collect())
+    hot, others = F.lit(ids[0]), F.lit(ids[1:])[(i % (len(ids) - 1)).cast("int")]
+    tables["uw_translation_products"] = spark.range(0, 300_000, 1, 16).select(
+        F.when(i % 3 == 0, hot).otherwise(others).alias("language_engagement_id"),
+        i.alias("l_orderkey"),
+        (i % 7).cast("int").alias("l_linenumber"),
+        i.alias("l_partkey"),
+        i.alias("l_suppkey"),
+        F.when(i % 3 == 0, "BP").when(i % 5 == 0, "OBS").otherwise("EJ").alias("resource_package"),
+        F.lit("Text").alias("resource_format"),
+        F.concat(F.lit("BK"), (F.when(i % 3 == 0, F.lit(40)).otherwise(i % 60)).cast("string")).alias(
+            "scriptural_association"
+        ),
+        F.lit(None).cast("string").alias("scripture_text_name"),
+        F.when(i % 11 == 0, "Planned").otherwise("Completed").alias("product_status"),
+    )
+    return tables
+
+
+@pytest.mark.parametrize("flow", ["live", "legacy"])
+def test_hot_engagement_is_split_in_the_flow(spark, hot_tables, flow):
+    build = live.project_status if flow == "live" else legacy.legacy_project_status
+    digest = lambda df: df.groupBy("l_orderkey", "BP_num", "project_status").count()
+    with skew_conf(spark):
+        out = build(hot_tables)
+        rows = digest(out).collect()
+        out._jdf.queryExecution().toRdd().count()
+        plan = _final_plan(out)
+    assert "SortMergeJoin(skew=true)" in plan
+    window = digest(build(hot_tables, method="window")).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, window))
+
+
+def test_hot_engagement_rollup_moves_no_products(spark, hot_tables):
+    """Classes of a hot engagement are counts: the rollup needs no split."""
+    with skew_conf(spark):
+        out = live.engagement_status(live.status_classes(hot_tables))
+        rows = out.collect()
+    ref = live.engagement_status(live.project_status(hot_tables))
+    assert sorted(map(str, rows)) == sorted(map(str, ref.collect()))

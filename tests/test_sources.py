@@ -5,12 +5,14 @@ from __future__ import annotations
 import os
 
 import pyarrow.parquet as pq
+import pytest
 
 from tessera.__main__ import _jdbc_options, _partitions, main
 from tessera.sources.fixtures import FIXTURES
 from tessera.sources.readers import JdbcSource, ParquetSource
 from tessera.sources.sinks import ParquetSink
 from tessera.session import ensure_checkpoint_dir
+from tests.conftest import settings
 
 
 def test_jdbc_reader_options_partition_large_tables(spark):
@@ -55,16 +57,26 @@ def test_cli_runs_the_job_on_parquet(spark, small_tables, scratch):
     assert counts == {
         "master_uw_translation_projects": 5405,
         "master_uw_language_engagements": 111,
-        "pb_language_engagements": 119,
+        "pb_language_engagements": 279,
     }
 
 
-def test_cluster_profile_sizes_for_full_scale():
-    from tessera.session import CLUSTER_CONF, DEFAULT_CONF
+def test_large_jdbc_table_needs_ranges(spark):
+    src = JdbcSource(spark, "jdbc:mysql://db/x")
+    with pytest.raises(ValueError, match="parallel ranges"):
+        src.reader_options("uw_translation_products")
+    assert src.reader_options("countries")["dbtable"] == "countries"
+
+
+def test_cluster_profile_sizes_from_its_input(spark):
+    from tessera.session import CLUSTER_CONF, DEFAULT_CONF, MOST_REDUCERS, size_shuffles, stored_bytes
 
     assert DEFAULT_CONF["spark.sql.adaptive.enabled"] == "true"
     assert DEFAULT_CONF["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert DEFAULT_CONF["spark.ui.enabled"] == "false"
-    assert int(CLUSTER_CONF["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 10_000
-    assert CLUSTER_CONF["spark.sql.files.maxPartitionBytes"] == "256m"
     assert CLUSTER_CONF["spark.storage.decommission.shuffleBlocks.enabled"] == "true"
+    name = "spark.sql.shuffle.partitions"
+    with settings(spark, {name: spark.conf.get(name)}):
+        assert size_shuffles(spark, stored_bytes(spark, "/root/testdata/sf0.001")) < 100
+        assert size_shuffles(spark, 100 << 40) == MOST_REDUCERS
+        assert spark.conf.get(name) == str(MOST_REDUCERS)

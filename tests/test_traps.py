@@ -14,7 +14,6 @@ from tessera.functions.text import (
     strip_pattern_from_names,
 )
 from tessera.operators.joins import (
-    broadcast_if_small,
     in_values,
     left_join_split,
     membership_lookup,
@@ -163,13 +162,6 @@ def test_fan_out_inflates_group_size(spark, small_tables):
     assert dupes > 0
 
 
-def test_broadcast_only_within_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert "ResolvedHint" in broadcast_if_small(small, 100)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(big, 100)._jdf.queryExecution().analyzed().toString()
-
-
 def test_schema_check_rejects_string_key(spark):
     df = spark.createDataFrame([("1", "x")], "org_id string, name string")
     df = df.withColumns({"abbreviation": F.lit("a"), "sensitivity": F.lit("b")})
@@ -187,14 +179,54 @@ def test_strip_pattern_is_a_regex(spark):
     assert strip_pattern_from_names(df, "resource.").columns == ["id", "ize", "brand"]
 
 
-def test_null_key_report(spark):
-    from tessera.operators.joins import null_key_report
+def test_schema_check_never_narrows(spark):
+    ok = spark.createDataFrame([(1,)], "org_id int").selectExpr(
+        "cast(org_id as decimal(18, 0)) org_id", "'x' name", "'a' abbreviation", "'b' sensitivity"
+    )
+    assert dict(conform(ok, "organizations").dtypes)["org_id"] == "bigint"
+    wide = ok.withColumn("org_id", F.col("org_id").cast("decimal(19, 0)"))
+    with pytest.raises(SchemaError):
+        conform(wide, "organizations")
+    levels = spark.createDataFrame([("st1", 2**40)], "bcp47 string, resource_level long")
+    with pytest.raises(SchemaError):
+        conform(levels, "sli_language_data")
+
+
+def test_record_arrays_become_rows(spark):
+    from tessera.operators.clean import parse_json_column
+
+    docs = [
+        (1, '{"resource": [{"a": 1, "n": {"x": "p", "y": [{"z": 5}, {"z": 6}]}}, {"a": 2}]}'),
+        (2, '{"resource": []}'),
+        (3, None),
+        (4, "not json"),
+        (5, '{"resource": [{"a": 9, "n": {"x": "q", "y": []}}]}'),
+    ]
+    df = spark.createDataFrame(docs, "k long, doc string")
+    schema = "resource array<struct<a: int, n: struct<x: string, y: array<struct<z: int>>>>>"
+    out = parse_json_column(df, "doc", schema)
+    assert out.columns == ["k", "resource.a", "resource.n.x", "resource.n.y.z"]
+    assert _sorted(out.collect()) == _sorted(
+        [(1, 1, "p", 5), (1, 1, "p", 6), (1, 2, None, None), (2, None, None, None), (3, None, None, None)]
+        + [(4, None, None, None), (5, 9, "q", None)]
+    )
+    two = "p array<struct<a: int>>, q array<struct<b: int>>"
+    with pytest.raises(ValueError):
+        parse_json_column(df, "doc", two)
+
+
+def test_list_rollup_of_repeated_keys(spark):
+    """Rows that repeat a key are rolled up each by itself."""
+    from pyspark.sql import types as T
+
+    from tessera.operators.clean import explode_json_list, rollup_list_attributes
 
-    left = spark.createDataFrame([(1,), (None,), (None,)], "k long")
-    right = spark.createDataFrame([(None,), (None,), (None,), (2,)], "rk long")
-    r = {row.side: (row.rows, row.null_rows) for row in null_key_report(left, right, {"k": "rk"}).collect()}
-    assert r == {"left": (3, 2), "right": (4, 3)}
-    assert null_safe_join(left, right, {"k": "rk"}).count() == r["left"][1] * r["right"][1]
+    df = spark.createDataFrame([(1, "[3, 4]"), (1, "[5]"), (2, "[]")], "k long, l string")
+    x = explode_json_list(df, "l", T.LongType(), "e", row_col="row").withColumn(
+        "name", F.col("e").cast("string")
+    ).withColumn("level", F.when(F.col("e") == 5, "Restricted"))
+    got = rollup_list_attributes(x, "k", "pos", "name", "level").collect()
+    assert _sorted(got) == _sorted([(1, "3, 4", None), (1, "5", "Restricted"), (2, "NA", None)])
 
 
 def test_mixed_dates_two_digit_years_and_forms(spark):
@@ -213,6 +245,19 @@ def test_mixed_dates_two_digit_years_and_forms(spark):
         ("Jan 5, 1998", dt.date(1998, 1, 5)),
         ("1998-01-05", dt.date(1998, 1, 5)),
         ("1998/01/05", dt.date(1998, 1, 5)),
+        ("2020-01-05 10:00:00", dt.date(2020, 1, 5)),
+        ("2020-01-05T10:00:00Z", dt.date(2020, 1, 5)),
+        ("01.05.2020", dt.date(2020, 1, 5)),
+        ("01052020", dt.date(2020, 1, 5)),
+        ("010520", dt.date(2020, 1, 5)),
+        ("Jan 5 2020", dt.date(2020, 1, 5)),
+        ("January 5 2020", dt.date(2020, 1, 5)),
+        (" 1/5/2020", dt.date(2020, 1, 5)),
+        ("1/5/2020 ", dt.date(2020, 1, 5)),
+        ("1 / 5 / 2020", dt.date(2020, 1, 5)),
+        ("2/29/2020", dt.date(2020, 2, 29)),
+        ("Febtober 5 2020", None),
+        ("2021-02-29", None),
         ("13/45/2000", None),
         ("2/30/99", None),
         ("not a date", None),
