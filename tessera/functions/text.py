@@ -114,3 +114,27 @@ def flatten_struct_columns(df: DataFrame, sep: str = ".") -> DataFrame:
     for f in df.schema.fields:
         cols += walk(f.name, f.dataType, F.col(f"`{f.name}`"))
     return df.select(*cols)
+
+
+def flatten_records(df: DataFrame, sep: str = ".") -> DataFrame:
+    """Rows and plain columns from nested columns: arrays of records exploded, structs flattened.
+
+    A column that holds an array of structs gives one row per record (one row
+    of NULLs where it is empty or NULL), whose fields become
+    ``column<sep>field``. Arrays of plain values stay. Two arrays of records
+    side by side have no one table form and are an error.
+    """
+    while True:
+        df = flatten_struct_columns(df, sep)
+        records = [
+            f.name
+            for f in df.schema.fields
+            if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)
+        ]
+        if not records:
+            return df
+        if len(records) > 1:
+            raise ValueError(f"several arrays of records: {records}")
+        df = df.select(
+            *[F.explode_outer(F.col(f"`{c}`")).alias(c) if c == records[0] else F.col(f"`{c}`") for c in df.columns]
+        )

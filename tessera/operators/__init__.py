@@ -2,7 +2,6 @@
 
 from tessera.operators.joins import (
     add_membership_flags,
-    broadcast_if_small,
     in_values,
     left_join_split,
     membership_lookup,
@@ -20,7 +19,6 @@ from tessera.operators.rules import (
 
 __all__ = [
     "add_membership_flags",
-    "broadcast_if_small",
     "in_values",
     "left_join_split",
     "membership_lookup",

@@ -13,74 +13,70 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.text import flatten_struct_columns, ordered_join
+from tessera.functions.text import flatten_records, ordered_join
 from tessera.operators.joins import col, null_safe_join
 from tessera.operators.rollup import priority_rank, value_of_rank
 
-# Month-first forms tried before ISO forms. Two-digit years
-# ("1/5/98") are handled separately, see two_digit_year_date.
-MONTH_DAY_YEAR_PATTERNS = ("M/d/yyyy", "M-d-yyyy", "MMMM d, yyyy", "MMM d, yyyy")
-ISO_DATE_PATTERNS = ("yyyy-MM-dd", "yyyy/MM/dd")
+# Month names; a name or its first three letters may be given.
+MONTHS = (
+    "january",
+    "february",
+    "march",
+    "april",
+    "may",
+    "june",
+    "july",
+    "august",
+    "september",
+    "october",
+    "november",
+    "december",
+)
 # Fixed value: two-digit years up to this one are 20xx, later ones 19xx.
 TWO_DIGIT_YEAR_CUTOFF = 68
 
-_SHORT_MDY = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{2})$"
+# Month, day, year with any separator or, at full width, none.
+_NUMBERS = r"^(\d{1,2})[^A-Za-z0-9]+(\d{1,2})[^A-Za-z0-9]+(\d{4}|\d{2})$"
+_RUN = r"^(\d{2})(\d{2})(\d{4}|\d{2})$"
+_NAMED = r"^([A-Za-z]{3,9})[^A-Za-z0-9]*(\d{1,2})[^A-Za-z0-9]+(\d{4}|\d{2})$"
+# Year, month, day, alone or before a time.
+_ISO = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})([T ].*)?$"
 
 # Network sensitivity, most restrictive first.
 SENSITIVITY_PRIORITY = ("Confidential", "Restricted", "Unrestricted")
 
 
-def parse_mixed_date(
-    text: Column,
-    first: Sequence[str] = MONTH_DAY_YEAR_PATTERNS,
-    then: Sequence[str] = ISO_DATE_PATTERNS,
-) -> Column:
+def parse_mixed_date(text: Column, cutoff: int = TWO_DIGIT_YEAR_CUTOFF) -> Column:
     """A date from text in any of several forms; month-first forms win.
 
-    Each pattern only accepts its own form, and ``try_to_date`` gives NULL
-    instead of failing the task on text that does not parse. A failed parse
-    costs an exception per row, so each pattern is only tried where cheap
-    necessary conditions hold (see :func:`pattern_may_match`).
+    Month first: numbers with any separator or none, or a month name; years of
+    two digits get their century from ``cutoff``. Then ISO dates, with a time
+    or without. White space around the text does not count. Each form is one
+    pattern that takes the text apart; its parts are put together as an ISO
+    date, and a date that does not exist is NULL.
     """
-    month_first = [F.when(pattern_may_match(text, p), F.try_to_date(text, p)) for p in first]
-    iso = [F.when(pattern_may_match(text, p), F.try_to_date(text, p)) for p in then]
-    return F.coalesce(*month_first, two_digit_year_date(text), *iso)
-
-
-def two_digit_year_date(text: Column, cutoff: int = TWO_DIGIT_YEAR_CUTOFF) -> Column:
-    """Month/day/two-digit-year text ("1/5/98", "12-31-05") as a date.
-
-    Spark's ``yy`` reads every two-digit year as 20xx; the reference's parser
-    reads years up to ``cutoff`` as 20xx and later ones as 19xx, so the
-    century is chosen here before parsing the full date.
-    """
-    month, day, yy = (F.regexp_extract(text, _SHORT_MDY, i) for i in (1, 2, 3))
-    y = yy.try_cast("int")
-    year = F.when(y <= cutoff, y + 2000).otherwise(y + 1900)
-    iso = F.concat(year.cast("string"), F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"))
-    return F.when(text.rlike(_SHORT_MDY), F.try_to_date(iso, "yyyy-MM-dd"))
-
+    t = F.trim(F.regexp_replace(text, r"\s+", " "))
+    name = F.lower(F.regexp_extract(t, _NAMED, 1))
+    month = F.lit(None).cast("int")
+    for i, full in enumerate(MONTHS, start=1):
+        month = F.when(name.isin(full, full[:3]), i).otherwise(month)
+
+    def dated(pattern: str, year: int, month_part: int | Column, day: int) -> Column:
+        part = lambda k: F.regexp_extract(t, pattern, k)
+        y = part(year).try_cast("int")
+        y = F.when(F.length(part(year)) == 4, y).when(y <= cutoff, y + 2000).otherwise(y + 1900)
+        m = part(month_part).try_cast("int") if isinstance(month_part, int) else month_part
+        return F.when(t.rlike(pattern), _date(y, m, part(day).try_cast("int")))
+
+    return F.coalesce(
+        dated(_NUMBERS, 3, 1, 2), dated(_RUN, 3, 1, 2), dated(_NAMED, 3, month, 2), dated(_ISO, 1, 2, 3)
+    )
 
-def pattern_may_match(text: Column, pattern: str) -> Column:
-    """Necessary conditions for ``pattern`` to parse ``text``.
 
-    Every literal separator of the pattern must occur in the text, and the
-    first character must fit the first field: a letter for a month name, a
-    digit for a numeric field (a sign is allowed before a year). False only
-    where the parse would fail anyway, so guarding does not change results.
-    """
-    literals = sorted({ch for ch in pattern if not ch.isalpha()})
-    cond = F.lit(True)
-    for ch in literals:
-        cond = cond & (F.instr(text, ch) > 0)
-    head = pattern[0]
-    if pattern.startswith("MMM"):
-        first = "^[A-Za-z]"
-    elif head == "y":
-        first = "^[0-9+-]"
-    else:
-        first = "^[0-9]"
-    return cond & text.rlike(first)
+def _date(year: Column, month: Column, day: Column) -> Column:
+    """The date, or NULL where there is none; no exception is raised on the way."""
+    last = F.dayofmonth(F.last_day(F.make_date(year, F.when(month.between(1, 12), month), F.lit(1))))
+    return F.make_date(year, F.when(month.between(1, 12), month), F.when(day.between(1, last), day))
 
 
 def explode_json_list(
@@ -89,14 +85,19 @@ def explode_json_list(
     element_type: T.DataType,
     out_col: str,
     pos_col: str = "pos",
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per element of a JSON array held as text.
 
     Empty, NULL and malformed arrays keep their row with NULL element and
-    position, so nothing is dropped.
+    position, so nothing is dropped. ``row_col`` adds a number that the
+    elements of one source row share and no others.
     """
     parsed = F.from_json(col(json_col), T.ArrayType(element_type))
     rest = [col(c) for c in df.columns if c != json_col]
+    if row_col:
+        df = df.withColumn(row_col, F.monotonically_increasing_id())
+        rest.append(col(row_col))
     return df.select(*rest, F.posexplode_outer(parsed).alias(pos_col, out_col))
 
 
@@ -109,14 +110,16 @@ def rollup_list_attributes(
     levels: Sequence[str] = SENSITIVITY_PRIORITY,
     names_out: str | None = None,
     level_out: str | None = None,
+    row_col: str = "row",
 ) -> DataFrame:
-    """Per key: the highest level among its elements, and their names in order.
+    """Per source row: the highest level among its elements, and their names in order.
 
     Names are joined with ", " in element order; a missing name prints as
-    "NA". One partial aggregate, so only one row per key per task is
-    shuffled. Groups are the elements of one source row.
+    "NA". Groups are the elements of one source row (``row_col`` of
+    :func:`explode_json_list`), so they are as long as its list, also where
+    rows repeat a key.
     """
-    agg = exploded.groupBy(col(key).alias(key)).agg(
+    agg = exploded.groupBy(col(row_col), col(key).alias(key)).agg(
         F.min(priority_rank(col(level_col), levels)).alias("__rank"),
         ordered_join(col(name_col), col(pos_col)).alias(names_out or name_col),
     )
@@ -128,15 +131,19 @@ def rollup_list_attributes(
 
 
 def parse_json_column(df: DataFrame, json_col: str, schema: T.StructType | str) -> DataFrame:
-    """Parse a JSON text column against a declared schema and flatten it.
+    """Parse JSON documents into a table against a declared schema.
 
-    Nested fields become ``parent.child`` columns, as a flattened API
-    document is named. A declared schema avoids an inference pass over the
-    data.
+    Nested fields become ``parent.child`` columns and an array of records
+    becomes one row per record, as a flattened API response is laid out; an
+    empty, NULL or malformed document keeps one row of NULLs. Top-level fields
+    of the document have no prefix. A declared schema avoids an inference pass
+    over the data.
     """
     rest = [col(c) for c in df.columns if c != json_col]
-    parsed = df.select(*rest, F.from_json(col(json_col), schema).alias(json_col))
-    return flatten_struct_columns(parsed)
+    parsed = df.select(*rest, F.from_json(col(json_col), schema).alias("__document"))
+    fields = [f.name for f in parsed.schema["__document"].dataType.fields]
+    top = parsed.select(*rest, *[col("__document").getField(n).alias(n) for n in fields])
+    return flatten_records(top)
 
 
 def country_cross_reference(

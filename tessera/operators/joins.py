@@ -7,23 +7,18 @@ land in one shuffle partition; AQE's skew-join split (enabled in
 ``tessera.session``) breaks that partition, like any hot key, into several
 tasks on the large side.
 
-Physical strategy is left to Catalyst and AQE. A broadcast is requested only
-through :func:`broadcast_if_small`, which first proves the side is within a
-row bound.
+Physical strategy is left to Catalyst and AQE, which choose from measured
+bytes. Nothing here asks for a broadcast, counts rows or caches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-import weakref
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup that may be broadcast without a measured plan size.
-DEFAULT_BROADCAST_ROWS = 100_000
-
 KeySpec = str | Sequence[str] | Sequence[tuple[str, str]] | Mapping[str, str]
 
 
@@ -111,7 +106,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: KeySpec, how: str = "i
     return joined.select(*[left_out(c) for c in left.columns], *[col(c) for c in right_rest])
 
 
-def left_join_split(left: DataFrame, right: DataFrame, on: KeySpec) -> DataFrame:
+def left_join_split(
+    left: DataFrame, right: DataFrame, on: KeySpec, right_keys_of: DataFrame | None = None
+) -> DataFrame:
     """A NULL-safe left join that stays parallel when the right side has hot keys.
 
     AQE can split a skewed partition on either side of an inner join, but
@@ -119,12 +116,17 @@ def left_join_split(left: DataFrame, right: DataFrame, on: KeySpec) -> DataFrame
     written as the matched rows (inner join) plus the left rows without a
     match (anti join against the right side's distinct keys, which a partial
     aggregate collapses before the shuffle). Same multiset as a left join.
+
+    ``right_keys_of`` may name a cheaper frame that holds the same set of keys
+    (an input of ``right`` from before its costly columns were derived), so
+    those columns are computed once.
     """
     pairs = _key_pairs(on)
     right_keys = [rk for _, rk in pairs]
     right_rest = [c for c in right.columns if c not in right_keys]
     matched = null_safe_join(left, right, pairs, "inner")
-    keys_only = right.select(*[col(rk) for rk in right_keys]).distinct()
+    source = right if right_keys_of is None else right_keys_of
+    keys_only = source.select(*[col(rk) for rk in right_keys]).distinct()
     unmatched = null_safe_join(left, keys_only, pairs, "anti").select(
         "*", *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_rest]
     )
@@ -148,50 +150,6 @@ def natural_join(
     return null_safe_join(left, right, list(keys), how)
 
 
-_BOUND_CHECKS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it holds at most ``max_rows`` rows.
-
-    The bound is measured (a limited count stops after ``max_rows + 1``
-    rows per task), so a side that grows with the data falls back to a
-    shuffled join instead of exhausting executor memory. The decision is
-    remembered per DataFrame, so a frame used in several joins is counted once.
-    """
-    return F.broadcast(df) if within_rows(df, max_rows) else df
-
-
-def within_rows(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` holds at most ``max_rows`` rows (measured once per frame)."""
-    seen = _BOUND_CHECKS.setdefault(df, {})
-    if max_rows not in seen:
-        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return seen[max_rows]
-
-
-def null_key_report(left: DataFrame, right: DataFrame, on: KeySpec) -> DataFrame:
-    """Rows and NULL-key rows on each side of a NULL-safe join (two rows).
-
-    NULL keys all hash to one partition and match each other, so the join
-    emits the product of the two ``null_rows`` for them. Each side is reduced
-    by a single aggregate; nothing is collected.
-    """
-    pairs = _key_pairs(on)
-
-    def side(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-        all_null = reduce(lambda a, b: a & b, [col(k).isNull() for k in keys])
-        return df.agg(
-            F.lit(name).alias("side"),
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(all_null).alias("null_rows"),
-        )
-
-    return side(left, [lk for lk, _ in pairs], "left").unionByName(
-        side(right, [rk for _, rk in pairs], "right")
-    )
-
-
 def in_values(c: Column, values: Iterable[object]) -> Column:
     """R's ``x %in% c(...)``: never NULL, and NULL matches a listed NULL."""
     values = list(values)
@@ -217,14 +175,8 @@ def membership_lookup(
     )
 
 
-def add_membership_flags(
-    df: DataFrame,
-    value_col: str,
-    flags: DataFrame,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
+def add_membership_flags(df: DataFrame, value_col: str, flags: DataFrame) -> DataFrame:
     """Attach the flags of :func:`membership_lookup`; values not listed get False."""
     flag_cols = [c for c in flags.columns if c != value_col]
-    small = broadcast_if_small(flags, max_broadcast_rows)
-    joined = null_safe_join(df, small, value_col, "left")
+    joined = null_safe_join(df, flags, value_col, "left")
     return joined.withColumns({c: F.coalesce(col(c), F.lit(False)) for c in flag_cols})

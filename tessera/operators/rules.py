@@ -15,13 +15,14 @@ Group values can be attached two ways with identical results:
   back onto the rows. The aggregate is partial (map-side), so a group holding
   a third of all rows is reduced before the shuffle, and the join back is a
   plain equi-join whose hot partitions AQE splits across tasks.
-* ``"window"``: one ``Window.partitionBy(keys)`` spec for all values; a
-  single exchange and sort, but each group must fit in one task.
+* ``"window"``: one ``Window.partitionBy(keys)`` spec for all values; each
+  group goes to one task, so this form is a model for tests, not for a job.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -42,7 +43,28 @@ def first_match(cases: Sequence[tuple[Column, object]], default: object = None)
     return expr
 
 
-GroupValue = Callable[[WindowSpec | None], Column]
+@dataclass(frozen=True, eq=False)
+class GroupValue:
+    """One value of a group: of its rows, over a window, or of parts already aggregated.
+
+    ``weight`` names a column that says how many rows a part stands for.
+    """
+
+    kind: str
+    cond: Column | None = None
+
+    def __call__(self, window: WindowSpec | None = None, weight: Column | None = None) -> Column:
+        if self.kind == "size":
+            agg = F.count(F.lit(1)) if weight is None else F.sum(weight)
+            return _over(agg, window)
+        agg = F.bool_or(self.cond) if self.kind == "any" else F.bool_and(F.coalesce(self.cond, F.lit(False)))
+        return F.coalesce(_over(agg, window), F.lit(False))
+
+    def merged(self, part: Column, weight: Column) -> Column:
+        """The value of a group from its parts' values; each part counts ``weight`` times."""
+        if self.kind == "size":
+            return F.sum(part * weight)
+        return F.coalesce(F.bool_or(part) if self.kind == "any" else F.bool_and(part), F.lit(False))
 
 
 def _over(agg: Column, window: WindowSpec | None) -> Column:
@@ -51,19 +73,17 @@ def _over(agg: Column, window: WindowSpec | None) -> Column:
 
 def group_any(cond: Column) -> GroupValue:
     """R's ``any(cond)`` per group as a definite boolean (NA counts as no)."""
-    return lambda w=None: F.coalesce(_over(F.bool_or(cond), w), F.lit(False))
+    return GroupValue("any", cond)
 
 
 def group_all(cond: Column) -> GroupValue:
     """R's ``all(cond)`` per group, NULL-strict: a NA row means "not all"."""
-    return lambda w=None: F.coalesce(
-        _over(F.bool_and(F.coalesce(cond, F.lit(False))), w), F.lit(False)
-    )
+    return GroupValue("all", cond)
 
 
 def group_size() -> GroupValue:
     """R's ``n()`` per group."""
-    return lambda w=None: _over(F.count(F.lit(1)), w)
+    return GroupValue("size")
 
 
 def with_group_values(

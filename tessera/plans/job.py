@@ -1,18 +1,16 @@
-"""The daily job: read the inputs, build the three outputs, write them.
-
-Lineage is cut at two points so a lost executor never forces a recompute
-from the sources:
-
-* the engagement dimension (read by the product join and by the engagement
-  table) is written once as a Parquet table under the shared directory the
-  cluster names in ``spark.checkpoint.dir``, when one is configured, and
-  read back (an RDD checkpoint would compute it twice unless persisted);
-* each output is written, and the next output reads it back from the sink
-  (the rollup needs only two columns of the product table, which a columnar
-  read prunes to).
-
-The writes are not one transaction, as in the reference: each table is
-replaced by its own job commit.
+"""The daily job: read the inputs, compute the three outputs, then replace them.
+
+All outputs are computed into staging tables before the first one is
+replaced, so a failure leaves yesterday's three tables together. Staging
+tables are Parquet in the shared directory that the cluster names in
+``spark.checkpoint.dir``; a lost executor then never forces a recompute from
+the sources, and the engagement dimension, which the outputs share, is
+computed once. They are deleted when the job ends, whether or not it
+succeeds. No output is read back from a database: the rollup comes from
+status classes.
+
+The replacing writes are not one transaction, as in the reference: each table
+is replaced by its own job commit.
 """
 
 from __future__ import annotations
@@ -23,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.plans import legacy, live
 from tessera.sources.readers import TableSource
-from tessera.sources.sinks import ParquetSink, TableSink
+from tessera.sources.sinks import TableSink
 
+# The tables that the live flow reads.
 LIVE_INPUTS = (
     "bible_info",
     "countries",
@@ -38,29 +37,28 @@ LIVE_INPUTS = (
 )
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared checkpoint directory and read it back.
+class Staging:
+    """Tables of one run under the shared checkpoint directory, deleted on exit."""
+
+    def __init__(self, spark: SparkSession, name: str = "job"):
+        base = spark.sparkContext.getCheckpointDir()
+        if not base:
+            raise ValueError("set spark.checkpoint.dir to a directory that the driver and all executors share")
+        self.spark = spark
+        self.root = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
-    Without a configured directory the frame is returned as is (Spark then
-    recomputes it from lineage where needed); no machine-local folder is
-    ever used.
-    """
-    spark = df.sparkSession
-    base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        return df
-    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once and return it read back."""
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
 
+    def __enter__(self) -> Staging:
+        return self
 
-def read_back(spark: SparkSession, sink: TableSink, name: str) -> DataFrame:
-    if isinstance(sink, ParquetSink):
-        return spark.read.parquet(sink.path(name))
-    loader = getattr(sink, "load", None)
-    if loader is None:
-        raise TypeError(f"sink {type(sink).__name__} cannot be read back")
-    return loader(spark, name)
+    def __exit__(self, *_: object) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def run_job(
@@ -68,34 +66,33 @@ def run_job(
     source: TableSource,
     sink: TableSink,
     flow: str = "live",
-    method: str = "aggregate",
 ) -> dict[str, str]:
     """Run one flow end to end; returns the written table names by role."""
-    tables = source.load_all(LIVE_INPUTS)
-    dim = materialize(live.engagement_dimension(tables), "engagement_dimension")
-    if flow == "live":
-        projects = live.project_status(tables, method=method, dimension=dim)
-    elif flow == "legacy":
-        projects = legacy.legacy_project_status(tables, dim, method=method)
-    else:
+    if flow not in ("live", "legacy"):
         raise ValueError(f"unknown flow {flow!r}")
-    sink.save(projects, "master_uw_translation_projects")
-    written = read_back(spark, sink, "master_uw_translation_projects")
-
-    if flow == "live":
-        master = live.engagement_master(dim, live.engagement_status(written))
-    else:
-        master = legacy.legacy_engagement_master(dim, legacy.legacy_engagement_status(written))
-    sink.save(master, "master_uw_language_engagements")
-
+    tables = source.load_all(LIVE_INPUTS)
     goals = tables["pb_language_data"]
-    if flow == "live":
-        coverage = live.goal_coverage(
-            goals, read_back(spark, sink, "master_uw_language_engagements")
-        )
-    else:
-        coverage = legacy.legacy_goal_coverage(goals, live.engagement_org_rep(tables))
-    sink.save(coverage, "pb_language_engagements")
+    with Staging(spark) as staging:
+        dim = staging.save(live.engagement_dimension(tables), "engagement_dimension")
+        if flow == "live":
+            projects = live.project_status(tables, dimension=dim)
+            master = live.engagement_master(dim, live.engagement_status(live.status_classes(tables, dim)))
+        else:
+            projects = legacy.legacy_project_status(tables, dim)
+            rollup = legacy.legacy_engagement_status(legacy.legacy_status_classes(tables, dim))
+            master = legacy.legacy_engagement_master(dim, rollup)
+        staged = {
+            "master_uw_translation_projects": staging.save(projects, "projects"),
+            "master_uw_language_engagements": staging.save(master, "engagements"),
+        }
+        if flow == "live":
+            # The dimension holds all of the engagements' codes.
+            coverage = live.goal_coverage(goals, staged["master_uw_language_engagements"], dim)
+        else:
+            coverage = legacy.legacy_goal_coverage(goals, live.engagement_org_rep(tables))
+        staged["pb_language_engagements"] = staging.save(coverage, "goals")
+        for name, df in staged.items():
+            sink.save(df, name)
     return {
         "projects": "master_uw_translation_projects",
         "engagements": "master_uw_language_engagements",

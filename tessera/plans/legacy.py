@@ -36,13 +36,9 @@ def legacy_project_status(
 ) -> DataFrame:
     """Products with group size and the retired project-status rules."""
     if method == "aggregate":
-        dim = live.shared_dimension(
-            dimension if dimension is not None else live.engagement_dimension(tables)
+        return live.status_products(
+            tables, dimension, keys, st.legacy_group_values(), st.legacy_rules(), keep_flags=True
         )
-        rows = live.status_rows(
-            tables, dim, keys, st.legacy_group_values(), st.legacy_rules(), keep_flags=True
-        )
-        return live.attach_dimension(rows, dim).drop(*live.BIBLE_FLAGS.values())
     prep = live.prepared_products(tables, dimension, keep_flags=True)
     out_cols = [c for c in prep.columns if c not in live.BIBLE_FLAGS.values()]
     x = with_group_values(prep, keys, st.legacy_group_values(), method)
@@ -50,6 +46,19 @@ def legacy_project_status(
     return x.select(*[col(c) for c in out_cols], col(st.COUNT_COL), status.alias(st.STATUS_COL))
 
 
+def legacy_status_classes(tables: Tables, dimension: DataFrame | None = None) -> DataFrame:
+    """Language tag and status of every class of products (see ``live.status_classes``)."""
+    return live.status_classes(
+        tables,
+        dimension,
+        st.LEGACY_GROUP_KEYS,
+        st.legacy_group_values(),
+        st.legacy_rules(),
+        keep_flags=True,
+        attach=("subtag_new",),
+    )
+
+
 def legacy_engagement_status(projects: DataFrame) -> DataFrame:
     """One status per language tag, retired priority order."""
     return best_by_priority(projects, "subtag_new", st.STATUS_COL, list(st.LEGACY_PRIORITY))
@@ -84,11 +93,11 @@ def legacy_training_filter(training: DataFrame) -> DataFrame:
 
 def run_legacy(tables: Tables, method: str = "aggregate") -> dict[str, DataFrame]:
     dim = live.engagement_dimension(tables)
-    projects = legacy_project_status(tables, dim, method=method)
-    master = legacy_engagement_master(dim, legacy_engagement_status(projects))
-    goals = legacy_goal_coverage(tables["pb_language_data"], live.engagement_org_rep(tables))
+    rollup = legacy_engagement_status(legacy_status_classes(tables, dim))
     return {
-        "master_uw_translation_projects": projects,
-        "master_uw_language_engagements": master,
-        "pb_language_engagements": goals,
+        "master_uw_translation_projects": legacy_project_status(tables, dim, method=method),
+        "master_uw_language_engagements": legacy_engagement_master(dim, rollup),
+        "pb_language_engagements": legacy_goal_coverage(
+            tables["pb_language_data"], live.engagement_org_rep(tables)
+        ),
     }

@@ -8,27 +8,28 @@ Physical plan at scale (checked with ``explain``):
 
 * the engagement dimension is a chain of equi-joins on different keys; small
   lookups become broadcast joins from measured sizes, large ones sort-merge;
-* products join the dimension on ``language_engagement_id`` (sort-merge; AQE
-  splits a hot engagement);
-* group values are a partial aggregate plus one join back, so no group has
-  to fit in one task;
-* the engagement rollup is a partial ``min`` over a priority rank.
+* products are reduced to one row a group by a partial aggregate, groups are
+  joined to the dimension, and products join that group table once on their
+  group keys (AQE splits a hot group);
+* rollups read status classes, a partial aggregate of products, and are a
+  partial ``min`` over a priority rank: no product row is shuffled for them.
+
+One plan holds at all sizes: nothing here counts rows, hints or caches, and
+building a query reads no more than Parquet footers.
 """
 
 from __future__ import annotations
 
 import weakref
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import status as st
 from tessera.functions.text import blank_to_null, combined_name, completed_scripture_label, yes_no
 from tessera.operators.joins import (
     add_membership_flags,
-    broadcast_if_small,
-    within_rows,
     col,
     left_join_split,
     membership_lookup,
@@ -111,13 +112,6 @@ GOAL_COLUMNS = (
     "uw_project_status",
 )
 
-# Countries and Bible sections are reference lists of bounded size.
-LOOKUP_BROADCAST_ROWS = 100_000
-# The engagement dimension grows with the data: it is broadcast into the
-# product join only while it stays under this many rows (about 30 MB at
-# its width); beyond that the join is a sort-merge join.
-DIMENSION_BROADCAST_ROWS = 100_000
-
 BIBLE_FLAGS = {"OT": "__is_ot", "NT": "__is_nt"}
 
 
@@ -128,9 +122,7 @@ def engagement_locale(tables: Tables) -> DataFrame:
     sli = tables["sli_language_data"].select("bcp47", "resource_level")
     x = natural_join(eng, ietf, ["ietf_id"], "inner")
     x = null_safe_join(x, sli, {"subtag_new": "bcp47"}, "left").select(*LOCALE_COLUMNS)
-    countries = broadcast_if_small(
-        tables["countries"].select("alpha_3_code", *COUNTRY_COLUMNS), LOOKUP_BROADCAST_ROWS
-    )
+    countries = tables["countries"].select("alpha_3_code", *COUNTRY_COLUMNS)
     return null_safe_join(x, countries, {"country_id": "alpha_3_code"}, "left")
 
 
@@ -193,23 +185,23 @@ def section_membership(tables: Tables) -> DataFrame:
         ENGAGEMENT_KEY, "l_orderkey", "l_linenumber", "scriptural_association"
     )
     return add_membership_flags(
-        products, "scriptural_association", section_lookup(tables), LOOKUP_BROADCAST_ROWS
+        products, "scriptural_association", section_lookup(tables)
     ).withColumnsRenamed({"__is_ot": "in_ot_list", "__is_nt": "in_nt_list"})
 
 
 def flagged_products(tables: Tables, keep_flags: bool = False) -> DataFrame:
     """Products with ``bible_book_ref``; blank text names become NULL.
 
-    The section lookup is a broadcast (bounded, checked) so this stays a
-    map-side step with no shuffle. With ``keep_flags`` the row's OT/NT
-    membership columns are kept (the retired rules read them).
+    The section lookup holds one row an association, so Spark broadcasts it
+    from its size and this stays a map-side step. With ``keep_flags`` the row's
+    OT/NT membership columns are kept (the retired rules read them).
     """
 
     def build() -> DataFrame:
         products = tables["uw_translation_products"]
         product_cols = products.columns
         flagged = add_membership_flags(
-            products, "scriptural_association", section_lookup(tables), LOOKUP_BROADCAST_ROWS
+            products, "scriptural_association", section_lookup(tables)
         ).withColumns(
             {
                 "bible_book_ref": st.book_ref(
@@ -234,9 +226,7 @@ def prepared_products(
     dim = dimension if dimension is not None else engagement_dimension(tables)
     flagged = flagged_products(tables, keep_flags)
     product_cols = [c for c in flagged.columns if c != "bible_book_ref" and c not in BIBLE_FLAGS.values()]
-    x = natural_join(
-        flagged, broadcast_if_small(dim, DIMENSION_BROADCAST_ROWS), [ENGAGEMENT_KEY], "inner"
-    )
+    x = natural_join(flagged, dim, [ENGAGEMENT_KEY], "inner")
     dim_rest = [c for c in dim.columns if c != ENGAGEMENT_KEY]
     out = [*product_cols, *dim_rest, "bible_book_ref"]
     if keep_flags:
@@ -244,96 +234,140 @@ def prepared_products(
     return x.select(*[col(c) for c in out])
 
 
-def status_rows(
+def _split_keys(keys: Sequence[str], flagged: DataFrame, dim: DataFrame) -> tuple[list[str], list[str]]:
+    """Group keys on the product rows (the engagement first) and on the dimension."""
+    own = [k for k in keys if k in flagged.columns and k != ENGAGEMENT_KEY]
+    from_dim = [k for k in keys if k not in flagged.columns]
+    missing = [k for k in from_dim if k not in dim.columns]
+    if missing:
+        raise ValueError(f"group keys on neither products nor dimension: {missing}")
+    if not from_dim and ENGAGEMENT_KEY not in keys:
+        raise ValueError("groups need the engagement or a dimension column among their keys")
+    return [ENGAGEMENT_KEY, *own], from_dim
+
+
+def _fan_out(dim: DataFrame, by: Sequence[str]) -> DataFrame:
+    """How many dimension rows hold each combination of ``by``."""
+    return dim.groupBy(*[col(k).alias(k) for k in by]).agg(F.count(F.lit(1)).alias("__fan_out"))
+
+
+def _across_engagements(
+    parts: DataFrame, dim: DataFrame, own: Sequence[str], from_dim: Sequence[str], values: Mapping[str, GroupValue]
+) -> DataFrame:
+    """Values of groups keyed by dimension columns, on each engagement's parts of them.
+
+    ``parts`` holds one row for each ``own`` keys with the parts' values. A
+    part counts once for each dimension row with the same display columns.
+    """
+    placed = null_safe_join(parts, _fan_out(dim, [ENGAGEMENT_KEY, *from_dim]), ENGAGEMENT_KEY, "inner")
+    group = [*from_dim, *own[1:]]
+    merged = placed.groupBy(*[col(k).alias(k) for k in group]).agg(
+        *[v.merged(col(n), col("__fan_out")).alias(n) for n, v in values.items()]
+    )
+    return null_safe_join(placed.drop("__fan_out", *values), merged, group, "inner")
+
+
+def status_groups(
+    flagged: DataFrame, dim: DataFrame, keys: Sequence[str], values: Mapping[str, GroupValue]
+) -> tuple[DataFrame, list[str]]:
+    """Every group with its values beside every dimension row it has, and the product keys.
+
+    The group size counts joined rows, so a product whose engagement has
+    ``m`` dimension rows counts ``m`` times; any/all are unchanged by that.
+    Products are read once, through a partial aggregate to one row for each
+    product key; from there on everything is as large as groups.
+
+    * Keys on the product rows: the size is ``n * m``, with ``m`` counted over
+      the dimension's rows of the engagement.
+    * Keys taken from the dimension (country, display name) span engagements:
+      values are merged over them, and the dimension is read a second time to
+      put its columns back.
+    """
+    own, from_dim = _split_keys(keys, flagged, dim)
+    parts = flagged.groupBy(*[col(k).alias(k) for k in own]).agg(*[v().alias(n) for n, v in values.items()])
+    if not from_dim:
+        counted = dim.withColumn("__fan_out", F.count(F.lit(1)).over(Window.partitionBy(col(ENGAGEMENT_KEY))))
+        groups = null_safe_join(parts, counted, ENGAGEMENT_KEY, "inner")
+        return groups.withColumn(st.COUNT_COL, col(st.COUNT_COL) * col("__fan_out")).drop("__fan_out"), own
+    groups = _across_engagements(parts, dim, own, from_dim, values)
+    return null_safe_join(groups, dim, [ENGAGEMENT_KEY, *from_dim], "inner"), own
+
+
+def status_products(
     tables: Tables,
-    dimension: DataFrame | None = None,
-    keys: tuple[str, ...] = st.LIVE_GROUP_KEYS,
-    values: Mapping[str, GroupValue] | None = None,
-    rules: list | None = None,
+    dimension: DataFrame | None,
+    keys: Sequence[str],
+    values: Mapping[str, GroupValue],
+    rules: list,
     keep_flags: bool = False,
 ) -> DataFrame:
-    """Product rows that have an engagement, with ``BP_num`` and ``project_status``.
-
-    Only the dimension columns used as group keys are attached; the rest
-    follow in :func:`attach_dimension`. The group size counts joined rows,
-    so a product whose engagement has ``m`` dimension rows counts ``m`` times;
-    any/all are unchanged by such repeats.
-
-    * Keys on the product rows that include the engagement id: ``m`` is the
-      same for the whole group, so group values are a partial aggregate over
-      the narrow product rows and the size is ``n * m``.
-    * Keys taken from the dimension (country, display name): the dimension is
-      first reduced to one row per (engagement, those keys) with its count
-      ``m``, joined to the product rows, and the size is ``sum(m)``.
-
-    Either way the shuffles carry product columns plus a few keys, never the
-    whole dimension. Rows without an engagement drop out, as in the inner
-    join.
+    """Output A layout: products, dimension columns, ``bible_book_ref``, size and status.
+
+    After the partial aggregate behind :func:`status_groups` the products are
+    shuffled once, by their group keys, to meet the group table.
     """
-    values = dict(values if values is not None else st.live_group_values())
-    rules = rules if rules is not None else st.live_rules()
     flagged = flagged_products(tables, keep_flags)
     dim = dimension if dimension is not None else engagement_dimension(tables)
-    dim_keys = [k for k in keys if k not in flagged.columns]
-    missing = [k for k in dim_keys if k not in dim.columns]
-    if missing:
-        raise ValueError(f"group keys on neither products nor dimension: {missing}")
-    link = [ENGAGEMENT_KEY, *dim_keys]
-    fan_out = dim.groupBy(*[col(k).alias(k) for k in link]).agg(
-        F.count(F.lit(1)).alias("__fan_out")
-    )
-    group_cols = [col(k).alias(k) for k in keys]
-    if not dim_keys and ENGAGEMENT_KEY in keys:
-        per_group = flagged.groupBy(*group_cols).agg(
-            *[value(None).alias(name) for name, value in values.items()]
-        )
-        per_group = null_safe_join(per_group, fan_out, ENGAGEMENT_KEY, "inner").withColumn(
-            st.COUNT_COL, col(st.COUNT_COL) * col("__fan_out")
-        )
-        rows = null_safe_join(flagged, per_group.drop("__fan_out"), list(keys), "inner")
-    else:
-        weighted = null_safe_join(flagged, fan_out, ENGAGEMENT_KEY, "inner")
-        values[st.COUNT_COL] = lambda w=None: F.sum(col("__fan_out"))
-        per_group = weighted.groupBy(*group_cols).agg(
-            *[value(None).alias(name) for name, value in values.items()]
-        )
-        rows = null_safe_join(weighted.drop("__fan_out"), per_group, list(keys), "inner")
-    return rows.select(
-        *[col(c) for c in (*flagged.columns, *dim_keys)],
-        col(st.COUNT_COL),
+    groups, own = status_groups(flagged, dim, keys, values)
+    x = null_safe_join(flagged, groups, own, "inner")
+    hidden = ("bible_book_ref", *BIBLE_FLAGS.values())
+    product_cols = [c for c in flagged.columns if c not in hidden]
+    dim_rest = [c for c in dim.columns if c != ENGAGEMENT_KEY]
+    return x.select(
+        *[col(c) for c in (*product_cols, *dim_rest, "bible_book_ref", st.COUNT_COL)],
         first_match(rules).alias(st.STATUS_COL),
     )
 
 
-def shared_dimension(dim: DataFrame) -> DataFrame:
-    """The dimension as read by both the row-count factor and the final attach.
-
-    A dimension proven to be within the broadcast bound is cached, so the two
-    reads share one computation. A larger one is left alone: the daily job
-    has already materialized it, and caching it would hold engagement-scale
-    data in executor memory.
-    """
-    if within_rows(dim, DIMENSION_BROADCAST_ROWS):
-        return dim.cache()
-    return dim
+# What a rule can read from a product besides its group keys.
+_CLASS_COLUMNS = ("resource_package", "bible_book_ref", "scriptural_association", "product_status")
 
 
-def attach_dimension(rows: DataFrame, dim: DataFrame) -> DataFrame:
-    """Output A layout: product columns, dimension columns, then the derived ones.
+def status_classes(
+    tables: Tables,
+    dimension: DataFrame | None = None,
+    keys: Sequence[str] = st.LIVE_GROUP_KEYS,
+    values: Mapping[str, GroupValue] | None = None,
+    rules: list | None = None,
+    keep_flags: bool = False,
+    attach: Sequence[str] = (),
+) -> DataFrame:
+    """``(engagement, *attach, status)`` for every class of product rows the rules tell apart.
 
-    ``rows`` come from :func:`status_rows`; they are joined to the dimension
-    on the engagement id plus any dimension columns they already carry, which
-    restores each product's dimension rows exactly once. The wide dimension
-    columns are joined once, at the end, instead of being shuffled with every
-    product row.
+    Rules read a product's group, status, package and reference, and whether
+    its association stands for a whole text. Products equal in those are one
+    class, made by a partial aggregate, and get one status: the same pairs of
+    engagement and status as the product rows have, without shuffling those.
+    ``attach`` names dimension columns to carry along.
     """
-    link = [ENGAGEMENT_KEY, *[c for c in rows.columns if c in dim.columns and c != ENGAGEMENT_KEY]]
-    x = natural_join(rows, broadcast_if_small(dim, DIMENSION_BROADCAST_ROWS), link, "inner")
-    derived = ["bible_book_ref", st.COUNT_COL, st.STATUS_COL]
-    flags = [c for c in BIBLE_FLAGS.values() if c in rows.columns]
-    product_cols = [c for c in rows.columns if c not in (*derived, *flags) and c not in link[1:]]
-    dim_rest = [c for c in dim.columns if c != ENGAGEMENT_KEY]
-    return x.select(*[col(c) for c in (*product_cols, *dim_rest, *derived, *flags)])
+    values = dict(values if values is not None else st.live_group_values())
+    rules = rules if rules is not None else st.live_rules()
+    flagged = flagged_products(tables, keep_flags).withColumn(
+        "scriptural_association",
+        F.when(col("scriptural_association").isin(*st.WHOLE_TEXT_ASSOCIATIONS), col("scriptural_association")),
+    )
+    dim = dimension if dimension is not None else engagement_dimension(tables)
+    own, from_dim = _split_keys(keys, flagged, dim)
+    flags = [c for c in BIBLE_FLAGS.values() if c in flagged.columns]
+    class_keys = list(dict.fromkeys([*own, *_CLASS_COLUMNS, *flags]))
+    classes = flagged.groupBy(*[col(k).alias(k) for k in class_keys]).agg(F.count(F.lit(1)).alias("__rows"))
+    # The classes of one set of product keys are as few as statuses and flags allow.
+    same = Window.partitionBy(*[col(k) for k in own])
+    valued = classes.withColumns({n: v(same, col("__rows")) for n, v in values.items()}).drop("__rows")
+    if from_dim:
+        parts = valued.select(*[col(c) for c in (*own, *values)]).distinct()
+        groups = _across_engagements(parts, dim, own, from_dim, values)
+        valued = null_safe_join(valued.drop(*values), groups, own, "inner")
+        link = [ENGAGEMENT_KEY, *from_dim]
+    else:
+        valued = null_safe_join(valued, _fan_out(dim, [ENGAGEMENT_KEY]), ENGAGEMENT_KEY, "inner")
+        valued = valued.withColumn(st.COUNT_COL, col(st.COUNT_COL) * col("__fan_out")).drop("__fan_out")
+        link = [ENGAGEMENT_KEY]
+    rows = valued.select(*[col(c) for c in link], first_match(rules).alias(st.STATUS_COL))
+    more = [c for c in attach if c not in link]
+    if more:
+        rows = null_safe_join(rows.distinct(), dim.select(*[col(c) for c in (*link, *more)]).distinct(), link, "inner")
+    return rows.select(*[col(c) for c in dict.fromkeys((ENGAGEMENT_KEY, *attach, st.STATUS_COL))])
 
 
 def project_status(
@@ -345,14 +379,12 @@ def project_status(
 ) -> DataFrame:
     """Output A: every product with its group size and derived project status.
 
-    ``method="aggregate"`` (default) uses :func:`status_rows` then
-    :func:`attach_dimension`; ``method="window"`` joins first and computes
-    the group values with one window (one shuffle, but each group must fit
-    in one task).
+    ``method="aggregate"`` is :func:`status_products`. ``method="window"`` joins
+    first and computes the group values with one window, each group in one
+    task: the model that tests compare with.
     """
     if prepared is None and method == "aggregate":
-        dim = shared_dimension(dimension if dimension is not None else engagement_dimension(tables))
-        return attach_dimension(status_rows(tables, dim, keys), dim)
+        return status_products(tables, dimension, keys, st.live_group_values(), st.live_rules())
     prep = prepared if prepared is not None else prepared_products(tables, dimension)
     x = with_group_values(prep, keys, st.live_group_values(), method)
     status = first_match(st.live_rules())
@@ -362,7 +394,7 @@ def project_status(
 def status_presence(projects: DataFrame, priority=st.LIVE_PRIORITY) -> DataFrame:
     """Wide view: one column per status, set when the engagement has it.
 
-    ``projects`` is Output A or :func:`status_rows`; both hold the same
+    ``projects`` is Output A or :func:`status_classes`; both hold the same
     (engagement, status) pairs.
     """
     return pivot_presence(projects, "language_engagement_id", st.STATUS_COL, list(priority))
@@ -371,8 +403,8 @@ def status_presence(projects: DataFrame, priority=st.LIVE_PRIORITY) -> DataFrame
 def engagement_status(projects: DataFrame, priority=st.LIVE_PRIORITY) -> DataFrame:
     """One status per engagement: the highest-priority project status.
 
-    ``projects`` is Output A or :func:`status_rows`: dimension fan-out only
-    repeats rows, which does not change a minimum.
+    ``projects`` is Output A or :func:`status_classes`: repeated rows do not
+    change a minimum.
     """
     return best_by_priority(projects, "language_engagement_id", st.STATUS_COL, list(priority))
 
@@ -383,18 +415,23 @@ def engagement_master(dimension: DataFrame, rollup: DataFrame) -> DataFrame:
     return x.withColumn(st.STATUS_COL, st.engagement_default_live(col(st.STATUS_COL)))
 
 
-def goal_coverage(goals: DataFrame, engagements: DataFrame) -> DataFrame:
+def goal_coverage(
+    goals: DataFrame, engagements: DataFrame, codes: DataFrame | None = None
+) -> DataFrame:
     """Output C: every goal language, with the engagements that cover it.
 
     Goals without an engagement are kept. The key column is named
-    ``iso_639_2`` and holds the goal's code.
+    ``iso_639_2`` and holds the goal's code. ``codes`` is a frame with the same
+    ``iso_639_2`` values (they are fixed before goals and statuses are joined,
+    see :func:`engagement_org_rep`), so statuses are computed once.
     """
     eng = engagements.select(
         col("iso_639_2").alias("__iso"),
         col(st.STATUS_COL).alias("uw_project_status"),
         col("language_engagement_id").alias("__engagement"),
     )
-    x = left_join_split(goals, eng, {"languagecode": "__iso"})
+    known = None if codes is None else codes.select(col("iso_639_2").alias("__iso"))
+    x = left_join_split(goals, eng, {"languagecode": "__iso"}, known)
     x = x.withColumns(
         {
             "iso_639_2": col("languagecode"),
@@ -408,11 +445,11 @@ def goal_coverage(goals: DataFrame, engagements: DataFrame) -> DataFrame:
 def run_live(tables: Tables, method: str = "aggregate") -> dict[str, DataFrame]:
     """All three live outputs, built lazily from one set of input frames."""
     dim = engagement_dimension(tables)
-    projects = project_status(tables, method=method, dimension=dim)
-    master = engagement_master(dim, engagement_status(projects))
-    goals = goal_coverage(tables["pb_language_data"], master)
+    master = engagement_master(dim, engagement_status(status_classes(tables, dim)))
     return {
-        "master_uw_translation_projects": projects,
+        "master_uw_translation_projects": project_status(tables, method=method, dimension=dim),
         "master_uw_language_engagements": master,
-        "pb_language_engagements": goals,
+        "pb_language_engagements": goal_coverage(
+            tables["pb_language_data"], master, engagement_org_rep(tables)
+        ),
     }

@@ -7,12 +7,16 @@ of one scale factor.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.plans import legacy, live, retired
+from tessera.plans.job import Staging
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources.fixtures import fixture_frames
+from tessera.sources.sinks import ParquetSink
 
 Tables = Mapping[str, DataFrame]
 
@@ -23,20 +27,40 @@ def _project_status(t: Tables) -> DataFrame:
 
 def _engagement_master(t: Tables) -> DataFrame:
     dim = live.engagement_dimension(t)
-    return live.engagement_master(dim, live.engagement_status(live.status_rows(t, dim)))
+    return live.engagement_master(dim, live.engagement_status(live.status_classes(t, dim)))
 
 
 def _goal_coverage(t: Tables) -> DataFrame:
-    return live.goal_coverage(t["pb_language_data"], _engagement_master(t))
+    return live.goal_coverage(t["pb_language_data"], _engagement_master(t), live.engagement_org_rep(t))
 
 
 def _legacy_engagement_master(t: Tables) -> DataFrame:
     dim = live.engagement_dimension(t)
-    projects = legacy.legacy_project_status(t, dim)
-    return legacy.legacy_engagement_master(dim, legacy.legacy_engagement_status(projects))
+    rollup = legacy.legacy_engagement_status(legacy.legacy_status_classes(t, dim))
+    return legacy.legacy_engagement_master(dim, rollup)
+
+
+def _written(name: str, build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """An output as it reads back from the sink it was written to."""
+
+    def query(t: Tables) -> DataFrame:
+        df = build(t)
+        spark = df.sparkSession
+        ensure_checkpoint_dir(spark, tempfile.gettempdir() + "/tessera-checkpoints")
+        sink = ParquetSink(Staging(spark, "written").root)
+        sink.save(df, name)
+        return spark.read.parquet(sink.path(name))
+
+    return query
+
+
+def _link_table(t: Tables) -> DataFrame:
+    """The engagement-to-organization link table, which the reference reads and does not use."""
+    return t["language_engagements_organizations"]
 
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
+    "engagement_organization_links": _link_table,
     "engagement_locale": live.engagement_locale,
     "engagement_org_rep": live.engagement_org_rep,
     "engagement_eligibility": live.engagement_dimension,
@@ -46,8 +70,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "section_membership": live.section_membership,
     "product_prep": live.prepared_products,
     "project_status": _project_status,
-    "status_presence": lambda t: live.status_presence(live.status_rows(t)),
-    "engagement_status": lambda t: live.engagement_status(live.status_rows(t)),
+    "status_presence": lambda t: live.status_presence(live.status_classes(t)),
+    "engagement_status": lambda t: live.engagement_status(live.status_classes(t)),
     "engagement_master": _engagement_master,
     "goal_coverage": _goal_coverage,
     "legacy_project_status": lambda t: legacy.legacy_project_status(t),
@@ -62,7 +86,10 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "strip_column_prefix": retired.strip_column_prefix,
     "country_xref": retired.country_xref,
     "group_by_display_name": retired.group_by_display_name,
-    "json_document": lambda t: retired.json_document(t["events"]),
+    "json_document": retired.json_document,
+    "written_projects": _written("master_uw_translation_projects", _project_status),
+    "written_engagements": _written("master_uw_language_engagements", _engagement_master),
+    "written_goals": _written("pb_language_engagements", _goal_coverage),
 }
 
 

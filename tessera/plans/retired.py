@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import status as st
@@ -35,14 +36,22 @@ PEOPLE_COLUMNS = (
 # The prefix a flattened API document puts on its columns.
 RESOURCE_PREFIX_PATTERN = "resource."
 
-EVENT_PROPS_SCHEMA = T.StructType([T.StructField("k", T.IntegerType(), True)])
+# The declared shape of the API response: an array of records.
+DOCUMENT_SCHEMA = (
+    "resource array<struct<id: bigint, languageName: string,"
+    " geo: struct<country: struct<code: string>, size: bigint>, tags: array<string>, level: int>>"
+)
 
 
 def json_list_explode(tables: Tables) -> DataFrame:
     """One row per (engagement, listed organization) with its attributes."""
+    return _exploded_lists(tables).drop("row")
+
+
+def _exploded_lists(tables: Tables) -> DataFrame:
     lists = tables["engagement_org_lists"]
     x = explode_json_list(
-        lists, "translating_organization", T.LongType(), "translating_organization_clean"
+        lists, "translating_organization", T.LongType(), "translating_organization_clean", row_col="row"
     )
     orgs = tables["organizations"].select(
         "org_id", col("name").alias("translating_organization"), "sensitivity"
@@ -53,7 +62,7 @@ def json_list_explode(tables: Tables) -> DataFrame:
 def sensitivity_rollup(tables: Tables) -> DataFrame:
     """Per engagement: strictest sensitivity and the organization names in order."""
     return rollup_list_attributes(
-        json_list_explode(tables),
+        _exploded_lists(tables),
         key="language_engagement_id",
         pos_col="pos",
         name_col="translating_organization",
@@ -62,8 +71,12 @@ def sensitivity_rollup(tables: Tables) -> DataFrame:
 
 
 def mixed_dates(tables: Tables) -> DataFrame:
-    d = tables["order_date_text"]
-    return d.select("o_orderkey", "start_date", parse_mixed_date(col("start_date")).alias("new_start"))
+    """Both date columns cleaned; the originals are dropped."""
+    return tables["order_date_text"].select(
+        "o_orderkey",
+        parse_mixed_date(col("start_date")).alias("new_start"),
+        parse_mixed_date(col("published_date")).alias("new_published"),
+    )
 
 
 def strip_column_prefix(tables: Tables) -> DataFrame:
@@ -79,11 +92,11 @@ def country_xref(tables: Tables) -> DataFrame:
     )
 
 
-def json_document(events: DataFrame) -> DataFrame:
-    """Event properties (JSON text) parsed and flattened into columns."""
-    return parse_json_column(
-        events.select("event_id", "event_type", "props"), "props", EVENT_PROPS_SCHEMA
-    )
+def json_document(tables: Tables) -> DataFrame:
+    """API responses as a table: one row per record, prefixes stripped, lists joined."""
+    records = parse_json_column(tables["event_documents"], "document", DOCUMENT_SCHEMA)
+    x = strip_pattern_from_names(records, RESOURCE_PREFIX_PATTERN)
+    return x.withColumn("tags", F.array_join("tags", ";"))
 
 
 def group_by_display_name(tables: Tables, method: str = "aggregate") -> DataFrame:
