@@ -69,8 +69,10 @@ def _merged(docs: DataFrame, lines: DataFrame, rules: Rules, scratch: Scratch) -
     chosen = scratch.save(found.join(shared, "leaf").select("leaf", "template", "at.*"), "leaves")
     wanted = chosen.groupBy("doc").agg(F.collect_set("number").alias("numbers")).withColumnRenamed("doc", "__doc")
     whole = docs.select("doc_id", "text").withColumn("__key", document_key())
+    # Texts are dealt by document at every size: a plan that broadcasts the
+    # wanted numbers while they are few would turn into another one later.
     own = (
-        whole.join(wanted, F.col("__key") == F.col("__doc"))
+        whole.join(wanted.hint("merge"), F.col("__key") == F.col("__doc"))
         .withColumn("__lines", F.split("text", "\n"))
         .select(
             "__key",
@@ -81,12 +83,13 @@ def _merged(docs: DataFrame, lines: DataFrame, rules: Rules, scratch: Scratch) -
     )
     tokens = F.filter(F.split(F.regexp_replace("line", r"\S*\d\S*", FIELD), r"\s+"), lambda t: t != "")
     hashed = F.transform(tokens, lambda t: F.hash(t))
-    bodies = (
+    bodies = scratch.save(
         own.select(
             F.xxhash64(F.size(tokens), F.slice(tokens, 1, rules.depth)).alias("leaf"), tokens.alias("tokens"), hashed.alias("body")
         )
         .select("leaf", F.xxhash64("leaf", "tokens").alias("template"), "body")
-        .dropDuplicates(["leaf", "template"])
+        .dropDuplicates(["leaf", "template"]),
+        "bodies",
     )
     units = ["leaf", "__left", "__right"]
 
@@ -189,7 +192,7 @@ def drop_recurring_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rules
     columns = [col(c) for c in docs.columns if c not in ("text", "n_dropped")]
     return (
         docs.withColumn("__key", document_key())
-        .join(drops, F.col("__key") == F.col("__doc"), "left")
+        .join(drops.hint("merge"), F.col("__key") == F.col("__doc"), "left")
         .select(
             *columns,
             _without("text", "__numbers").alias("text"),
