@@ -14,6 +14,7 @@ import zipfile
 from collections.abc import Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,10 +39,12 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared folder; a temporary one only where none is set, in local mode."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="tessera-llm-")
@@ -72,9 +75,15 @@ class Scratch:
         """Delete a table that ``save`` returned and nothing reads any more."""
         path = getattr(df, "_scratch_path", None)
         if path:
-            jvm = self.spark._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            self._delete(path)
+
+    def close(self) -> None:
+        """Delete all tables of the run, once the frames that read them are done with."""
+        self._delete(self.path)
+
+    def _delete(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def col(name: str) -> Column:
@@ -174,3 +183,8 @@ def check_columns(df: DataFrame, names: Sequence[str]) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ValueError(f"columns not found: {missing}")
+
+
+def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

@@ -8,15 +8,20 @@ sort and no state, so any slot can be found again from the key alone.
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tessera.llm.common import Scratch, col, dense_index, parts_for, row_position
-from tessera.llm.packing import token_pieces
+from tessera.llm.common import Scratch, check_columns, col, dense_index, parts_for, row_position, to_batch
+from tessera.llm.tokens import encoder
 
 # Two bytes hold an id of the vocabularies used here. A record ends with one
 # id 0 that belongs to no document, so records stay aligned to whole ids.
@@ -57,30 +62,91 @@ class Order:
         return ID_BYTES * self.seq_len + len(RECORD_END)
 
 
+def token_sequences(
+    docs: DataFrame, tokenizer: str, seq_len: int, end_id: int, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Cut the ids of documents, laid end to end, into sequences of ``seq_len``.
+
+    Each document's ids are followed by ``end_id``; only the last sequence of a
+    task may be shorter. ``doc_ids`` lists the documents that a sequence has
+    ids of and ``start`` says how many of the first one's ids came before it.
+    ``body`` holds the ids, compressed: it is written and shuffled once each.
+    """
+    check_columns(docs, [id_col, text_col])
+    schema = T.StructType(
+        [
+            T.StructField("doc_ids", T.ArrayType(docs.schema[id_col].dataType)),
+            T.StructField("start", T.LongType()),
+            T.StructField("length", T.LongType()),
+            T.StructField("ids_crc32", T.LongType()),
+            T.StructField("body", T.BinaryType()),
+        ]
+    )
+    tail = int(end_id).to_bytes(4, "little")
+    full = 4 * seq_len
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3).compress
+        arrow = to_arrow_schema(schema)
+        encode = encoder(tokenizer).encode
+
+        def sequence() -> tuple:
+            raw = bytes(open_ids[:full])
+            body = pack(np.frombuffer(raw, "<u4").astype(f"<u{ID_BYTES}").tobytes())
+            return list(open_docs), start, len(raw) // 4, zlib.crc32(raw), body
+
+        open_ids, open_docs, start = bytearray(), [], 0
+        for batch in batches:
+            rows: list[tuple] = []
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = encode(text.as_py() or "") + tail
+                used = 0
+                while used < len(ids):
+                    if not open_ids:
+                        start = used // 4
+                    open_docs.append(doc)
+                    room = full - len(open_ids)
+                    open_ids += ids[used : used + room]
+                    used += room
+                    if len(open_ids) == full:
+                        rows.append(sequence())
+                        open_ids.clear()
+                        open_docs.clear()
+                if len(rows) >= 1024:
+                    yield to_batch(rows, arrow)
+                    rows = []
+            yield to_batch(rows, arrow)
+        if open_ids:
+            yield to_batch([sequence()], arrow)
+
+    return docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")).mapInArrow(cut, schema)
+
+
 def training_order(
     docs: DataFrame,
     tokenizer: str,
     end_id: int,
     key: int,
     scratch: Scratch,
-    seq_len: int = 256,
-    shard_rows: int = 65_536,
+    seq_len: int = 4096,
+    shard_rows: int = 8_192,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> Order:
     """Tokenise, permute and write all sequences; ``Order.sequences`` lists them.
 
-    A document is cut into sequences of ``seq_len`` ids, the last padded with
-    id 0 to the stride. Indexes follow the sequence table, which is written
-    once; slots are 0 .. n-1 without gaps. Shard ``s`` is the folder
-    ``shard=s`` with one file of ``shard_rows`` records (the last shard may be
-    shorter), in slot order, so a reader resumes at ``(slot % shard_rows) *
-    stride``. Null texts are empty, empty texts are one sequence of ``end_id``,
-    repeated rows are sequences of their own, an empty table writes no shard,
-    and other columns are not read.
+    Sequences are those of :func:`token_sequences`, short ones padded with id
+    0 to the stride. Indexes follow the sequence table, which is written once;
+    slots are 0 .. n-1 without gaps. Shard ``s`` is the folder ``shard=s`` with
+    one file of ``shard_rows`` records (the last shard may be shorter), in slot
+    order, so a reader resumes at ``(slot % shard_rows) * stride``. Null texts
+    are empty, an empty text is one ``end_id``, repeated rows come each, null
+    ids stay, an empty table writes no shard, and other columns are not read.
     """
     spark = docs.sparkSession
-    pieces = token_pieces(docs, tokenizer, seq_len, end_id, id_col, text_col, ID_BYTES)
+    pieces = token_sequences(docs, tokenizer, seq_len, end_id, id_col, text_col)
     saved = scratch.save(pieces.withColumn("__row", row_position()), "sequences")
     size = saved.count()
 
@@ -88,6 +154,13 @@ def training_order(
     def slot_of(index: pd.Series) -> pd.Series:
         return pd.Series(permute(index.to_numpy(np.int64), size, key))
 
+    @F.pandas_udf("binary")
+    def record_of(bodies: pd.Series) -> pd.Series:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        return pd.Series([unpack(b).ljust(ID_BYTES * seq_len, b"\0") for b in bodies], dtype=object)
+
     placed = (
         dense_index(saved, "__row", "index")
         .drop("__row")
@@ -95,12 +168,11 @@ def training_order(
         .withColumn("shard", F.floor(F.col("slot") / shard_rows).cast("int"))
     )
     path = scratch.place("shards")
-    payload = F.rpad("ids", ID_BYTES * seq_len, F.lit(b"\0")).cast("string").alias("value")
     (
-        placed.select("shard", "slot", "ids")
+        placed.select("shard", "slot", "body")
         .repartitionByRange(parts_for(spark), "shard")
         .sortWithinPartitions("shard", "slot")
-        .select("shard", payload)
+        .select("shard", record_of("body").cast("string").alias("value"))
         .write.option("lineSep", RECORD_END)
         .partitionBy("shard")
         .text(path)
@@ -111,11 +183,7 @@ def training_order(
         path,
         seq_len,
         shard_rows,
-        placed.select(
-            *[col(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32", "index", "slot", "shard")],
-            record.alias("record"),
-            (record * stride).alias("byte_offset"),
-        ),
+        placed.drop("body").withColumns({"record": record, "byte_offset": record * stride}),
     )
 
 

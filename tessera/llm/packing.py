@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tessera.llm.common import Scratch, check_columns, col
+from tessera.llm.common import Scratch, check_columns, col, to_batch
 from tessera.llm.tokens import encoder
 
 # Pieces of a group that one task packs. A group leaves one bin or so part
@@ -51,8 +52,6 @@ def token_pieces(
     tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
         arrow = to_arrow_schema(schema)
         encode = encoder(tokenizer).encode
         for batch in batches:
@@ -68,20 +67,13 @@ def token_pieces(
                         size += len(part)
                     rows.append(row)
                 if size > 8 << 20:
-                    yield _batch(rows, arrow)
+                    yield to_batch(rows, arrow)
                     rows, size = [], 0
-            yield _batch(rows, arrow)
+            yield to_batch(rows, arrow)
 
     return docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")).mapInArrow(cut, schema)
 
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[] for _ in schema]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
-    )
-
-
 class OpenBins:
     """Open bins by remaining capacity, under a segment tree that counts them.
 

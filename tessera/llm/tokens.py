@@ -24,7 +24,7 @@ _ODD = re.compile("[\x1c-\x1f]")
 _WORD_END = b"\xff"
 # Below this code point text is in composed form and lower case is letter by letter.
 _PLAIN_BELOW = "̀"
-_CACHED_WORDS = 250_000
+_CACHED_WORDS = 150_000
 _CACHED_LENGTH = 64
 
 
