@@ -269,7 +269,8 @@ def keep_one(docs: DataFrame, scratch: Scratch, shingle_words: int = 3, bound: i
         .agg(F.min(F.struct("text", *[col(c) for c in others])).alias("r"))
         .select("doc_id", "r.*")
     )
-    return docs.join(alone, col("doc_id") == col("__id"), "left_semi").unionByName(
+    # Texts are dealt by id at every size: one plan, whether or not the names would fit a broadcast.
+    return docs.join(alone.hint("merge"), col("doc_id") == col("__id"), "left_semi").unionByName(
         repeats.select(*[col(c) for c in docs.columns])
     )
 
