@@ -16,37 +16,41 @@ from pyspark.sql import functions as F
 from tessera.llm.common import Scratch, check_columns, col
 
 SAMPLES = 32
-# Bits of a sample that tell terms apart; the bits above hold the rank.
+# Bits of a sample that tell terms apart; the 40 bits above hold the rank.
 _TERM_BITS = 22
 _RANK_SCALE = float(1 << 33)
 _RANK_SHIFT = 80.0
-_RANK_MAX = float(1 << 40)
 _UNIT = float(1 << 21)
 WORDS = r"[\x20\x09-\x0D]+"
-# What stands for a document without words: no term, all samples this value.
-EMPTY = -1
+# Hashes of a term are those of its exclusive or with a constant for each sample.
+_SALT = 0x9E3779B97F4A7C15
+# A document without words has this one term.
+NO_WORD = 0
 
 
-def _uniforms(bits: Column) -> list[Column]:
-    """Three numbers in (0, 1) from the 63 low bits of a hash."""
-    mask = (1 << 21) - 1
-    parts = [bits.bitwiseAND(mask), F.shiftright(bits, 21).bitwiseAND(mask), F.shiftright(bits, 42).bitwiseAND(mask)]
-    return [(p + F.lit(0.5)) / F.lit(_UNIT) for p in parts]
+def _salted(term: Column, n: int) -> Column:
+    salt = (n + 1) * _SALT & ((1 << 63) - 1)
+    return F.xxhash64(term.bitwiseXOR(F.lit(salt)))
+
+
+def _uniform(bits: Column, at: int) -> Column:
+    """A number in (0, 1) from 21 bits of a hash."""
+    part = F.shiftright(bits, at) if at else bits
+    return (part.bitwiseAND((1 << 21) - 1) + F.lit(0.5)) / F.lit(_UNIT)
 
 
 def _sample(term: Column, log_weight: Column, number: int) -> Column:
     """A long that orders terms by rank and then names (term, t): its minimum is the sample."""
-    one = F.xxhash64(F.lit(2 * number), term)
-    two = F.xxhash64(F.lit(2 * number + 1), term)
-    u1, u2, b = _uniforms(one)
-    u3, u4, _ = _uniforms(two)
-    r = -F.log(u1 * u2)
+    one, two = _salted(term, 2 * number), _salted(term, 2 * number + 1)
+    r = -F.log(_uniform(one, 0) * _uniform(one, 21))
+    b = _uniform(one, 42)
     t = F.floor(log_weight / r + b)
-    rank = F.log(-F.log(u3 * u4)) - r * (t + F.lit(1.0) - b)
-    # ln c lies between -16 and 4 and r (t + 1 - b) between 0 and ln w + 31: 40 bits hold the rank.
-    level = F.least(F.greatest((rank + F.lit(_RANK_SHIFT)) * F.lit(_RANK_SCALE), F.lit(0.0)), F.lit(_RANK_MAX - 1))
-    name = F.xxhash64(term, t).bitwiseAND((1 << _TERM_BITS) - 1)
-    return F.shiftleft(level.cast("long"), _TERM_BITS).bitwiseOR(name)
+    rank = F.log(-F.log(_uniform(two, 0) * _uniform(two, 21))) - r * (t + F.lit(1.0) - b)
+    # ln c lies between -15 and 4 and r (t + 1 - b) between 0 and ln w + 31, so
+    # the shifted rank is positive and below 84: 40 bits hold it.
+    level = ((rank + F.lit(_RANK_SHIFT)) * F.lit(_RANK_SCALE)).cast("long")
+    name = F.shiftright(two, 42).bitwiseXOR(t).bitwiseAND((1 << _TERM_BITS) - 1)
+    return F.shiftleft(level, _TERM_BITS).bitwiseOR(name)
 
 
 def _let(value: Column, body) -> Column:
@@ -57,7 +61,7 @@ def _let(value: Column, body) -> Column:
 def weighted_terms(text: Column) -> Column:
     """``array<struct<term bigint, weight bigint>>`` of a text's words, from runs of their sorted hashes."""
     words = F.filter(F.split(text, WORDS), lambda w: w != "")
-    hashes = F.array_sort(F.transform(words, lambda w: F.xxhash64(w)))
+    hashes = F.sort_array(F.transform(words, lambda w: F.xxhash64(w)))
 
     def run_starts(h: Column) -> Column:
         index = F.when(F.size(h) > 0, F.sequence(F.lit(0), F.size(h) - 1)).otherwise(F.expr("cast(array() as array<int>)"))
@@ -82,23 +86,23 @@ def signatures(rows: DataFrame, keys: list[str], text_col: str, samples: int = S
     """``keys`` and ``signature array<bigint>``: one row for each distinct ``keys``.
 
     ``keys`` decide the text: rows that agree in them must agree in it, and
-    such repeated rows give one. A null or wordless text has all samples
-    ``EMPTY``. A row is split, counted and exploded where it is read; samples
+    such repeated rows give one. A null or wordless text has the one term
+    ``NO_WORD``. A row is split, counted and exploded where it is read; samples
     are partial minima, so each task sends one row of ``samples`` longs for a
     document.
     """
     check_columns(rows, [*keys, text_col])
     own = [col(k) for k in keys]
-    terms = rows.select(*own, F.explode_outer(weighted_terms(F.coalesce(col(text_col), F.lit("")))).alias("t"))
+    none = F.array(F.struct(F.lit(NO_WORD).cast("long").alias("term"), F.lit(1).cast("long").alias("weight")))
+    found = _let(
+        weighted_terms(F.coalesce(col(text_col), F.lit(""))), lambda t: F.when(F.size(t) > 0, t).otherwise(none)
+    )
+    terms = rows.select(*own, F.explode(found).alias("t"))
     flat = terms.select(*own, F.col("t.term").alias("term"), F.log(F.col("t.weight").cast("double")).alias("lw"))
     least = flat.groupBy(*own).agg(
-        *[
-            F.min(F.when(F.col("term").isNotNull(), _sample(F.col("term"), F.col("lw"), n))).alias(f"s{n}")
-            for n in range(samples)
-        ]
+        *[F.min(_sample(F.col("term"), F.col("lw"), n)).alias(f"s{n}") for n in range(samples)]
     )
-    all_samples = F.array(*[F.coalesce(F.col(f"s{n}"), F.lit(EMPTY).cast("long")) for n in range(samples)])
-    return least.select(*own, all_samples.alias("signature"))
+    return least.select(*own, F.array(*[F.col(f"s{n}") for n in range(samples)]).alias("signature"))
 
 
 def likeness(a: Column, b: Column) -> Column:
