@@ -96,7 +96,7 @@ def _in_order(spans: Column) -> Column:
     keyed = F.transform(
         spans, lambda s: F.struct(s["start"].alias("a"), _rank(s["kind"]).alias("b"), s["end"].alias("c"), s.alias("s"))
     )
-    return F.transform(F.array_sort(keyed), lambda k: k["s"])
+    return F.transform(F.sort_array(keyed), lambda k: k["s"])
 
 
 def joined(spans: Column) -> Column:
