@@ -107,8 +107,8 @@ def _project(units: np.ndarray, plan: Plan, seed: int) -> tuple[np.ndarray, np.n
     return values.astype(np.float32), cells.view(np.int64)
 
 
-def _bodies(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(b, "<f8") for b in column.to_pylist()]
+def _bodies(column: pa.ChunkedArray | pa.Array, stored: str) -> list[np.ndarray]:
+    return [np.frombuffer(b, stored) for b in column.to_pylist()]
 
 
 def usable(vector: Column) -> Column:
@@ -117,8 +117,8 @@ def usable(vector: Column) -> Column:
     return F.coalesce(F.forall(vector, number) & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _cells(classes: DataFrame, plan: Plan, seed: int) -> DataFrame:
-    """One row for each class and group: its cell."""
+def _cells(classes: DataFrame, plan: Plan, seed: int, stored: str) -> DataFrame:
+    """One row for each class and group: its cell, and the vector in the ``stored`` type."""
     schema = T.StructType(
         [
             T.StructField("cell", T.LongType()),
@@ -141,7 +141,7 @@ def _cells(classes: DataFrame, plan: Plan, seed: int) -> DataFrame:
                 for dim in np.unique(dims):
                     which = np.flatnonzero(dims == dim)
                     _, cells = _project(unit_rows(np.stack([vectors[i] for i in which])), plan, seed)
-                    body = [vectors[i].astype("<f8").tobytes() for i in which]
+                    body = [vectors[i].astype(stored).tobytes() for i in which]
                     for g in range(plan.groups):
                         yield pa.RecordBatch.from_arrays(
                             [
@@ -178,7 +178,9 @@ def _unit_pairs(starts: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarr
         yield np.concatenate(i_all), np.concatenate(j_all)
 
 
-def _linked(table: pa.Table, plan: Plan, cosine: float, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _linked(
+    table: pa.Table, plan: Plan, cosine: float, seed: int, stored: str
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of the pairs of whole units that collide often enough and are verified.
 
     A pair that shares cells in several groups is taken in the first of them.
@@ -190,7 +192,7 @@ def _linked(table: pa.Table, plan: Plan, cosine: float, seed: int) -> Iterator[t
     starts = np.append(np.flatnonzero(fresh), table.num_rows)
     number = columns[1]
     # Only rows of one dimension share a unit; a batch may hold several.
-    bodies = _bodies(table["body"])
+    bodies = _bodies(table["body"], stored)
     dims = np.array([len(b) for b in bodies])
     values = np.zeros((len(bodies), plan.directions), np.float32)
     cells = np.zeros((len(bodies), plan.groups), np.int64)
@@ -235,9 +237,12 @@ def near_duplicates(
     columns are not read. A cell of any size is dealt into pairs of blocks.
     """
     check_columns(vectors, [id_col, vector_col])
+    # Single-precision components travel as such; cosines are computed in double.
+    single = isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType)
+    kind, stored = ("array<float>", "<f4") if single else ("array<double>", "<f8")
     rows = vectors.select(
         col(id_col).alias("vec_id"),
-        F.when(usable(col(vector_col)), col(vector_col).cast("array<double>")).alias("vector"),
+        F.when(usable(col(vector_col)), col(vector_col).cast(kind)).alias("vector"),
     ).withColumns({"h1": F.xxhash64("vector"), "h2": F.xxhash64(F.lit(1), "vector")})
     classes = scratch.save(
         rows.filter(F.col("vector").isNotNull())
@@ -257,7 +262,7 @@ def near_duplicates(
             links = np.zeros(table.num_rows, np.int64)
             none = np.array([], np.int64)
             a, b = none, none
-            for i, j in _linked(table, plan, cosine, seed):
+            for i, j in _linked(table, plan, cosine, seed, stored):
                 np.add.at(links, i, copies[j])
                 np.add.at(links, j, copies[i])
                 a, b = forest(np.concatenate([a, node[i]]), np.concatenate([b, node[j]]))
@@ -271,7 +276,7 @@ def near_duplicates(
                 names=schema.names,
             )
 
-    cells = _cells(classes, plan, seed)
+    cells = _cells(classes, plan, seed, stored)
     found = scratch.save(
         block_pairs(cells, "cell", "node", _BLOCK_ROWS)
         .repartition(parts_for(vectors.sparkSession), *units)
