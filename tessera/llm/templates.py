@@ -33,14 +33,14 @@ class Rules:
     """What makes a template and when it goes.
 
     ``depth`` leading tokens lead to a leaf. ``similarity`` is the share of
-    equal positions at which two templates of a leaf are one. Lines of fewer
-    than ``min_tokens`` tokens are kept, as are templates found in fewer than
-    ``min_docs`` documents.
+    equal positions at which two templates of a leaf are one. Templates found
+    in fewer than ``min_docs`` documents are kept, however short or long; lines
+    of fewer than ``min_tokens`` tokens, which are the blank ones, have none.
     """
 
     depth: int = 3
     similarity: float = 0.8
-    min_tokens: int = 5
+    min_tokens: int = 1
     min_docs: int = 2
 
 
@@ -49,6 +49,13 @@ def document_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
+def _leaf(tokens: Column, rules: Rules) -> Column:
+    """Tokens and leading tokens; of a line so short that one other token is too many, all of it."""
+    n = F.size(tokens)
+    own = F.when(n - 1 < n * F.lit(rules.similarity), F.greatest(n, F.lit(rules.depth)))
+    return F.xxhash64(n, F.slice(tokens, F.lit(1), F.coalesce(own, F.lit(rules.depth))))
+
+
 def _lines(docs: DataFrame, rules: Rules) -> DataFrame:
     """One row a line: its document, number, masked tokens, leaf and template."""
     tokens = F.filter(F.split(F.regexp_replace("line", r"\S*\d\S*", FIELD), r"\s+"), lambda t: t != "")
@@ -56,7 +63,7 @@ def _lines(docs: DataFrame, rules: Rules) -> DataFrame:
         docs.select("doc_id", document_key().alias("doc"), F.posexplode(F.split("text", "\n")).alias("number", "line"))
         .withColumn("tokens", tokens)
         .filter(F.size("tokens") >= rules.min_tokens)
-        .withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, rules.depth)))
+        .withColumn("leaf", _leaf(F.col("tokens"), rules))
         .withColumn("template", F.xxhash64("leaf", F.col("tokens")))
         .drop("line")
     )
@@ -85,7 +92,7 @@ def _merged(docs: DataFrame, lines: DataFrame, rules: Rules, scratch: Scratch) -
     hashed = F.transform(tokens, lambda t: F.hash(t))
     bodies = scratch.save(
         own.select(
-            F.xxhash64(F.size(tokens), F.slice(tokens, 1, rules.depth)).alias("leaf"), tokens.alias("tokens"), hashed.alias("body")
+            _leaf(tokens, rules).alias("leaf"), tokens.alias("tokens"), hashed.alias("body")
         )
         .select("leaf", F.xxhash64("leaf", "tokens").alias("template"), "body")
         .dropDuplicates(["leaf", "template"]),

@@ -148,3 +148,13 @@ def test_sample_bounds_hold(ready):
     docs, table = make_docs(ready, rows), ready.createDataFrame(labels, "doc_id long, quality int, toxic int")
     small = quality.fit(docs, table, quality.Sample(10, 20, 4_000, 2_048))
     assert len(small.good) <= 2_048 and len(small.bad) <= 2_048
+
+
+def test_short_lines_recur_like_long_ones(ready, work):
+    rows = [(i, f"All rights reserved.\n\nOnly of {'abcdef'[i]} here\nEnd", "s") for i in range(6)]
+    out = templates.drop_recurring_lines(make_docs(ready, rows + [(6, "End\nfree text", "s")]), work)
+    got = {r.doc_id: (r.text, r.n_dropped) for r in out.collect()}
+    assert got[0] == (rows[0][1], 0)
+    # Blank lines and lines of one document stay.
+    assert all(got[i] == (f"\nOnly of {'abcdef'[i]} here", 2) for i in range(1, 6))
+    assert got[6] == ("free text", 1)
