@@ -4,7 +4,9 @@ A line's path in the tree is its number of tokens and its leading tokens; a
 token with a digit is a variable field and stands as ``<*>``. The rest of the
 line, masked alike, is its template in that leaf. Templates of one leaf that
 agree in a given share of positions are one template: the other positions are
-variable fields too. Classes do not depend on the order of lines, so they are
+variable fields too. Fields say nothing about a passage, so two of them never
+count as agreement, and a line with too few other tokens (a row of a table of
+numbers) is taken literally: it recurs only where all of it does. Classes do not depend on the order of lines, so they are
 the same however the data are dealt out.
 """
 
@@ -26,20 +28,26 @@ from tessera.llm.simhash import forest
 
 FIELD = "<*>"
 _BLOCK_ROWS = 2_048
+# Stands in a template's body for the hash of a field.
+_FIELD_HASH = 0
 
 
 @dataclass(frozen=True)
 class Rules:
     """What makes a template and when it goes.
 
-    ``depth`` leading tokens lead to a leaf. ``similarity`` is the share of
-    equal positions at which two templates of a leaf are one. Templates found
+    ``depth`` leading tokens lead to a leaf. ``constant`` is the least share of
+    tokens without digits in a line whose digits are variable fields; any other
+    line stands for itself alone. ``similarity`` is the share of equal positions
+    at which two templates of a leaf are one, among those that are not a field
+    in both. Templates found
     in fewer than ``min_docs`` documents are kept, however short or long; lines
     of fewer than ``min_tokens`` tokens, which are the blank ones, have none.
     """
 
     depth: int = 3
     similarity: float = 0.8
+    constant: float = 0.5
     min_tokens: int = 1
     min_docs: int = 2
 
@@ -49,23 +57,53 @@ def document_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def _leaf(tokens: Column, rules: Rules) -> Column:
-    """Tokens and leading tokens; of a line so short that one other token is too many, all of it."""
-    n = F.size(tokens)
-    own = F.when(n - 1 < n * F.lit(rules.similarity), F.greatest(n, F.lit(rules.depth)))
-    return F.xxhash64(n, F.slice(tokens, F.lit(1), F.coalesce(own, F.lit(rules.depth))))
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _path(line: Column, rules: Rules, with_body: bool = False) -> Column:
+    """``struct<leaf, template>`` of a line, and the body's token hashes if asked for; null if it has none.
+
+    Tokens with digits are fields if enough others are left. A leaf is tokens
+    and leading tokens; of a line that merges with no other, all of it. Those
+    are literal lines, and lines so short that one other token is too many.
+    """
+    digit = r"[0-9]"
+
+    def masked(t: Column) -> Column:
+        return F.when(line.rlike(digit), F.transform(t, lambda x: F.when(x.rlike(digit), F.lit(FIELD)).otherwise(x))).otherwise(t)
+
+    def placed(t: Column, m: Column) -> Column:
+        n = F.size(m)
+        literal = F.size(F.filter(m, lambda x: x == FIELD)) > n * F.lit(1 - rules.constant)
+        alone = literal | (n - 1 < n * F.lit(rules.similarity))
+        depth = F.when(alone, F.greatest(n, F.lit(rules.depth))).otherwise(F.lit(rules.depth))
+        return _let(
+            F.when(literal, t).otherwise(m),
+            lambda k: _let(F.xxhash64(n, F.slice(k, F.lit(1), depth)), lambda leaf: F.struct(*named(k, leaf))),
+        )
+
+    def named(k: Column, leaf: Column) -> list[Column]:
+        body = F.transform(k, lambda x: F.when(x == FIELD, F.lit(_FIELD_HASH)).otherwise(F.hash(x)))
+        return [leaf.alias("leaf"), F.xxhash64(leaf, k).alias("template"), *([body.alias("body")] if with_body else [])]
+
+    tokens = F.filter(F.split(line, r"\s+"), lambda x: x != "")
+    enough = line.rlike(rf"\S(?:\S*\s+\S){{{max(rules.min_tokens, 1) - 1}}}")
+    return F.when(enough, _let(tokens, lambda t: _let(masked(t), lambda m: placed(t, m))))
 
 
 def _lines(docs: DataFrame, rules: Rules) -> DataFrame:
-    """One row a line: its document, number, masked tokens, leaf and template."""
-    tokens = F.filter(F.split(F.regexp_replace("line", r"\S*\d\S*", FIELD), r"\s+"), lambda t: t != "")
+    """One row a line: its document, number, leaf and template.
+
+    Paths are made below the explode: a projection above it would be copied
+    into each of its uses.
+    """
+    paths = F.transform(F.split("text", "\n"), lambda line: _path(line, rules))
     return (
-        docs.select("doc_id", document_key().alias("doc"), F.posexplode(F.split("text", "\n")).alias("number", "line"))
-        .withColumn("tokens", tokens)
-        .filter(F.size("tokens") >= rules.min_tokens)
-        .withColumn("leaf", _leaf(F.col("tokens"), rules))
-        .withColumn("template", F.xxhash64("leaf", F.col("tokens")))
-        .drop("line")
+        docs.select("doc_id", document_key().alias("doc"), F.posexplode(paths).alias("number", "path"))
+        .filter("path is not null")
+        .select("doc_id", "doc", "number", "path.leaf", "path.template")
     )
 
 
@@ -88,13 +126,9 @@ def _merged(docs: DataFrame, lines: DataFrame, rules: Rules, scratch: Scratch) -
         )
         .select("__key", "number", F.col("__lines")[F.col("number")].alias("line"))
     )
-    tokens = F.filter(F.split(F.regexp_replace("line", r"\S*\d\S*", FIELD), r"\s+"), lambda t: t != "")
-    hashed = F.transform(tokens, lambda t: F.hash(t))
     bodies = scratch.save(
-        own.select(
-            _leaf(tokens, rules).alias("leaf"), tokens.alias("tokens"), hashed.alias("body")
-        )
-        .select("leaf", F.xxhash64("leaf", "tokens").alias("template"), "body")
+        own.select(F.explode(F.array(_path(F.col("line"), rules, with_body=True))).alias("path"))
+        .select("path.leaf", "path.template", "path.body")
         .dropDuplicates(["leaf", "template"]),
         "bodies",
     )
@@ -115,7 +149,7 @@ def _merged(docs: DataFrame, lines: DataFrame, rules: Rules, scratch: Scratch) -
 
 
 def _similar(table: pa.Table, units: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of templates of one unit with enough equal positions."""
+    """Pairs of templates of one unit with enough equal positions; fields equal nothing."""
     names, side = table["template"].to_numpy(), table["__side"].to_numpy()
     body = table["body"].combine_chunks()
     flat, offsets = body.values.to_numpy(), body.offsets.to_numpy()
@@ -130,13 +164,15 @@ def _similar(table: pa.Table, units: list[str], similarity: float) -> tuple[np.n
             continue
         width = offsets[lo + 1] - offsets[lo]
         rows = flat[offsets[lo] : offsets[hi]].reshape(hi - lo, width)
+        field = rows == _FIELD_HASH
         across = side[lo:hi].any()
         for i in range(hi - lo):
             if across and side[lo + i]:
                 continue
             others = np.flatnonzero(side[lo:hi] == 1) if across else np.arange(i + 1, hi - lo)
-            same = (rows[others] == rows[i]).sum(axis=1)
-            hit = others[same >= similarity * width]
+            both = field[others][:, field[i]].sum(axis=1) if field[i].any() else 0
+            same = (rows[others] == rows[i]).sum(axis=1) - both
+            hit = others[same >= similarity * (width - both)]
             a_all.append(np.full(len(hit), names[lo + i]))
             b_all.append(names[lo + hit])
     return np.concatenate(a_all), np.concatenate(b_all)
@@ -150,7 +186,7 @@ def recurring_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rules()) -
     without such lines have no row.
     """
     check_columns(docs, ["doc_id", "text"])
-    lines = scratch.save(_lines(docs, rules).drop("tokens"), "lines")
+    lines = scratch.save(_lines(docs, rules), "lines")
     merged = scratch.save(_merged(docs, lines, rules, scratch), "merged").select(
         F.col("node").alias("__node"), F.col("root").alias("__root")
     )

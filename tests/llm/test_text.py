@@ -158,3 +158,25 @@ def test_short_lines_recur_like_long_ones(ready, work):
     # Blank lines and lines of one document stay.
     assert all(got[i] == (f"\nOnly of {'abcdef'[i]} here", 2) for i in range(1, 6))
     assert got[6] == ("free text", 1)
+
+
+@pytest.mark.parametrize("block", [2, 2_048])
+def test_rows_of_numbers_are_no_passage(ready, work, monkeypatch, block):
+    monkeypatch.setattr(templates, "_BLOCK_ROWS", block)
+    rows = [
+        (0, "2019 12.5 13.1 14.0 15.2\n1 2 3 4 5 6 7 8 9 10\nRain 3 4 5 6 7\n1 2 3\nPage 3 of 10", "s"),
+        (1, "2020 11.5 10.1 19.0 12.2\n1 2 3 4 5 6 7 8 9 11\nRain 8 4 5 6 7\n4 5 6\nPage 4 of 10", "s"),
+        # A row that stands in both goes from one; fields alone are no agreement.
+        (2, "1 2 3 4 5 6 7 8 9 10\n1 a1 2 b2 north south east west", "s"),
+        (3, "2 a2 3 b3 north south left right\n2 a2 3 b3 up down left right", "s"),
+    ]
+    out = templates.drop_recurring_lines(make_docs(ready, rows), work)
+    got = {r.doc_id: (r.text, r.n_dropped) for r in out.collect()}
+    assert got[0] == (rows[0][1], 0)
+    assert got[1] == (rows[1][1].removesuffix("\nPage 4 of 10"), 1)
+    assert got[2] == ("1 a1 2 b2 north south east west", 1)
+    assert got[3] == (rows[3][1], 0)
+    # Equal but for one constant of ten, fields aside: one template.
+    like = [(i, f"At {i} o'clock the {w} went out to see that they were well", "s") for i, w in enumerate(["dog", "cat"])]
+    out = templates.drop_recurring_lines(make_docs(ready, like), work)
+    assert sorted(r.n_dropped for r in out.collect()) == [0, 1]
