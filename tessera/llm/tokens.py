@@ -16,8 +16,13 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 # The white space of Unicode (Python's str.split() also takes 0x1C to 0x1F).
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 _ODD = re.compile("[\x1c-\x1f]")
@@ -28,13 +33,23 @@ _CACHED_WORDS = 150_000
 _CACHED_LENGTH = 64
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """Byte-level BPE's printable letter for every byte: itself, else the next from U+0100."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in own]
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def text_slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of at most ``limit`` bytes; a longer text is a run by itself."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + limit, "right")))
+        yield at, to
+        at = to
+
+
 class WordEncoder:
     def __init__(self, path: str):
         import regex
@@ -48,7 +63,7 @@ class WordEncoder:
         special = {t["id"] for t in spec["added_tokens"]}
         self._specials = [t["content"] for t in spec["added_tokens"]]
         end = spec["model"]["end_of_word_suffix"]
-        letters = _byte_letters()
+        letters = byte_letters()
         ranks: dict[bytes, int] = {}
         for token, i in spec["model"]["vocab"].items():
             if i not in special:
