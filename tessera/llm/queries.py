@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import collisions, mixing, order, packing, quality, secrets, sharding, simhash, templates, weighted
+from tessera.llm import alignment, collisions, collocations, language, mixing, order, packing, quality, secrets, sharding, simhash, templates, weighted
 from tessera.llm.common import Scratch, parts_for, ship_package
 
 END_ID = 1
@@ -19,12 +19,15 @@ SHARDS = 16
 COSINE = 0.95
 SIMHASH_SHINGLE = 3
 SIMHASH_BITS = 2
+PHRASE_COUNT = 100
+PHRASES = 2000
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def registered(query: Callable[[SparkSession, str], DataFrame]):
@@ -146,6 +149,33 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [tokenizer_path(name) for name in ALIGNED]
+    aligned = alignment.align(table(spark, sf_dir, "documents"), *paths, Scratch(spark, "alignment"))
+    counts = alignment.document_counts(aligned, alignment.pair_counts(aligned, alignment.Aligner(*paths).size_b))
+    digests = aligned.select(
+        "doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256)).alias("groups_sha256"),
+        "block",
+        "place",
+    )
+    return digests.join(counts, ["block", "place"]).drop("block", "place")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return collocations.collocations(docs, Scratch(spark, "collocations"), PHRASE_COUNT, PHRASES)
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: registered(query)
     for query in (
@@ -159,7 +189,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash_near_dedup,
         op9_weighted_sampling,
         op10_secret_scan,
+        op11_token_alignment,
+        op12_collocations,
+        op13_language_id,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_source_mixing": mixing.mix_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op7_source_mixing": mixing.mix_sql(),
+    "op12_collocations": collocations.collocations_sql(PHRASE_COUNT, PHRASES),
+}
