@@ -35,12 +35,20 @@ MONTHS = (
 # Fixed value: two-digit years up to this one are 20xx, later ones 19xx.
 TWO_DIGIT_YEAR_CUTOFF = 68
 
-# Month, day, year with any separator or, at full width, none.
-_NUMBERS = r"^(\d{1,2})[^A-Za-z0-9]+(\d{1,2})[^A-Za-z0-9]+(\d{4}|\d{2})$"
-_RUN = r"^(\d{2})(\d{2})(\d{4}|\d{2})$"
-_NAMED = r"^([A-Za-z]{3,9})[^A-Za-z0-9]*(\d{1,2})[^A-Za-z0-9]+(\d{4}|\d{2})$"
-# Year, month, day, alone or before a time.
-_ISO = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})([T ].*)?$"
+_NAMES = "|".join(m if len(m) == 3 else f"{m[:3]}(?:{m[3:]})?" for m in MONTHS)
+# One pattern takes a text of any form apart; no text matches two forms. Each
+# form has three groups, and those of the other forms are empty.
+_FORMS = (
+    # Month, day, year with any separator or, at full width, none.
+    r"(\d{1,2})[^A-Za-z0-9]+(\d{1,2})[^A-Za-z0-9]+(\d{4}|\d{2})",
+    r"(\d{2})(\d{2})(\d{4}|\d{2})",
+    rf"((?i:{_NAMES}))[^A-Za-z0-9]*(\d{{1,2}})[^A-Za-z0-9]+(\d{{4}}|\d{{2}})",
+    # Year, month, day, alone or before a time.
+    r"(\d{4})[-/](\d{1,2})[-/](\d{1,2})(?:[T\s][\s\S]*)?",
+)
+_ANY_FORM = r"^\s*(?:" + "|".join(_FORMS) + r")\s*$"
+# A line break, which no text keeps, marks what a form has made.
+_YEAR_MONTH_DAY = "\n$3$6$9$10-$1$4$7$11-$2$5$8$12"
 
 # Network sensitivity, most restrictive first.
 SENSITIVITY_PRIORITY = ("Confidential", "Restricted", "Unrestricted")
@@ -51,32 +59,19 @@ def parse_mixed_date(text: Column, cutoff: int = TWO_DIGIT_YEAR_CUTOFF) -> Colum
 
     Month first: numbers with any separator or none, or a month name; years of
     two digits get their century from ``cutoff``. Then ISO dates, with a time
-    or without. White space around the text does not count. Each form is one
-    pattern that takes the text apart; its parts are put together as an ISO
-    date, and a date that does not exist is NULL.
+    or without. White space around the text does not count. One pattern turns a
+    text of any form into year, month and day, month names and two-digit years
+    are completed in the text, and it is cast once; a date that does not exist
+    is NULL. All steps are generated code.
     """
-    t = F.trim(F.regexp_replace(text, r"\s+", " "))
-    name = F.lower(F.regexp_extract(t, _NAMED, 1))
-    month = F.lit(None).cast("int")
-    for i, full in enumerate(MONTHS, start=1):
-        month = F.when(name.isin(full, full[:3]), i).otherwise(month)
-
-    def dated(pattern: str, year: int, month_part: int | Column, day: int) -> Column:
-        part = lambda k: F.regexp_extract(t, pattern, k)
-        y = part(year).try_cast("int")
-        y = F.when(F.length(part(year)) == 4, y).when(y <= cutoff, y + 2000).otherwise(y + 1900)
-        m = part(month_part).try_cast("int") if isinstance(month_part, int) else month_part
-        return F.when(t.rlike(pattern), _date(y, m, part(day).try_cast("int")))
-
-    return F.coalesce(
-        dated(_NUMBERS, 3, 1, 2), dated(_RUN, 3, 1, 2), dated(_NAMED, 3, month, 2), dated(_ISO, 1, 2, 3)
-    )
-
-
-def _date(year: Column, month: Column, day: Column) -> Column:
-    """The date, or NULL where there is none; no exception is raised on the way."""
-    last = F.dayofmonth(F.last_day(F.make_date(year, F.when(month.between(1, 12), month), F.lit(1))))
-    return F.make_date(year, F.when(month.between(1, 12), month), F.when(day.between(1, last), day))
+    parts = F.regexp_replace(F.translate(text, "\n", " "), _ANY_FORM, _YEAR_MONTH_DAY)
+    short = F.lower(F.regexp_extract(parts, "^\n\\d+-([A-Za-z]{3})", 1))
+    number = F.floor((F.instr(F.lit("".join(m[:3] for m in MONTHS)), short) + 2) / 3)
+    parts = F.regexp_replace(parts, F.lit("^(\n\\d+-)[A-Za-z]+"), F.concat(F.lit("$1"), number.cast("string")))
+    tens, ones = divmod(cutoff, 10)
+    parts = F.regexp_replace(parts, rf"^\n((?!{tens}[^0-{ones}])[0-{tens}]\d)-", "\n20$1-")
+    parts = F.regexp_replace(parts, r"^\n(\d{2})-", "\n19$1-")
+    return F.regexp_extract(parts, r"^\n(\d{4}-\d{1,2}-\d{1,2})$", 1).try_cast("date")
 
 
 def explode_json_list(

@@ -92,3 +92,12 @@ def test_goal_coverage_computes_statuses_once(spark):
     assert anti
     for n in anti:
         assert "lineitem" not in n.toString()
+
+
+def test_mixed_dates_are_generated_code(spark):
+    """Both columns in one generated stage that compiles; nothing falls back to interpretation."""
+    with settings(spark, {"spark.sql.codegen.fallback": "false"}):
+        plan = _executed_plan(spark, "mixed_dates")
+    projects = [l for l in plan.splitlines() if "Project" in l]
+    assert projects and all("*(" in l for l in projects), plan
+    assert "lambda" not in plan

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -267,3 +269,18 @@ def test_mixed_dates_two_digit_years_and_forms(spark):
     df = spark.createDataFrame([(t,) for t, _ in cases], "t string")
     got = [r[0] for r in df.select(parse_mixed_date(F.col("t"))).collect()]
     assert got == [want for _, want in cases]
+
+
+def test_mixed_date_cutoff_and_texts_of_no_form(spark):
+    from tessera.operators.clean import MONTHS, parse_mixed_date
+
+    years = spark.createDataFrame([(f"1/2/{y:02d}", y) for y in range(100)], "t string, y int")
+    for cutoff in (0, 9, 10, 68, 99):
+        got = years.select("y", parse_mixed_date(F.col("t"), cutoff).alias("d")).collect()
+        assert all(r["d"].year == r["y"] + (2000 if r["y"] <= cutoff else 1900) for r in got)
+    named = [(f"{form} 5, 2011", i) for i, m in enumerate(MONTHS, 1) for form in (m, m[:3], m.upper(), m[:3].title())]
+    got = spark.createDataFrame(named, "t string, m int").select("m", parse_mixed_date(F.col("t")).alias("d")).collect()
+    assert all(r["d"] == dt.date(2011, r["m"], 5) for r in got)
+    none = ["2020", "2020-01", "68-1-5", "\n68-1-5", "2020\n1\n5", "janu 5 2011", "Ja 5 2011", "2/30/2020", "", None]
+    rows = spark.createDataFrame([(x,) for x in none], "t string").select(parse_mixed_date(F.col("t")).alias("d")).collect()
+    assert [r["d"] for r in rows] == [None] * len(none)
