@@ -1,7 +1,7 @@
 """Run the daily job: ``python -m tessera --input ... --output ...``.
 
 Inputs and outputs are ``parquet:<dir>`` (tables as ``<dir>/<name>.parquet``
-in, ``<dir>/<name>`` out) or ``jdbc:<url>``. JDBC credentials come from
+in; out, ``<dir>/_current.json`` names each table's folder) or ``jdbc:<url>``. JDBC credentials come from
 ``--jdbc-option user=...`` or the environment variables
 ``TESSERA_JDBC_USER`` / ``TESSERA_JDBC_PASSWORD``. A large table can be read
 in parallel ranges with ``--jdbc-partition table:column:lower:upper:parts``; the
@@ -55,6 +55,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--profile", choices=["local", "cluster"], default="cluster")
     p.add_argument("--checkpoint-dir", default=None, help="shared directory, where spark.checkpoint.dir is unset")
     p.add_argument("--input-gb", type=float, default=None, help="size of a JDBC input, to size shuffles from")
+    p.add_argument(
+        "--null-product-limit", type=int, default=None, help="stop where NULL keys of a goal join multiply beyond this"
+    )
     args = p.parse_args(argv)
 
     spark = build_session(
@@ -81,8 +84,13 @@ def main(argv: list[str] | None = None) -> int:
     else:
         p.error(f"unknown output kind {kind!r}")
 
-    written = run_job(spark, source, sink, flow=args.flow)
-    print(" ".join(written.values()))
+    report = run_job(spark, source, sink, flow=args.flow, null_product_limit=args.null_product_limit)
+    where = sink.path if isinstance(sink, ParquetSink) else str
+    print(" ".join(where(name) for name in report.outputs.values()))
+    for name, rows in sorted(report.inputs.items()):
+        print(f"read {name}: {rows} rows")
+    for name, keys in report.null_keys.items():
+        print(f"{name}: {keys.left} x {keys.right} NULL keys, {keys.rows} rows out")
     return 0
 
 

@@ -136,13 +136,17 @@ def engagement_org_rep(tables: Tables) -> DataFrame:
     return x.drop("first_name", "last_name")
 
 
-def engagement_dimension(tables: Tables) -> DataFrame:
-    """The 22-column engagement dimension with goal eligibility and labels."""
-    return memo(tables, "engagement_dimension", lambda: _engagement_dimension(tables))
+def engagement_dimension(tables: Tables, engagements: DataFrame | None = None) -> DataFrame:
+    """The 22-column engagement dimension with goal eligibility and labels.
+
+    ``engagements`` may be :func:`engagement_org_rep` where that was written before.
+    """
+    if engagements is not None:
+        return _engagement_dimension(tables, engagements)
+    return memo(tables, "engagement_dimension", lambda: _engagement_dimension(tables, engagement_org_rep(tables)))
 
 
-def _engagement_dimension(tables: Tables) -> DataFrame:
-    x = engagement_org_rep(tables)
+def _engagement_dimension(tables: Tables, x: DataFrame) -> DataFrame:
     goals = tables["pb_language_data"]
     year_type = goals.schema["latestpublicationyear"].dataType
     goals = goals.select(

@@ -7,6 +7,7 @@ of one scale factor.
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Mapping
 
@@ -46,7 +47,9 @@ def _written(name: str, build: Callable[[Tables], DataFrame]) -> Callable[[Table
     def query(t: Tables) -> DataFrame:
         df = build(t)
         spark = df.sparkSession
-        ensure_checkpoint_dir(spark, tempfile.gettempdir() + "/tessera-checkpoints")
+        if not ensure_checkpoint_dir(spark) and re.match(r"local(\[|$)", spark.sparkContext.master):
+            # One process and no shared folder named; on a cluster that is an error below.
+            ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="tessera-checkpoints-"))
         sink = ParquetSink(Staging(spark, "written").root)
         sink.save(df, name)
         return spark.read.parquet(sink.path(name))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.oracle import ORACLE_SQL
 from tessera.plans import legacy, live
-from tessera.plans.job import Staging, run_job
+from tessera.plans.job import LIVE_INPUTS, NullKeyProduct, Staging, run_job
 from tessera.plans.queries import QUERIES
 from tessera.sources.fixtures import FIXTURES, FixtureTables
 from tessera.sources.readers import FrameSource
@@ -199,3 +199,124 @@ def test_engagement_statuses_match_survey_at_sf001(spark):
         "Paused": 3,
         "Inactive": 2,
     }
+
+
+def _random_status(batches):
+    """Another status at every read, as a live database might have."""
+    import random
+
+    import pyarrow as pa
+
+    for batch in batches:
+        k = batch.schema.get_field_index("product_status")
+        drawn = [random.choice(["Completed", "In Progress", "Planned", "Paused", None]) for _ in range(batch.num_rows)]
+        yield batch.set_column(k, batch.schema.field(k), pa.array(drawn, pa.string()))
+
+
+class ChangingSource(FrameSource):
+    """Products change at every read; loads and rows read are counted."""
+
+    def __init__(self, spark, frames):
+        self.loads, self.rows = [], spark.sparkContext.accumulator(0)
+        rows = self.rows
+
+        def count(batches):
+            for batch in _random_status(batches):
+                rows.add(batch.num_rows)
+                yield batch
+
+        products = frames["uw_translation_products"]
+        super().__init__(dict(frames, uw_translation_products=products.mapInArrow(count, products.schema)))
+
+    def load(self, name):
+        self.loads.append(name)
+        return super().load(name)
+
+
+@pytest.mark.parametrize("flow", ["live", "legacy"])
+def test_each_input_is_read_once_and_outputs_agree(spark, small_tables, scratch, flow):
+    frames = {n: small_tables[n] for n in FIXTURES}
+    source = ChangingSource(spark, frames)
+    sink = ParquetSink(os.path.join(scratch, "out"))
+    report = run_job(spark, source, sink, flow=flow)
+    assert sorted(source.loads) == sorted(LIVE_INPUTS)
+    n = frames["uw_translation_products"].count()
+    assert source.rows.value == n and report.inputs["uw_translation_products"] == n
+    assert report.inputs == {name: frames[name].count() for name in LIVE_INPUTS}
+    written = {name: spark.read.parquet(sink.path(name)) for name in OUTPUT_TABLES}
+    projects, master = written["master_uw_translation_projects"], written["master_uw_language_engagements"]
+    dim = master.drop("project_status")
+    if flow == "live":
+        again = live.engagement_master(dim, live.engagement_status(projects))
+        goals = live.goal_coverage(frames["pb_language_data"], master)
+    else:
+        again = legacy.legacy_engagement_master(dim, legacy.legacy_engagement_status(projects))
+        goals = legacy.legacy_goal_coverage(frames["pb_language_data"], live.engagement_org_rep(frames))
+    assert _multiset(again.select(*master.columns)) == _multiset(master)
+    assert _multiset(goals) == _multiset(written["pb_language_engagements"].select(*goals.columns))
+
+
+@pytest.mark.parametrize("flow", ["live", "legacy"])
+def test_rollup_reads_no_products(spark, small_tables, scratch, monkeypatch, flow):
+    """Under the engagement output: two columns of the project output, no product table."""
+    plans = {}
+    write = ParquetSink.write
+
+    def kept(self, df, name, folder):
+        write(self, df, name, folder)
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(ParquetSink, "write", kept)
+    run_job(spark, FrameSource({n: small_tables[n] for n in FIXTURES}), ParquetSink(os.path.join(scratch, "o")), flow=flow)
+    scans = [x for x in plans["master_uw_language_engagements"].splitlines() if "FileScan" in x]
+    key = "language_engagement_id:bigint" if flow == "live" else "subtag_new:string"
+    written = [x for x in scans if "_versions/" in x]
+    assert len(scans) == 2 and len(written) == 1, scans
+    assert f"ReadSchema: struct<{key},project_status:string>" in written[0]
+
+
+class BreakingSink(ParquetSink):
+    def write(self, df, name, folder):
+        if name == "master_uw_language_engagements":
+            raise RuntimeError("disk full")
+        super().write(df, name, folder)
+
+
+def test_a_failure_between_two_outputs_leaves_the_old_three(spark, small_tables, scratch):
+    root = os.path.join(scratch, "out")
+    good = {n: small_tables[n] for n in FIXTURES}
+    run_job(spark, FrameSource(good), ParquetSink(root))
+    sink = ParquetSink(root)
+    before, current = {n: _multiset(spark.read.parquet(sink.path(n))) for n in OUTPUT_TABLES}, sink.current()
+    fewer = dict(good, uw_translation_products=good["uw_translation_products"].limit(7))
+    with pytest.raises(RuntimeError, match="disk full"):
+        run_job(spark, FrameSource(fewer), BreakingSink(root))
+    assert sink.current() == current
+    assert {n: _multiset(spark.read.parquet(sink.path(n))) for n in OUTPUT_TABLES} == before
+    assert len(os.listdir(os.path.join(root, "_versions"))) == 1  # what was written is gone
+
+
+def test_null_keys_are_reported_and_bounded(spark, small_tables, scratch):
+    frames = {n: small_tables[n] for n in FIXTURES}
+    nulls = F.lit(None).cast("string")
+    goals = frames["pb_language_data"]
+    frames["pb_language_data"] = goals.unionByName(goals.limit(3).withColumn("languagecode", nulls))
+    codes = frames["ietf_languages_codes"]
+    frames["ietf_languages_codes"] = codes.withColumn("iso_639_2", F.when(F.col("ietf_id") % 7 > 0, F.col("iso_639_2")))
+    null_goals = frames["pb_language_data"].filter("languagecode is null").count()
+    null_engagements = live.engagement_org_rep(frames).filter("iso_639_2 is null").count()
+    dim = live.engagement_dimension(frames)
+    null_dim = dim.filter("iso_639_2 is null").count()
+    assert null_dim == null_goals * null_engagements > 3
+    root = os.path.join(scratch, "out")
+    report = run_job(spark, FrameSource(frames), ParquetSink(root))
+    first, second = report.null_keys["goal attributes"], report.null_keys["goal coverage"]
+    assert (first.left, first.right, first.rows) == (null_engagements, null_goals, dim.count())
+    written = spark.read.parquet(ParquetSink(root).path("pb_language_engagements")).count()
+    assert (second.left, second.right, second.rows) == (null_goals, null_dim, written)
+    current = ParquetSink(root).current()
+    for bound in (first.product - 1, second.product - 1):
+        with pytest.raises(NullKeyProduct, match="NULL keys"):
+            run_job(spark, FrameSource(frames), ParquetSink(root), null_product_limit=bound)
+    assert ParquetSink(root).current() == current
+    run_job(spark, FrameSource(frames), ParquetSink(root), null_product_limit=second.product)

@@ -10,7 +10,7 @@ import pytest
 from tessera.__main__ import _jdbc_options, _partitions, main
 from tessera.sources.fixtures import FIXTURES
 from tessera.sources.readers import JdbcSource, ParquetSource
-from tessera.sources.sinks import ParquetSink
+from tessera.sources.sinks import JdbcSink, ParquetSink
 from tessera.session import ensure_checkpoint_dir
 from tests.conftest import settings
 
@@ -53,7 +53,7 @@ def test_cli_runs_the_job_on_parquet(spark, small_tables, scratch):
     out = os.path.join(scratch, "out")
     assert main(["--input", f"parquet:{landed}", "--output", f"parquet:{out}", "--profile", "local"]) == 0
     sink = ParquetSink(out)
-    counts = {n: pq.read_table(sink.path(n)).num_rows for n in os.listdir(out)}
+    counts = {n: pq.read_table(sink.path(n)).num_rows for n in sink.current()}
     assert counts == {
         "master_uw_translation_projects": 5405,
         "master_uw_language_engagements": 111,
@@ -80,3 +80,43 @@ def test_cluster_profile_sizes_from_its_input(spark):
         assert size_shuffles(spark, stored_bytes(spark, "/root/testdata/sf0.001")) < 100
         assert size_shuffles(spark, 100 << 40) == MOST_REDUCERS
         assert spark.conf.get(name) == str(MOST_REDUCERS)
+
+
+def test_parquet_versions_replace_together(spark, scratch):
+    sink = ParquetSink(os.path.join(scratch, "out"), partition_by={"b": ("k",)})
+    rows = lambda n: spark.range(n).selectExpr("id % 2 as k", "id as v")
+    sink.save(rows(4), "a")
+    sink.save(rows(6), "b")
+    assert spark.read.parquet(sink.path("a")).count() == 4
+    first = dict(sink.current())
+    both = sink.replacement(None)
+    back = both.save(rows(10), "a"), both.save(rows(12), "b")
+    assert [x.count() for x in back] == [10, 12] and back[1].columns == ["k", "v"]
+    assert dict(back[1].dtypes) == {"k": "bigint", "v": "bigint"}
+    assert sink.current() == first  # not yet
+    both.commit()
+    assert [spark.read.parquet(sink.path(n)).count() for n in "ab"] == [10, 12]
+    # the version before is still there, an older one is not
+    assert spark.read.parquet(os.path.join(scratch, "out", first["a"])).count() == 4
+    sink.save(rows(1), "a")
+    assert not os.path.exists(os.path.join(scratch, "out", first["a"]))
+    assert spark.read.parquet(sink.path("b")).count() == 12
+    left = sink.replacement(None)
+    left.save(rows(3), "a")
+    left.abort()
+    assert not os.path.exists(os.path.join(scratch, "out", left.version))
+    both.abort()  # committed: nothing to remove
+    assert spark.read.parquet(sink.path("b")).count() == 12
+
+
+def test_jdbc_tables_are_renamed_together():
+    names = ["a", "b"]
+    assert JdbcSink("jdbc:mysql://db/x").rename_statements(names, {"a"}) == [
+        "RENAME TABLE a TO a__old, a__next TO a, b__next TO b"
+    ]
+    assert JdbcSink("jdbc:postgresql://db/x").rename_statements(names, {"a", "b"}) == [
+        "ALTER TABLE a RENAME TO a__old",
+        "ALTER TABLE a__next RENAME TO a",
+        "ALTER TABLE b RENAME TO b__old",
+        "ALTER TABLE b__next RENAME TO b",
+    ]
