@@ -55,7 +55,7 @@ def legacy_status_classes(tables: Tables, dimension: DataFrame | None = None) ->
         st.legacy_group_values(),
         st.legacy_rules(),
         keep_flags=True,
-        attach=("subtag_new",),
+        attach="subtag_new",
     )
 
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 import weakref
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import status as st
@@ -255,20 +255,59 @@ def _fan_out(dim: DataFrame, by: Sequence[str]) -> DataFrame:
     return dim.groupBy(*[col(k).alias(k) for k in by]).agg(F.count(F.lit(1)).alias("__fan_out"))
 
 
+def _packed(values: Mapping[str, GroupValue]) -> Column:
+    """A part's size and its yes/no values as one number, the size in the high bits.
+
+    Two branches read a part's values and its keys; as one number is either
+    needed whole or not at all, both branches read the same aggregate, which
+    Spark then runs once.
+    """
+    flags = [n for n in values if n != st.COUNT_COL]
+    packed = col(st.COUNT_COL) * F.lit(1 << len(flags))
+    for k, name in enumerate(flags):
+        packed = packed + col(name).cast("bigint") * F.lit(1 << k)
+    return packed
+
+
+def _unpacked(packed: Column, values: Mapping[str, GroupValue]) -> dict[str, Column]:
+    flags = [n for n in values if n != st.COUNT_COL]
+    out = {n: packed.bitwiseAND(F.lit(1 << k)) != 0 for k, n in enumerate(flags)}
+    return {n: out.get(n, F.shiftright(packed, len(flags))) for n in values}
+
+
+def _display_summary(dim: DataFrame, from_dim: Sequence[str], attach: str | None = None) -> DataFrame:
+    """One row for each engagement and display columns, with how many dimension rows have them.
+
+    The number stands first in the list ``__weight``; after it, a list each, the
+    distinct values of ``attach``. They are one column for the reason given
+    in :func:`_packed`, and lists in a list because a list of values loses NULL.
+    """
+    number = F.array(F.array(F.count(F.lit(1)).cast("string")))
+    keys = [col(k).alias(k) for k in (ENGAGEMENT_KEY, *from_dim)]
+    listed = F.concat(number, F.collect_set(F.array(col(attach).cast("string")))) if attach else number
+    return dim.groupBy(*keys).agg(listed.alias("__weight"))
+
+
 def _across_engagements(
-    parts: DataFrame, dim: DataFrame, own: Sequence[str], from_dim: Sequence[str], values: Mapping[str, GroupValue]
+    parts: DataFrame,
+    summary: DataFrame,
+    own: Sequence[str],
+    from_dim: Sequence[str],
+    values: Mapping[str, GroupValue],
 ) -> DataFrame:
     """Values of groups keyed by dimension columns, on each engagement's parts of them.
 
-    ``parts`` holds one row for each ``own`` keys with the parts' values. A
-    part counts once for each dimension row with the same display columns.
+    ``parts`` holds one row for each ``own`` keys with the parts' values, packed.
+    A part counts once for each dimension row with the same display columns.
     """
-    placed = null_safe_join(parts, _fan_out(dim, [ENGAGEMENT_KEY, *from_dim]), ENGAGEMENT_KEY, "inner")
+    placed = null_safe_join(parts.filter(col("__packed") > 0), summary, ENGAGEMENT_KEY, "inner")
     group = [*from_dim, *own[1:]]
+    of_part = _unpacked(col("__packed"), values)
+    rows = F.get(F.get(col("__weight"), 0), 0).cast("bigint")
     merged = placed.groupBy(*[col(k).alias(k) for k in group]).agg(
-        *[v.merged(col(n), col("__fan_out")).alias(n) for n, v in values.items()]
+        *[v.merged(of_part[n], rows).alias(n) for n, v in values.items()]
     )
-    return null_safe_join(placed.drop("__fan_out", *values), merged, group, "inner")
+    return null_safe_join(placed.drop("__packed"), merged, group, "inner")
 
 
 def status_groups(
@@ -293,7 +332,8 @@ def status_groups(
         counted = dim.withColumn("__fan_out", F.count(F.lit(1)).over(Window.partitionBy(col(ENGAGEMENT_KEY))))
         groups = null_safe_join(parts, counted, ENGAGEMENT_KEY, "inner")
         return groups.withColumn(st.COUNT_COL, col(st.COUNT_COL) * col("__fan_out")).drop("__fan_out"), own
-    groups = _across_engagements(parts, dim, own, from_dim, values)
+    parts = parts.withColumn("__packed", _packed(values)).drop(*values)
+    groups = _across_engagements(parts, _display_summary(dim, from_dim), own, from_dim, values).drop("__weight")
     return null_safe_join(groups, dim, [ENGAGEMENT_KEY, *from_dim], "inner"), own
 
 
@@ -334,15 +374,19 @@ def status_classes(
     values: Mapping[str, GroupValue] | None = None,
     rules: list | None = None,
     keep_flags: bool = False,
-    attach: Sequence[str] = (),
+    attach: str | None = None,
 ) -> DataFrame:
-    """``(engagement, *attach, status)`` for every class of product rows the rules tell apart.
+    """``(engagement or attach, status)`` for every class of product rows the rules tell apart.
 
     Rules read a product's group, status, package and reference, and whether
     its association stands for a whole text. Products equal in those are one
     class, made by a partial aggregate, and get one status: the same pairs of
     engagement and status as the product rows have, without shuffling those.
-    ``attach`` names dimension columns to carry along.
+
+    Where groups span engagements, ``attach`` may name a text column of the
+    dimension that takes the engagement's place: its values come as lists with
+    the weights of the groups, and the classes of a group as one short list, so
+    neither dimension nor classes are joined again.
     """
     values = dict(values if values is not None else st.live_group_values())
     rules = rules if rules is not None else st.live_rules()
@@ -355,23 +399,33 @@ def status_classes(
     flags = [c for c in BIBLE_FLAGS.values() if c in flagged.columns]
     class_keys = list(dict.fromkeys([*own, *_CLASS_COLUMNS, *flags]))
     classes = flagged.groupBy(*[col(k).alias(k) for k in class_keys]).agg(F.count(F.lit(1)).alias("__rows"))
-    # The classes of one set of product keys are as few as statuses and flags allow.
-    same = Window.partitionBy(*[col(k) for k in own])
-    valued = classes.withColumns({n: v(same, col("__rows")) for n, v in values.items()}).drop("__rows")
-    if from_dim:
-        parts = valued.select(*[col(c) for c in (*own, *values)]).distinct()
-        groups = _across_engagements(parts, dim, own, from_dim, values)
-        valued = null_safe_join(valued.drop(*values), groups, own, "inner")
-        link = [ENGAGEMENT_KEY, *from_dim]
-    else:
+    status = first_match(rules).alias(st.STATUS_COL)
+    if not from_dim:
+        if attach:
+            raise ValueError("attach needs groups that span engagements")
+        # The classes of one set of product keys are as few as statuses and flags allow.
+        same = Window.partitionBy(*[col(k) for k in own])
+        valued = classes.withColumns({n: v(same, col("__rows")) for n, v in values.items()}).drop("__rows")
         valued = null_safe_join(valued, _fan_out(dim, [ENGAGEMENT_KEY]), ENGAGEMENT_KEY, "inner")
-        valued = valued.withColumn(st.COUNT_COL, col(st.COUNT_COL) * col("__fan_out")).drop("__fan_out")
-        link = [ENGAGEMENT_KEY]
-    rows = valued.select(*[col(c) for c in link], first_match(rules).alias(st.STATUS_COL))
-    more = [c for c in attach if c not in link]
-    if more:
-        rows = null_safe_join(rows.distinct(), dim.select(*[col(c) for c in (*link, *more)]).distinct(), link, "inner")
-    return rows.select(*[col(c) for c in dict.fromkeys((ENGAGEMENT_KEY, *attach, st.STATUS_COL))])
+        valued = valued.withColumn(st.COUNT_COL, col(st.COUNT_COL) * col("__fan_out"))
+        return valued.select(col(ENGAGEMENT_KEY), status)
+    # So few that they are listed, too.
+    rest = [c for c in class_keys if c not in own]
+    parts = classes.groupBy(*[col(k).alias(k) for k in own]).agg(
+        *[v(weight=col("__rows")).alias(n) for n, v in values.items()],
+        F.collect_list(F.struct(*[col(c) for c in rest])).alias("__classes"),
+    )
+    parts = parts.withColumn("__packed", _packed(values)).drop(*values)
+    groups = _across_engagements(parts, _display_summary(dim, from_dim, attach), own, from_dim, values)
+    one = groups.withColumn("__class", F.explode("__classes")).withColumns(
+        {c: col("__class").getField(c) for c in rest}
+    )
+    if not attach:
+        return one.select(col(ENGAGEMENT_KEY), status)
+    found = one.select(F.slice("__weight", F.lit(2), F.size("__weight")).alias("__lists"), status)
+    return found.select(F.explode("__lists").alias("__one"), st.STATUS_COL).select(
+        F.get("__one", 0).alias(attach), st.STATUS_COL
+    )
 
 
 def project_status(

@@ -320,3 +320,17 @@ def test_null_keys_are_reported_and_bounded(spark, small_tables, scratch):
             run_job(spark, FrameSource(frames), ParquetSink(root), null_product_limit=bound)
     assert ParquetSink(root).current() == current
     run_job(spark, FrameSource(frames), ParquetSink(root), null_product_limit=second.product)
+
+
+def test_retired_rollup_keeps_tags_and_their_absence(spark, small_tables):
+    """Tags from the lists beside the groups, NULL tags too, against the written rows of Output A."""
+    tables = {name: small_tables[name] for name in FIXTURES}
+    codes = tables["ietf_languages_codes"]
+    shared = F.when(F.col("ietf_id") % 5 == 0, F.lit("shared")).when(F.col("ietf_id") % 3 > 0, F.col("subtag_new"))
+    tables["ietf_languages_codes"] = codes.withColumn("subtag_new", shared)
+    projects = legacy.legacy_project_status(tables, method="window")
+    want = legacy.legacy_engagement_status(projects)
+    got = legacy.legacy_engagement_status(legacy.legacy_status_classes(tables))
+    assert _multiset(got.select(*want.columns)) == _multiset(want)
+    tags = {r[0] for r in want.select("subtag_new").collect()}
+    assert None in tags and "shared" in tags
