@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.llm.common import Scratch, check_columns, col, dense_index, parts_for, row_position, to_batch
-from tessera.llm.tokens import encoder
+from tessera.llm.tokens import encoder, vocabulary_size
 
 # Two bytes hold an id of the vocabularies used here. A record ends with one
 # id 0 that belongs to no document, so records stay aligned to whole ids.
@@ -71,8 +71,11 @@ def token_sequences(
     task may be shorter. ``doc_ids`` lists the documents that a sequence has
     ids of and ``start`` says how many of the first one's ids came before it.
     ``body`` holds the ids, compressed: it is written and shuffled once each.
+    A vocabulary whose ids do not fit in ``ID_BYTES`` is an error.
     """
     check_columns(docs, [id_col, text_col])
+    if max(vocabulary_size(tokenizer), end_id + 1) > 1 << 8 * ID_BYTES:
+        raise ValueError(f"ids of {tokenizer} do not fit in {ID_BYTES} bytes")
     schema = T.StructType(
         [
             T.StructField("doc_ids", T.ArrayType(docs.schema[id_col].dataType)),
@@ -100,8 +103,8 @@ def token_sequences(
         open_ids, open_docs, start = bytearray(), [], 0
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py() or "") + tail
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
+                ids += tail
                 used = 0
                 while used < len(ids):
                     if not open_ids:

@@ -57,8 +57,8 @@ def token_pieces(
         for batch in batches:
             rows: list[tuple] = []
             size = 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py() or "") + tail
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
+                ids += tail
                 for k, at in enumerate(range(0, len(ids), 4 * max_tokens)):
                     part = ids[at : at + 4 * max_tokens]
                     row = (doc, k, at // 4, len(part) // 4, zlib.crc32(part))

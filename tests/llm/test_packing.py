@@ -1,13 +1,15 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tessera.llm import order, packing
+from tessera.llm import order, packing, tokens
 from tessera.llm.queries import tokenizer_path
 from tessera.llm.tokens import WordEncoder
 from tests.llm.conftest import odd_rows
@@ -24,10 +26,23 @@ def library():
 
 
 def test_ids_are_the_library_s(ready, library):
-    encode = WordEncoder(tokenizer_path()).encode
     texts = [r["text"] for r in ready.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
-    for text in [*texts, *[t or "" for _, t, _ in odd_rows()]]:
-        assert np.frombuffer(encode(text), "<u4").tolist() == library(text)
+    texts += [t for _, t, _ in odd_rows()]
+    texts += ["a\x01b \x01", "<|startoftext|>x y<|endoftext|>", "e\u0301 \u0301a", "²½ ª_9 don't I'LL 's", "\ufeff日 本"]
+    texts += ["\u1680a\u2003b\u3000", "\x85\xa0", "\x1cab\x1d", None, "", "İ ſ ß"]
+    got = WordEncoder(tokenizer_path()).encode(pa.array(texts))
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library(text)
+
+
+@pytest.mark.parametrize("limit", [1, 300, 5_000])
+def test_slices_do_not_change_ids(library, monkeypatch, limit):
+    monkeypatch.setattr(tokens, "SLICE_BYTES", limit)
+    texts = [t for _, t, _ in odd_rows()]
+    for kind in (pa.string(), pa.large_string()):
+        got = WordEncoder(tokenizer_path()).encode(pa.array(["cut", *texts], kind).slice(1))
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [library(t) for t in texts]
+    assert list(WordEncoder(tokenizer_path()).encode(pa.array([], pa.string()))) == []
 
 
 def test_segment_tree_finds_the_tightest_bin():
@@ -144,3 +159,12 @@ def test_shards_read_back_in_slot_order(ready, odd, work, library):
 
 def test_order_of_an_empty_table(empty, work):
     assert order.training_order(empty, tokenizer_path(), 1, 9, work).sequences.count() == 0
+
+
+def test_ids_that_do_not_fit_are_an_error(odd, tmp_path):
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"][0]["id"] = 1 << 16
+    (tmp_path / "big.json").write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError, match="do not fit"):
+        order.token_sequences(odd, str(tmp_path / "big.json"), 16, 1)
