@@ -76,14 +76,15 @@ def learn(
     frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
     keys = labelled.select("lang", "h").distinct()
     # The least hashes of each part of a language first: no task orders a whole language.
-    by_part = Window.partitionBy("lang", F.pmod("h", F.lit(256))).orderBy("h")
+    by_part = Window.partitionBy("lang", F.pmod("h", F.lit(16))).orderBy("h")
     keys = keys.withColumn("k", F.row_number().over(by_part)).filter(F.col("k") <= sample_documents)
     keys = keys.join(frequent.select("lang"), "lang")
     chosen = keys.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
     chosen = chosen.filter(F.col("k") <= sample_documents).select("lang", "h")
     start = F.pmod(F.col("h"), F.greatest(F.length("text") - SAMPLE_LETTERS, F.lit(0)) + 1).cast("int") + 1
     stretch = F.substring(F.col("text"), start, F.lit(SAMPLE_LETTERS))
-    rows = labelled.join(chosen, ["lang", "h"]).groupBy("lang", "h").agg(F.min(stretch).alias("text")).collect()
+    # At most MOST_LANGUAGES * sample_documents hashes: small enough to broadcast, so no text is shuffled.
+    rows = labelled.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min(stretch).alias("text")).collect()
     samples: dict[str, list[bytes]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["h"])):
         samples.setdefault(row["lang"], []).append(letters(row["text"]))
