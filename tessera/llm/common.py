@@ -11,7 +11,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -51,6 +52,20 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+_WATCHED: list[list[Scratch]] = []
+
+
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Delete the tables of all runs begun inside, once what was made from them is written."""
+    _WATCHED.append([])
+    try:
+        yield
+    finally:
+        for scratch in _WATCHED.pop():
+            scratch.close()
+
+
 class Scratch:
     """Tables of one operator run, each in a folder of its own under the shared root."""
 
@@ -58,6 +73,8 @@ class Scratch:
         self.spark = spark
         self.path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
+        if _WATCHED:
+            _WATCHED[-1].append(self)
 
     def place(self, table: str) -> str:
         self._n += 1
