@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import mixing, packing, queries, simhash, templates
-from tessera.llm.common import Scratch, ship_package
+from tessera.llm.common import Scratch, ship_package, temporary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -69,12 +69,17 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``, each written and read again."""
+    """All stages over the whole of ``documents``, each written and read again.
+
+    Of the tables in the shared folder, those of the last two stages are left:
+    the result reads them.
+    """
     scratch = Scratch(spark, "pipeline")
     docs = queries.table(spark, sf_dir, "documents")
     before = None
     for name, stage in STAGES[:-1]:
-        kept = scratch.save(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        with temporary():  # a stage's own tables go once its result is written
+            kept = scratch.save(stage(spark, docs, sf_dir), name.replace(" ", "_"))
         if before is not None:
             scratch.drop(before)
         docs = before = kept
