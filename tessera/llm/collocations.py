@@ -32,7 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tessera.llm.common import Scratch, check_columns, col, dense_index, row_position
 
 # Words of the shards that one task holds open; a longer text is a shard by itself.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 4_000_000
 # Contexts are sorted to four words, so phrases have five at most.
 MOST_WORDS = 5
 
@@ -346,7 +346,7 @@ def _ranked(levels: list[DataFrame], totals: DataFrame, docs: DataFrame, top: in
     )
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
     # The best of each part of a language first, so that no task ranks a whole language.
-    part = F.pmod(F.xxhash64("phrase"), F.lit(256))
+    part = F.pmod(F.xxhash64("phrase"), F.lit(64))
     first = scored.withColumn("part", part)
     first = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
     best = first.filter(F.col("rank") <= top).drop("part", "rank")
