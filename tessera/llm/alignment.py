@@ -171,9 +171,13 @@ class Aligner:
     def block(self, texts: list[str | None]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
         """``(n_a, n_b, n_groups, n_links, groups, links)`` for each text; the pairs and their counts.
 
-        ``links`` holds four bytes a link: its place in the block's pairs, each
-        of which is ``a * size_b + b``. Texts without tokens have zeros.
+        ``links`` holds four bytes a link, compressed: its place in the block's
+        pairs, each of which is ``a * size_b + b``; the most linked come first,
+        so places are small. Texts without tokens have zeros.
         """
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3).compress
         own = [i for i, t in enumerate(texts) if t]
         raw = [" " + texts[i] for i in own]
         ids_a, ids_b = self._a.encode(raw), self._b.encode([texts[i] for i in own])
@@ -191,7 +195,10 @@ class Aligner:
         )
         from_group = np.searchsorted(to_a, from_a, "right")
         from_link = np.searchsorted(link_a, from_a, "left")
-        place = place.astype("<u4")
+        by_count = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(pairs), "<u4")
+        rank[by_count] = np.arange(len(pairs))
+        pairs, counts, place = pairs[by_count], counts[by_count], rank[place]
 
         # A's tokens of a group, then B's.
         order = np.empty(len(flat_a) + len(flat_b), np.int64)
@@ -200,7 +207,7 @@ class Aligner:
         before_b = np.concatenate([[0], to_b])
         order[place_a + before_b[group_a]] = 2 * flat_a + (place_a + 1 == to_a[group_a])
         order[place_b + to_a[group_b]] = self._first_b + 2 * flat_b + (place_b + 1 == to_b[group_b])
-        rows: list[tuple] = [(0, 0, 0, 0, "", b"")] * len(texts)
+        rows: list[tuple] = [(0, 0, 0, 0, "", pack(b""))] * len(texts)
         written = self._written.__getitem__
         for k, i in enumerate(own):
             a0, a1, b0, b1 = from_a[k], from_a[k + 1], from_b[k], from_b[k + 1]
@@ -211,7 +218,7 @@ class Aligner:
                 int(from_group[k + 1] - from_group[k]),
                 int(l1 - l0),
                 "".join(map(written, order[a0 + b0 : a1 + b1].tolist()))[:-1],
-                place[l0:l1].tobytes(),
+                pack(place[l0:l1].tobytes()),
             )
         return rows, pairs, counts
 
@@ -228,7 +235,7 @@ def align(
 
     ``doc_id, n_a, n_b, n_groups, n_links, groups`` (``a1,a2|b1;a3|b2,b3``),
     ``block, place`` (the block and the document's place there), ``links``
-    (places in the block's pairs, four bytes each) and, with each block's first
+    (places in the block's pairs, compressed) and, with each block's first
     document, ``pairs`` and their ``counts``. A null or empty text, and one that
     a tokenizer does not give back byte by byte, has zeros and empty groups.
     Null and repeated ids stay, a row each; other columns are not read.
@@ -305,11 +312,14 @@ def document_counts(aligned: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
     def total(docs: pa.Table, pairs: pa.Table) -> pa.Table:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
         at = pairs["at"].to_numpy()
         count, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
         count[at] = pairs["count"].to_numpy()
         best[at] = pairs["best"].to_numpy()
-        links = [np.frombuffer(x, "<u4") for x in docs["links"].to_pylist()]
+        links = [np.frombuffer(unpack(x), "<u4") for x in docs["links"].to_pylist()]
         return pa.table(
             [
                 docs["block"],
