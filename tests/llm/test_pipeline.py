@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from tessera.llm import packing, quality, queries, templates
+from tessera.llm import common, packing, quality, queries, templates
 from tests.llm.test_deal import targets_by_rounds
 from tests.llm.test_near import classes_of, plain_fingerprint
 from tests.llm.test_text import plain_dedup
@@ -121,5 +122,15 @@ def test_every_operator_is_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names
+
+
+def test_tables_of_a_finished_stage_are_deleted(ready):
+    with common.temporary():
+        scratch = common.Scratch(ready, "stage")
+        scratch.save(ready.range(3), "t")
+        assert os.path.exists(scratch.path.removeprefix("file:"))
+    assert not os.path.exists(scratch.path.removeprefix("file:"))
+    kept = common.Scratch(ready, "kept")
+    assert kept.save(ready.range(2), "t").count() == 2
