@@ -32,6 +32,8 @@ OWNED = "owned"
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 
 SPAN = "array<struct<start:bigint,end:bigint,kind:string,value:string>>"
+# Running values are found over stretches of this many elements.
+STRETCH = 256
 
 
 def _let(value: Column, body) -> Column:
@@ -39,6 +41,38 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _running(values: Column, merge, levels: int = 2) -> Column:
+    """``merge`` of each of the numbers with all before it; none of them may be below 0.
+
+    A fold that lists its running values copies them once an element. Here it
+    runs over short stretches, and what each has before it is found in the same
+    way from the stretches' last values, so time grows with the length alone.
+    """
+    if levels == 1:
+        return F.aggregate(
+            values,
+            F.expr("cast(array(0) as array<bigint>)"),
+            lambda at, x: F.concat(at, F.array(merge(F.element_at(at, -1), x))),
+            lambda at: F.slice(at, F.lit(2), F.size(at)),
+        )
+
+    def stretches(v: Column) -> Column:
+        last = F.floor(F.greatest(F.size(v) - 1, F.lit(0)) / STRETCH).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), last), lambda i: _running(F.slice(v, i * STRETCH + 1, F.lit(STRETCH)), merge, 1)
+        )
+
+    def carried(runs: Column) -> Column:
+        lasts = F.transform(runs, lambda r: F.coalesce(F.try_element_at(r, F.lit(-1)), F.lit(0).cast("long")))
+        before = F.concat(F.expr("cast(array(0) as array<bigint>)"), _running(lasts, merge, levels - 1))
+        return _let(
+            before,
+            lambda b: F.flatten(F.transform(runs, lambda r, i: F.transform(r, lambda x: merge(b[i], x)))),
+        )
+
+    return _let(values, lambda v: _let(stretches(v), carried))
+
+
 def _matches(text: Column, kind: str, pattern: str, group: int) -> Column:
     """All leftmost matches that do not overlap, with code point places.
 
@@ -51,20 +85,14 @@ def _matches(text: Column, kind: str, pattern: str, group: int) -> Column:
 
     def place(parts: Column) -> Column:
         """Spans from (gap, match, value) triples and the running ends of their matches."""
-        ends = F.aggregate(
-            parts,
-            F.expr("cast(array(0) as array<bigint>)"),
-            lambda at, p: F.concat(
-                at, F.array(F.element_at(at, -1) + F.length(p["gap"]) + F.length(p["match"]))
-            ),
-        )
+        lengths = F.transform(parts, lambda p: (F.length(p["gap"]) + F.length(p["match"])).cast("long"))
         return _let(
-            ends,
+            _running(lengths, lambda x, y: x + y),
             lambda at: F.transform(
                 parts,
                 lambda p, i: F.struct(
-                    (at[i + 1] - F.length(p["match"])).alias("start"),
-                    at[i + 1].alias("end"),
+                    (at[i] - F.length(p["match"])).alias("start"),
+                    at[i].alias("end"),
                     F.lit(kind).alias("kind"),
                     p["value"].alias("value"),
                 ),
@@ -107,18 +135,50 @@ def joined(spans: Column) -> Column:
     )
 
 
-def _candidates(text: Column, base: Column) -> Column:
-    """Long mixed tokens outside all base spans."""
-    def outside(spans: Column) -> Column:
-        return F.filter(
-            _matches(text, OWNED, TOKEN, 0),
-            lambda s: s["value"].rlike("[0-9]")
-            & s["value"].rlike("[A-Za-z]")
-            & ~F.exists(spans, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+def _outside(tokens: Column, base: Column) -> Column:
+    """The tokens that no base span overlaps.
+
+    Tokens by their ends and base spans by their starts are put in one order,
+    a token before a span that starts where it ends. The furthest end among
+    the spans before a token tells whether one reaches into it.
+    """
+    events = F.sort_array(
+        F.concat(
+            F.transform(
+                base,
+                lambda b: F.struct(
+                    b["start"].alias("at"),
+                    F.lit(1).alias("turn"),
+                    b["end"].alias("reach"),
+                    F.lit(None).cast(SPAN[len("array<") : -1]).alias("token"),
+                ),
+            ),
+            F.transform(
+                tokens,
+                lambda t: F.struct(
+                    t["end"].alias("at"), F.lit(0).alias("turn"), F.lit(0).cast("long").alias("reach"), t.alias("token")
+                ),
+            ),
         )
+    )
 
-    found = _let(base, outside)
-    return F.when(text.rlike(TOKEN), found).otherwise(F.expr(f"cast(array() as {SPAN})"))
+    def kept(e: Column) -> Column:
+        reach = _running(F.transform(e, lambda x: x["reach"]), F.greatest)
+        judged = F.zip_with(e, reach, lambda x, r: F.struct(x["token"].alias("token"), r.alias("reach")))
+        return F.transform(
+            F.filter(judged, lambda j: j["token"].isNotNull() & (j["reach"] <= j["token"]["start"])),
+            lambda j: j["token"],
+        )
+
+    return _let(events, kept)
+
+
+def _candidates(text: Column, base: Column) -> Column:
+    """Long mixed tokens outside all base spans."""
+    mixed = F.filter(
+        _matches(text, OWNED, TOKEN, 0), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]")
+    )
+    return F.when(text.rlike(TOKEN), _outside(mixed, base)).otherwise(F.expr(f"cast(array() as {SPAN})"))
 
 
 def scan(
@@ -138,7 +198,8 @@ def scan(
     adds are the live-looking ones. A null text is empty, a null owner is an
     owner of its own, rows with a null id are repositories told apart by text,
     rows equal in id and text are one repository and get one row each. An empty
-    table gives no rows. Values are counted as hashes: a value that a third of
+    table gives no rows. A text's time grows with its length, whatever number of
+    matches it has. Values are counted as hashes: a value that a third of
     all rows hold is pre-aggregated by (value, owner, repository) before any
     task sees it whole.
     """

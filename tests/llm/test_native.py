@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -59,6 +60,51 @@ def test_base_spans_and_owners(ready, work):
     assert by_id[4].n_examples == 1 and by_id[4].n_live == 0
 
 
+def plain_owned(text, base):
+    """Mixed tokens that share no code point with a base span."""
+    taken = bytearray(len(text))
+    for _, a, b, _ in base:
+        taken[a:b] = b"\x01" * (b - a)
+    tokens = [m for m in re.finditer(secrets.TOKEN, text) if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])]
+    return [(m.start(), m.end()) for m in tokens if not any(taken[m.start() : m.end()])]
+
+
+def test_running_values_of_any_length(ready, monkeypatch):
+    monkeypatch.setattr(secrets, "STRETCH", 4)
+    lists = [[], [3], [1, 0, 5, 2], [2] * 5, list(range(40, 0, -1)), list(range(67))]
+    df = ready.createDataFrame([(x,) for x in lists], "v array<bigint>")
+    for levels in (2, 3):
+        got = df.select(
+            "v",
+            secrets._running(F.col("v"), lambda x, y: x + y, levels).alias("sums"),
+            secrets._running(F.col("v"), F.greatest, levels).alias("most"),
+        ).collect()
+        for r in got:
+            assert r.sums == [sum(r.v[: i + 1]) for i in range(len(r.v))]
+            assert r.most == [max(r.v[: i + 1]) for i in range(len(r.v))]
+
+
+def test_many_matches_in_one_text(ready, work):
+    """Two megabytes of secrets of every kind, against the plain definition."""
+    rng = random.Random(3)
+    letters = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+
+    def word():
+        kind = rng.randrange(8)
+        if kind == 0:
+            return f"token={letters(6, 'abcXYZ019')}" + rng.choice(["", "é", f" {KEY}"])
+        if kind == 1:
+            return letters(22, "abcXYZ019") + rng.choice(["", "=", "-" + HEX])
+        return letters(24, "0123456789abcdef") + rng.choice(["", "", "", "Zz_9", "日本"])
+
+    text = " ".join(word() for _ in range(85_000))
+    assert len(text) > 2_000_000
+    row = secrets.scan(make_docs(ready, [(1, text, "a"), (2, "", "b")]), work).filter("doc_id = 1").collect()[0]
+    base = plain_spans(text)
+    assert [(s.kind, s.start, s.end, s.value) for s in row.base] == base
+    assert [(s.start, s.end) for s in row.spans if s.kind == secrets.OWNED] == plain_owned(text, base)
+
+
 def test_joined_spans_of_empty_documents(ready, work, empty):
     digest = secrets.scan(make_docs(ready, SECRETS), work).select(
         "doc_id", F.sha2(secrets.joined(F.col("base")).cast("binary"), 256).alias("h"), secrets.joined("spans").alias("j")
