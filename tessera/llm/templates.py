@@ -28,6 +28,8 @@ from tessera.llm.simhash import forest
 
 FIELD = "<*>"
 _BLOCK_ROWS = 2_048
+# So many classes at most are told to every task; each has more than one of so many shares of all lines.
+_HOT_CLASSES = 1_024
 # Stands in a template's body for the hash of a field.
 _FIELD_HASH = 0
 
@@ -132,15 +134,20 @@ def _merged(docs: DataFrame, lines: DataFrame, rules: Rules, scratch: Scratch) -
         .dropDuplicates(["leaf", "template"]),
         "bodies",
     )
-    units = ["leaf", "__left", "__right"]
+    units = ["segment", "__left", "__right"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, units):
             a, b = forest(*_similar(table.combine_chunks(), units, rules.similarity))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
+    # Segments are grouped without bodies; those go to templates that share one.
+    named = bodies.select("template", F.explode(_segments(F.col("leaf"), F.col("body"), rules)).alias("segment"))
+    whole_bodies = bodies.select(F.col("template").alias("__template"), "body")
     edges = (
-        block_pairs(bodies, "leaf", "template", _BLOCK_ROWS)
+        block_pairs(named, "segment", "template", _BLOCK_ROWS)
+        .join(whole_bodies.hint("merge"), F.col("template") == F.col("__template"))
+        .drop("__template")
         .repartition(parts_for(docs.sparkSession), *units)
         .sortWithinPartitions(*units)
         .mapInArrow(run, "a long, b long")
@@ -148,6 +155,24 @@ def _merged(docs: DataFrame, lines: DataFrame, rules: Rules, scratch: Scratch) -
     return components(edges, scratch)
 
 
+def _segments(leaf: Column, body: Column, rules: Rules) -> Column:
+    """Hashes of the segments that a body's positions after the leading tokens are cut into.
+
+    Templates that are one differ in at most ``1 - similarity`` of all
+    positions. With one segment more than that number, a segment of both is
+    equal whole, so only templates that share a segment need to be compared.
+    """
+    width = F.size(body)
+    # Rounded up where the product is short of a whole number: a segment too many loses nothing.
+    pieces = F.floor(width * F.lit(1 - rules.similarity) + F.lit(1e-9)).cast("int") + 1
+    rest = F.greatest(width - rules.depth, F.lit(0))
+    start = lambda i: F.floor(i.cast("long") * rest / pieces).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), pieces - 1),
+        lambda i: F.xxhash64(leaf, i, F.slice(body, start(i) + rules.depth + 1, start(i + 1) - start(i))),
+    )
+
+
 def _similar(table: pa.Table, units: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of templates of one unit with enough equal positions; fields equal nothing."""
     names, side = table["template"].to_numpy(), table["__side"].to_numpy()
@@ -183,7 +208,9 @@ def recurring_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rules()) -
 
     A template (class) found in ``min_docs`` documents or more is kept in the
     one with the least (id, text hash) and goes from all others. Documents
-    without such lines have no row.
+    without such lines have no row. Lines of a class that holds more than one in
+    1,024 of all lines meet their keeper by broadcast; there are fewer than
+    1,024 such classes at any size.
     """
     check_columns(docs, ["doc_id", "text"])
     lines = scratch.save(_lines(docs, rules), "lines")
@@ -194,15 +221,26 @@ def recurring_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rules()) -
         "doc_id", "doc", "number", F.coalesce("__root", "template").alias("class")
     )
     per_doc = classed.groupBy("class", "doc").agg(F.min("doc_id").alias("doc_id"))
-    recurring = (
+    recurring = scratch.save(
         per_doc.groupBy("class")
         .agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("doc_id", "doc")).alias("keeper"))
         .filter(F.col("docs") >= rules.min_docs)
-        .select(F.col("class").alias("__class"), F.col("keeper.doc").alias("__keeper"))
+        .select("class", "docs", F.col("keeper.doc").alias("keeper")),
+        "recurring",
+    )
+    # At most _HOT_CLASSES classes can hold this share of all lines, so they fit a broadcast.
+    share = F.lit(max(1, lines.count() // _HOT_CLASSES))
+    hot = recurring.filter(F.col("docs") > share).select(F.col("class").alias("__hot"), F.col("keeper").alias("__of_hot"))
+    cold = recurring.filter(F.col("docs") <= share).select(
+        F.col("class").alias("__class"), F.lit(-1).alias("__none"), F.col("keeper").alias("__of_cold")
     )
+    # Lines of hot classes have found their keeper and are dealt by document beside the rest.
+    spread = F.when(F.col("__hot").isNotNull(), F.pmod(F.col("doc"), F.lit(_HOT_CLASSES)).cast("int")).otherwise(-1)
     return (
-        classed.join(recurring, F.col("class") == F.col("__class"))
-        .filter(F.col("doc") != F.col("__keeper"))
+        classed.join(F.broadcast(hot), F.col("class") == F.col("__hot"), "left")
+        .withColumn("__spread", spread)
+        .join(cold, (F.col("class") == F.col("__class")) & (F.col("__spread") == F.col("__none")), "left")
+        .filter(F.col("doc") != F.coalesce("__of_hot", "__of_cold"))
         .groupBy("doc")
         .agg(F.sort_array(F.collect_set("number")).alias("numbers"))
     )
@@ -227,7 +265,7 @@ def drop_recurring_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rules
     and are treated alike; null ids are allowed. An empty table stays empty.
     Texts are shuffled by document, never by line or template; lines are
     counted from hashes, so a template that a third of all lines have is a
-    partial count, and its join back to lines can be split.
+    partial count, and is told to its lines by broadcast.
     """
     drops = scratch.save(recurring_lines(docs, scratch, rules), "drops").withColumnsRenamed(
         {"doc": "__doc", "numbers": "__numbers"}

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import pytest
@@ -10,12 +11,22 @@ from tests.llm.conftest import make_docs, odd_rows
 
 
 def plain_dedup(rows, rules):
-    """The definition: templates by (tokens, leading tokens), merged by single links."""
-    import re
+    """The definition: fields, literal lines, templates by (tokens, leading tokens), merged by single links."""
 
     def path(line):
-        tokens = [t for t in re.sub(r"\S*\d\S*", "<*>", line).split() if t]
-        return tuple(tokens) if len(tokens) >= rules.min_tokens else None
+        tokens = [t for t in re.split(r"[ \t\n\x0b\f\r]+", line) if t]
+        if len(tokens) < rules.min_tokens:
+            return None
+        fields = [re.search("[0-9]", t) is not None for t in tokens]
+        literal = sum(fields) > len(tokens) * (1 - rules.constant)
+        key = tokens if literal else ["<*>" if f else t for t, f in zip(tokens, fields)]
+        return literal, tuple(key)
+
+    def one(a, b):
+        if a[0] or b[0] or len(a[1]) != len(b[1]) or a[1][: rules.depth] != b[1][: rules.depth]:
+            return False
+        pairs = [(x, y) for x, y in zip(a[1], b[1]) if not x == y == "<*>"]
+        return sum(x == y for x, y in pairs) >= rules.similarity * len(pairs)
 
     docs = sorted({(i, t) for i, t, _ in rows if t is not None}, key=str)
     found = sorted({p for _, t in docs for p in map(path, t.split("\n")) if p})
@@ -28,9 +39,8 @@ def plain_dedup(rows, rules):
 
     for k, a in enumerate(found):
         for b in found[k + 1 :]:
-            if len(a) == len(b) and a[: rules.depth] == b[: rules.depth]:
-                if sum(x == y for x, y in zip(a, b)) >= rules.similarity * len(a):
-                    root[find(a)] = find(b)
+            if one(a, b):
+                root[find(a)] = find(b)
     holders = {}
     for d in docs:
         for line in d[1].split("\n"):
@@ -61,6 +71,44 @@ def lines():
     return rows + [(40, rows[1][1], "s0"), (41, None, "s0"), (42, "", None), (None, rows[3][1], "s1")]
 
 
+@pytest.fixture(scope="module")
+def dense():
+    """Leaves with many templates near the bound: few words, fields, rows of numbers, a line most have."""
+    rng = random.Random(11)
+    lead = ["at the end", "by a 7", "1 2 so"]
+
+    def line():
+        rest = [rng.choice(["up", "up", "up", "off", "in", str(rng.randrange(4))]) for _ in range(rng.randint(1, 14))]
+        return rng.choice(lead) + " " + " ".join(rest)
+
+    rows = [(i, "\n".join(line() for _ in range(8)), "s") for i in range(40)]
+    return [(i, t + "\nmost have this line" * (i % 3 > 0), s) for i, t, s in rows]
+
+
+def test_dense_fixture_has_both_kinds(dense):
+    """Literal lines and lines that only count fields apart tell from one another are in it."""
+    path, find, _ = plain_dedup(dense, templates.Rules())
+    paths = {path(x) for _, t, _ in dense for x in t.split("\n")}
+    assert any(literal for literal, _ in paths) and len({find(p) for p in paths}) < len(paths)
+    width = lambda p: (len(p[1]), p[1][:3])
+    raw = lambda a, b: sum(x == y for x, y in zip(a[1], b[1])) >= 0.8 * len(a[1])
+    loose = [p for p in paths if not p[0]]
+    assert any(raw(a, b) and width(a) == width(b) and find(a) != find(b) for a in loose for b in loose)
+
+
+@pytest.mark.parametrize("hot", [1_024, 4])
+@pytest.mark.parametrize("similarity", [0.8, 0.5])
+def test_segments_lose_no_template(ready, work, dense, monkeypatch, hot, similarity):
+    monkeypatch.setattr(templates, "_HOT_CLASSES", hot)
+    monkeypatch.setattr(templates, "_BLOCK_ROWS", 16)
+    rules = templates.Rules(similarity=similarity)
+    got = {r.doc_id: r.text for r in templates.drop_recurring_lines(make_docs(ready, dense), work, rules).collect()}
+    path, find, holders = plain_dedup(dense, rules)
+    first = {c: min(i for i, _ in d) for c, d in holders.items()}
+    for i, text, _ in dense:
+        assert got[i] == "\n".join(x for x in text.split("\n") if first[find(path(x))] == i)
+
+
 @pytest.mark.parametrize("block", [2, 2_048])
 def test_recurring_lines_by_definition(ready, work, lines, monkeypatch, block):
     monkeypatch.setattr(templates, "_BLOCK_ROWS", block)
