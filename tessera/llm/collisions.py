@@ -4,19 +4,24 @@ Every vector is projected on many seeded Gaussian directions. For unit vectors
 at a given cosine the difference of two projections is Gaussian with a known
 spread, so windows, counts and recall are calibrated without looking at data.
 
-Sorting each projection and cutting it into windows at a random offset gives
-every vector a window number for each direction. Directions come in groups;
-vectors in the same windows of a whole group share a cell, and cells are what
-Spark shuffles. Within a cell, every pair's collisions over all directions are
-counted with windows centred on the query vector; pairs that reach the
-calibrated count are verified by their cosine in double precision.
+Each projection is cut into windows of one width at a random offset, which gives
+every vector a window number for each direction; no projection is sorted whole.
+Directions come in groups; vectors in the same windows of a whole group share a
+cell, and hashes of cells are what Spark shuffles and sorts. Candidates are the
+pairs of a cell. Their collisions over all directions are counted with windows
+centred on the query vector; pairs that reach the calibrated count are verified
+by their cosine in double precision.
+
+The number of directions in a group takes unrelated vectors to be about at
+right angles. Where they are not (a cloud with one common direction), recall
+holds, but cells hold more rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil, comb, erf, exp, log, pi, sqrt
+from math import ceil, erf, exp, lgamma, log, log1p, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -76,7 +81,8 @@ def calibrate(rows: int, cosine: float, cell_recall: float = 0.985, count_recall
     least, above = m, p**m
     while above < count_recall and least > 0:
         least -= 1
-        above += comb(m, least) * p**least * (1 - p) ** (m - least)
+        ways = lgamma(m + 1) - lgamma(least + 1) - lgamma(m - least + 1)
+        above += exp(ways + least * log(p) + (m - least) * log1p(-p))
     return Plan(per_group, groups, half_width, least, cell_recall * count_recall)
 
 
