@@ -23,10 +23,11 @@ LEVEL = 3
 class Sample:
     """Bounds of the labelled sample that the classifier is fitted on, in the driver.
 
-    Rows are taken in the order of a hash of their id: up to
-    ``dictionary_rows`` of each label for its dictionary, then up to
-    ``calibration_rows`` others of either label for the calibration. A text
-    that would pass ``max_bytes`` for its part of the sample is left out.
+    Ids are taken in the order of their hash: up to ``dictionary_rows`` of each
+    label for its dictionary, then up to ``calibration_rows`` others of either
+    label for the calibration. A text of more than ``max_bytes`` is never
+    taken; one that would bring its part of the sample above that is left out,
+    and the texts after it are not.
     """
 
     dictionary_rows: int = 1500
@@ -126,7 +127,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> Model:
 
     ``labels`` has ``doc_id`` and ``quality`` (0 or 1); other values and null
     ids are not learnt from, and of an id with both labels the lower holds.
-    Only ids, sizes and the chosen texts reach the driver, within ``sample``.
+    An id that several rows have counts once, with its shortest text (of equally
+    long ones that of the least hash). Only ids, sizes and the chosen texts
+    reach the driver, within ``sample``.
     Without rows of both labels every text scores the share of good ones (one
     half if there are none).
     """
@@ -137,8 +140,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> Model:
         .groupBy("doc_id")
         .agg(F.min("quality").cast("int").alias("quality"))
     )
-    sized = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
-    drawn = sized.join(known, "doc_id").withColumn("draw", F.xxhash64("doc_id"))
+    sized = docs.select(
+        "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"), F.xxhash64("text").alias("hash")
+    )
+    drawn = (
+        sized.drop("text")
+        .join(known, "doc_id")
+        .groupBy("doc_id", "quality")
+        .agg(F.min(F.struct("bytes", "hash")).alias("text"))
+        .select("doc_id", "quality", "text.*")
+        .filter(F.col("bytes") <= sample.max_bytes)
+        .withColumn("draw", F.xxhash64("doc_id"))
+    )
     ranked = {
         q: drawn.filter(F.col("quality") == q).orderBy("draw", "doc_id").limit(sample.dictionary_rows).toPandas()
         for q in (0, 1)
@@ -146,18 +159,37 @@ def fit(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> Model:
     rest = sample.calibration_rows + 2 * sample.dictionary_rows
     mixed = drawn.orderBy("draw", "doc_id").limit(rest).toPandas()
 
-    def within(rows: pd.DataFrame) -> list:
-        return rows.loc[rows["bytes"].cumsum() <= sample.max_bytes, "doc_id"].drop_duplicates().tolist()
+    def within(rows: pd.DataFrame) -> pd.DataFrame:
+        left, kept = sample.max_bytes, []
+        for size in rows["bytes"]:
+            kept.append(size <= left)
+            left -= size if kept[-1] else 0
+        return rows[np.array(kept, bool)]
 
     # Half of a scarce label's rows stay for the calibration.
     short = {q: ranked[q].head(max(1, min(len(ranked[q]), int(drawn_rows(mixed, q) // 2) or 1))) for q in (0, 1)}
     used = {q: within(short[q]) for q in (0, 1)}
-    other = mixed[~mixed["doc_id"].isin(used[0] + used[1])].head(sample.calibration_rows)
+    taken = pd.concat([used[0]["doc_id"], used[1]["doc_id"]])
+    other = within(mixed[~mixed["doc_id"].isin(taken)].head(sample.calibration_rows))
+    chosen = pd.concat([rows.assign(use=use) for use, rows in ((0, used[0]), (1, used[1]), (2, other))])
     wanted = docs.sparkSession.createDataFrame(
-        [(i, use) for use, ids in ((0, used[0]), (1, used[1]), (2, within(other))) for i in ids] or [(None, 0)],
-        T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("use", T.IntegerType())]),
+        [(r.doc_id, int(r.bytes), int(r.hash), int(r.use)) for r in chosen.itertuples()],
+        T.StructType(
+            [
+                T.StructField("doc_id", docs.schema["doc_id"].dataType),
+                T.StructField("bytes", T.IntegerType()),
+                T.StructField("hash", T.LongType()),
+                T.StructField("use", T.IntegerType()),
+            ]
+        ),
+    )
+    texts = (
+        sized
+        .join(F.broadcast(wanted), ["doc_id", "bytes", "hash"])
+        .groupBy("doc_id", "use")
+        .agg(F.min("text").alias("text"))
+        .toPandas()
     )
-    texts = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").toPandas()
     texts = texts.sort_values(["use", "doc_id"]).merge(
         pd.concat([ranked[0], ranked[1], mixed])[["doc_id", "quality"]].drop_duplicates("doc_id"), on="doc_id"
     )

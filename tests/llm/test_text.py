@@ -198,6 +198,45 @@ def test_sample_bounds_hold(ready):
     assert len(small.good) <= 2_048 and len(small.bad) <= 2_048
 
 
+def test_repeated_ids_and_long_texts_of_the_sample(ready):
+    """One id on many rows counts once; a text above the bound silences no other."""
+    rows, labels = labelled(ready)
+    table = ready.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    sample = quality.Sample(40, 80, 200_000, 4_096)
+    model = quality.fit(make_docs(ready, rows), table, sample)
+    held = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    again = [(held[0], rows[held[0]][1] + " more" * k, "s") for k in range(3_000)]
+    assert quality.fit(make_docs(ready, rows + again), table, sample) == model
+    # Every id but the last few gets a long text as well; the short one is learnt from.
+    long = [(i, "x " * 150_000, "s") for i in held[:5]]
+    assert quality.fit(make_docs(ready, rows + long), table, sample) == model
+    more = ready.createDataFrame(labels + [(1000 + k, k % 2, 0) for k in range(40)], table.schema)
+    only = [(1000 + k, "x " * 150_000, "s") for k in range(40)]
+    assert quality.fit(make_docs(ready, rows + only), more, sample) == model
+
+
+def test_scores_by_definition(ready):
+    """Every score from zstandard alone: sizes of 512-byte parts with either dictionary."""
+    import math
+
+    import zstandard
+
+    rows, labels = labelled(ready)
+    rows += [(900, "", "s"), (901, None, "s"), (902, "é日本 " * 3_000, "s")]
+    docs = make_docs(ready, rows)
+    model = quality.fit(docs, ready.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+    def size(raw, words):
+        packer = zstandard.ZstdCompressor(3, dict_data=zstandard.ZstdCompressionDict(words), write_content_size=False, write_dict_id=False)
+        return sum(len(packer.compress(raw[at : at + 512])) for at in range(0, len(raw), 512))
+
+    for r in docs.select("text", model.score_column(docs["text"]).alias("score")).collect():
+        raw = (r.text or "").encode()
+        good, bad = size(raw, model.good), size(raw, model.bad)
+        z = model.intercept + model.slope * ((bad - good) / (bad + good) if raw else 0)
+        assert r.score == pytest.approx(1 / (1 + math.exp(-max(-50, min(50, z)))), abs=1e-12)
+
+
 def test_short_lines_recur_like_long_ones(ready, work):
     rows = [(i, f"All rights reserved.\n\nOnly of {'abcdef'[i]} here\nEnd", "s") for i in range(6)]
     out = templates.drop_recurring_lines(make_docs(ready, rows + [(6, "End\nfree text", "s")]), work)
