@@ -220,40 +220,50 @@ def near_duplicates(
     belong to classes but never name one unless the class has no other.
     Repeated rows stay. An empty table gives no rows; no other column is read.
     """
+    saved, classes = _classes(docs, scratch, shingle_words, bound, id_col, text_col)
+    return saved.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def _classes(
+    docs: DataFrame, scratch: Scratch, shingle_words: int, bound: int, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, fp)`` of all rows, and ``(fp, root, component_id)`` of the distinct fingerprints."""
     saved = scratch.save(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
     nodes = scratch.save(saved.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = components(links(nodes.select("fp"), bound), scratch)
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp")
     class_ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = named.join(class_ids, "root").select(col("fp").alias("__fp"), "component_id")
+    linked = named.join(class_ids, "root").select(col("fp").alias("__fp"), "root", "component_id")
     classes = scratch.save(
         nodes.join(linked, F.col("fp") == F.col("__fp"), "left").select(
-            "fp", F.coalesce("component_id", "least").alias("component_id")
+            "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id")
         ),
         "classes",
     )
-    return saved.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return saved, classes
 
 
 def keep_one(docs: DataFrame, scratch: Scratch, shingle_words: int = 3, bound: int = 2) -> DataFrame:
-    """The row of each class whose id names the class, with all its columns.
+    """One row of each class, the one whose id names it, with all its columns.
 
-    Needs ``doc_id`` and ``text``. Where rows repeat an id that names a class,
-    or a class has null ids alone, the least of each fingerprint's rows stays.
+    Needs ``doc_id`` and ``text``. Where several rows of a class have the least
+    id, or it has null ids alone, the row of the least fingerprint, then of
+    the least text and other columns, stays.
     """
-    classes = near_duplicates(docs, scratch, shingle_words, bound)
-    ids = classes.groupBy(col("doc_id").alias("__id")).agg(
-        F.count(F.lit(1)).alias("__n"), F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("__names")
+    saved, classes = _classes(docs, scratch, shingle_words, bound)
+    rows_of = saved.groupBy(col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n"))
+    stays = (
+        saved.join(classes.select("fp", "root"), "fp")
+        .groupBy("root")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("s"))
+        .select("s.doc_id", "s.fp")
     )
-    names = scratch.save(ids.filter("__names"), "names")
-    alone = names.filter("__n = 1 and __id is not null").select("__id")
-    several = scratch.save(
-        classes.join(names.filter("__n > 1 or __id is null"), F.col("doc_id").eqNullSafe(F.col("__id")))
-        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select("__id", col("fp").alias("__fp"))
-        .distinct(),
-        "several",
+    names = scratch.save(
+        stays.join(rows_of, F.col("doc_id").eqNullSafe(F.col("__id"))).select("__id", col("fp").alias("__fp"), "__n"),
+        "names",
     )
+    alone = names.filter("__n = 1 and __id is not null").select("__id")
+    several = names.filter("__n > 1 or __id is null").select("__id", "__fp")
 
     @F.pandas_udf("long")
     def fp_of(texts: pd.Series) -> pd.Series:

@@ -186,3 +186,33 @@ def test_near_copies_share_a_class(ready, work):
     docs = make_docs(ready, [(1, text, "a"), (2, text.upper(), "a"), (3, text + " tail", "a"), (4, "other " * 9, "a")])
     got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, work).collect()}
     assert got[2] == 1 and got[4] == 4
+
+
+def test_calibration_of_very_many_rows():
+    plans = [collisions.calibrate(10**k, 0.95) for k in (3, 6, 9, 11, 13)]
+    assert all(a.directions < b.directions for a, b in zip(plans, plans[1:]))
+    assert all(0 < p.least < p.directions for p in plans)
+
+
+def test_one_row_of_each_class_stays_whatever_its_ids(ready, work):
+    """Near copies that share the naming id, or have null ids alone, are one class like any other."""
+    rng = random.Random(9)
+    base = [rng.choice("ab") + str(rng.randrange(10**6)) for _ in range(400)]
+    prints, texts = {}, []
+    for k in range(400):
+        words = list(base)
+        words[k] = "other"
+        text = " ".join(words)
+        fp = plain_fingerprint(text)
+        if fp not in prints and all((fp ^ x).bit_count() <= 2 for x in prints):
+            prints[fp] = text
+    texts = [prints[x] for x in sorted(prints)]
+    assert len(texts) >= 3
+    for ids in ([7, 7, 7], [None, None, None], [7, None, 7], [8, 7, 7]):
+        rows = list(zip(ids, texts, "sss")) + [(ids[0], texts[0], "s"), (7, "quite another text of seven words here", "s")]
+        docs = make_docs(ready, rows)
+        kept = simhash.keep_one(docs, work)
+        got = kept.collect()
+        assert kept.columns == docs.columns and len(got) == 2
+        of_class = [r.doc_id for r in got if r.text in texts]
+        assert of_class == [min((i for i in ids if i is not None), default=None)]
