@@ -28,6 +28,8 @@ from tessera.llm.simhash import forest
 
 FIELD = "<*>"
 _BLOCK_ROWS = 2_048
+# Positions of templates that are compared at a time.
+_POSITIONS = 1 << 20
 # So many classes at most are told to every task; each has more than one of so many shares of all lines.
 _HOT_CLASSES = 1_024
 # Stands in a template's body for the hash of a field.
@@ -138,7 +140,7 @@ def _merged(docs: DataFrame, lines: DataFrame, rules: Rules, scratch: Scratch) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, units):
-            a, b = forest(*_similar(table.combine_chunks(), units, rules.similarity))
+            a, b = _similar(table.combine_chunks(), units, rules.similarity)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     # Segments are grouped without bodies; those go to templates that share one.
@@ -174,33 +176,45 @@ def _segments(leaf: Column, body: Column, rules: Rules) -> Column:
 
 
 def _similar(table: pa.Table, units: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of templates of one unit with enough equal positions; fields equal nothing."""
+    """Edges that join the templates of a unit with enough equal positions; fields equal nothing.
+
+    Pairs of all units are compared together: each row with the next of its
+    unit, then with the next but one, and so on while its unit has rows left.
+    """
     names, side = table["template"].to_numpy(), table["__side"].to_numpy()
     body = table["body"].combine_chunks()
-    flat, offsets = body.values.to_numpy(), body.offsets.to_numpy()
+    flat, offsets = body.values.to_numpy(), body.offsets.to_numpy().astype(np.int64)
     fresh = np.zeros(len(names), bool)
     for key in units:
         values = table[key].to_numpy()
         fresh[1:] |= values[1:] != values[:-1]
-    starts = np.append(np.flatnonzero(np.append(True, fresh[1:])), len(names))
-    a_all, b_all = [np.array([], np.int64)], [np.array([], np.int64)]
-    for lo, hi in zip(starts[:-1], starts[1:]):
-        if hi - lo < 2:
-            continue
-        width = offsets[lo + 1] - offsets[lo]
-        rows = flat[offsets[lo] : offsets[hi]].reshape(hi - lo, width)
-        field = rows == _FIELD_HASH
-        across = side[lo:hi].any()
-        for i in range(hi - lo):
-            if across and side[lo + i]:
+    unit = np.cumsum(fresh)
+    across = np.bincount(unit, weights=side)[unit] > 0
+    a = b = np.array([], np.int64)
+    rows, step = np.arange(len(names)), 1
+    while True:
+        rows = rows[rows + step < len(names)]
+        rows = rows[unit[rows] == unit[rows + step]]
+        if not len(rows):
+            return forest(a, b)
+        wanted = rows[~across[rows] | (side[rows] != side[rows + step])]
+        # Few enough positions at a time, however long the lines are.
+        ends = np.cumsum(offsets[wanted + 1] - offsets[wanted])
+        for i in np.split(wanted, np.flatnonzero(np.diff(ends // _POSITIONS)) + 1):
+            if not len(i):
                 continue
-            others = np.flatnonzero(side[lo:hi] == 1) if across else np.arange(i + 1, hi - lo)
-            both = field[others][:, field[i]].sum(axis=1) if field[i].any() else 0
-            same = (rows[others] == rows[i]).sum(axis=1) - both
-            hit = others[same >= similarity * (width - both)]
-            a_all.append(np.full(len(hit), names[lo + i]))
-            b_all.append(names[lo + hit])
-    return np.concatenate(a_all), np.concatenate(b_all)
+            width = offsets[i + 1] - offsets[i]
+            begin = np.cumsum(width) - width
+            place = np.arange(width.sum()) - np.repeat(begin, width)
+            x, y = flat[np.repeat(offsets[i], width) + place], flat[np.repeat(offsets[i + step], width) + place]
+            equal, field = x == y, x == _FIELD_HASH
+            both = np.add.reduceat(equal & field, begin, dtype=np.int64)
+            same = np.add.reduceat(equal & ~field, begin, dtype=np.int64)
+            hit = i[same >= similarity * (width - both)]
+            a, b = np.append(a, names[hit]), np.append(b, names[hit + step])
+            if len(a) > _POSITIONS:
+                a, b = forest(a, b)
+        step += 1
 
 
 def recurring_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rules()) -> DataFrame:
@@ -217,8 +231,11 @@ def recurring_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rules()) -
     merged = scratch.save(_merged(docs, lines, rules, scratch), "merged").select(
         F.col("node").alias("__node"), F.col("root").alias("__root")
     )
-    classed = lines.join(merged, F.col("template") == F.col("__node"), "left").select(
-        "doc_id", "doc", "number", F.coalesce("__root", "template").alias("class")
+    classed = scratch.save(
+        lines.join(merged, F.col("template") == F.col("__node"), "left").select(
+            "doc_id", "doc", "number", F.coalesce("__root", "template").alias("class")
+        ),
+        "classed",
     )
     per_doc = classed.groupBy("class", "doc").agg(F.min("doc_id").alias("doc_id"))
     recurring = scratch.save(
