@@ -44,10 +44,9 @@ class Ranges:
 
 
 def _weighted_samples(rows: DataFrame, expected: Column, seed: int) -> DataFrame:
-    """Rows drawn with the probability ``expected`` (sizes over a unit), by a hash of the row.
+    """Rows drawn with the probability ``expected``, by a hash of the row.
 
-    A drawn row stands for ``weight`` bytes: its own size, or the unit where
-    it is smaller.
+    A drawn row stands for as many samples as were expected of it, and at least one.
     """
     hashed = F.xxhash64(F.lit(seed), "key", "place").bitwiseAND((1 << 53) - 1) / F.lit(_U53)
     return rows.filter(hashed < expected)
@@ -77,10 +76,11 @@ def shard_by_bytes(
     A row's size is its text's UTF-8 bytes plus 1 (null text: 1). Its key is
     the text's hash, then its place in the saved table, so keys are distinct.
     Key samples drawn in proportion to size give quantile bounds on the text
-    hash, which never part equal texts. The exact bytes of every range are then
-    counted; a range over twice the mean is subdivided by samples of its own
-    rows, by place where it holds a single text, until none is left that has
-    two rows. Shards are runs of ranges that end closest to equal shares; an
+    hash, which never part equal texts. The exact bytes and rows of every range
+    are then counted; a range over twice the mean of either is subdivided by
+    samples of its own rows, by place where it holds a single text (such as the
+    empty one, of many rows and few bytes), until none is left that has two
+    rows. Shards are runs of ranges that end closest to equal shares; an
     end inside a group of equal texts is taken only where the closest other
     end is more than a hundredth of a shard worse. ``slot`` counts a shard's
     rows from 0 in key order.
@@ -104,7 +104,28 @@ def shard_by_bytes(
     total, count = rows.agg(F.sum("size"), F.count(F.lit(1))).first()
     if not count:
         return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    n_ranges = shards * ranges_per_shard
+    ranges, held = _even_ranges(rows, total, count, shards * ranges_per_shard, seed)
+    shard_of, before = _shards_of_ranges(held, ranges, shards, total)
+    size = int(held["range"].max()) + 1
+    shard_list, before_list = [0] * size, [0] * size
+    for r, s, b in zip(held["range"], shard_of, before):
+        shard_list[r], before_list[r] = int(s), int(b)
+    in_range = F.row_number().over(Window.partitionBy("range").orderBy("key", "place"))
+    return (
+        rows.withColumn("range", ranges.column())
+        .withColumn("__n", in_range)
+        .select(
+            "doc_id",
+            "size",
+            "text_crc32",
+            F.lit(shard_list)[F.col("range")].alias("shard"),
+            (F.lit(before_list).cast("array<bigint>")[F.col("range")] + F.col("__n") - 1).alias("slot"),
+        )
+    )
+
+
+def _even_ranges(rows: DataFrame, total: int, count: int, n_ranges: int, seed: int) -> tuple[Ranges, pd.DataFrame]:
+    """Ranges of at most twice the mean bytes and rows where rows can be parted, and what each holds."""
     unit = total / (n_ranges * SAMPLES_PER_RANGE)
 
     drawn = _weighted_samples(rows, F.col("size") / F.lit(unit), seed).select("key", "size").toPandas()
@@ -112,7 +133,9 @@ def shard_by_bytes(
     none = Ranges(np.array([], np.int64), np.array([], np.int64))
     ranges = none.with_bounds({(k, -1) for k in bounds})
 
-    limit = 2 * total / n_ranges
+    mean_bytes, mean_rows = total / n_ranges, max(1.0, count / n_ranges)
+    # What a row takes of a mean range, by bytes or as a row.
+    load = F.greatest(F.col("size") / F.lit(mean_bytes), F.lit(1 / mean_rows))
     while True:
         held = (
             rows.withColumn("range", ranges.column())
@@ -120,53 +143,38 @@ def shard_by_bytes(
             .agg(
                 F.sum("size").alias("bytes"),
                 F.count(F.lit(1)).alias("rows"),
+                F.sum(load).alias("load"),
                 F.min("key").alias("low"),
                 F.max("key").alias("high"),
             )
             .toPandas()
             .sort_values("range")
         )
-        over = held[(held["bytes"] > limit) & (held["rows"] > 1)]
-        found = _subdivide(rows, ranges, over, total / n_ranges, seed) if len(over) else set()
+        full = (held["bytes"] > 2 * mean_bytes) | (held["rows"] > 2 * mean_rows)
+        over = held[full & (held["rows"] > 1)]
+        found = _subdivide(rows, ranges, over, load, seed) if len(over) else set()
         grown = ranges.with_bounds(found)
         if len(grown.key) == len(ranges.key):
             break
         ranges = grown
+    return ranges, held
 
-    shard_of, before = _shards_of_ranges(held, ranges, shards, total)
-    size = int(held["range"].max()) + 1
-    shard_list, before_list = [0] * size, [0] * size
-    for r, s, b in zip(held["range"], shard_of, before):
-        shard_list[r], before_list[r] = int(s), int(b)
-    in_range = F.row_number().over(Window.partitionBy("range").orderBy("key", "place"))
-    return (
-        rows.withColumn("range", ranges.column())
-        .withColumn("__n", in_range)
-        .select(
-            "doc_id",
-            "size",
-            "text_crc32",
-            F.lit(shard_list)[F.col("range")].alias("shard"),
-            (F.lit(before_list).cast("array<bigint>")[F.col("range")] + F.col("__n") - 1).alias("slot"),
-        )
-    )
 
-
-def _subdivide(rows: DataFrame, ranges: Ranges, over: pd.DataFrame, mean: float, seed: int) -> set[tuple[int, int]]:
-    """Bounds inside the overfull ranges, from samples of their own rows."""
+def _subdivide(rows: DataFrame, ranges: Ranges, over: pd.DataFrame, load: Column, seed: int) -> set[tuple[int, int]]:
+    """Bounds inside the overfull ranges, from samples of their own rows in proportion to ``load``."""
+    expected = load * F.lit(SAMPLES_PER_RANGE)
     chosen = rows.withColumn("range", ranges.column()).filter(F.col("range").isin(over["range"].tolist()))
-    drawn = _weighted_samples(
-        chosen, F.col("size") * F.lit(SAMPLES_PER_RANGE / mean), seed + 1 + len(ranges.key)
-    ).select("range", "key", "place", "size")
+    sampled = (
+        _weighted_samples(chosen, expected, seed + 1 + len(ranges.key))
+        .select("range", "key", "place", F.greatest(expected, F.lit(1.0)).alias("weight"))
+        .toPandas()
+    )
     found: set[tuple[int, int]] = set()
-    unit = mean / SAMPLES_PER_RANGE
-    sampled = drawn.toPandas()
-    sampled["weight"] = np.maximum(sampled["size"].to_numpy(float), unit)
     by_range = dict(list(sampled.groupby("range")))
-    for r, bytes_, low, high in over[["range", "bytes", "low", "high"]].itertuples(index=False):
+    for r, held, low, high in over[["range", "load", "low", "high"]].itertuples(index=False):
         if r not in by_range:
             continue
-        own, parts = by_range[r], int(-(-bytes_ // mean))
+        own, parts = by_range[r], max(2, int(np.ceil(held)))
         if low == high:
             places = _cuts(own["place"].to_numpy(), own["weight"].to_numpy(), parts)
             found |= {(int(low), p) for p in places}

@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import mixing, sharding
 from tests.compare import compare, duck_connection
@@ -45,6 +46,24 @@ def test_shards_are_even_with_a_hot_text(ready, work):
     assert sum(len(s) > 1 for s in homes.values()) == 1
 
 
+def test_ranges_are_even_in_rows_too(ready, work):
+    """Empty and null texts weigh next to nothing, but no task gets a third of all rows."""
+    rows = [(i if i % 3 else None, "" if i % 2 else None, "s") for i in range(3000)]
+    rows += [(3000 + i, f"text {i} " * 20, "s") for i in range(3000)]
+    docs = make_docs(ready, rows).repartition(5)
+    checked(rows, sharding.shard_by_bytes(docs, work, 4).collect(), 4)
+    keys = docs.select(
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    saved = work.save(keys, "keys")
+    total = saved.agg(F.sum("size")).first()[0]
+    _, held = sharding._even_ranges(saved, total, 6000, 64, 11)
+    assert held["rows"].sum() == 6000 and held["bytes"].sum() == total
+    assert held["rows"].max() <= 2 * 6000 / 64 and held["bytes"].max() <= 2 * total / 64
+
+
 def test_written_shards_hold_whole_rows(ready, work):
     rows = [(i, f"text {i} " * (i % 5), "s") for i in range(200)]
     docs = make_docs(ready, rows)
