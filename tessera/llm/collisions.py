@@ -3,6 +3,8 @@
 Every vector is projected on many seeded Gaussian directions. For unit vectors
 at a given cosine the difference of two projections is Gaussian with a known
 spread, so windows, counts and recall are calibrated without looking at data.
+Only the number of directions in a group, which decides how much is compared
+and not what is found, also looks at how close unrelated vectors are.
 
 Each projection is cut into windows of one width at a random offset, which gives
 every vector a window number for each direction; no projection is sorted whole.
@@ -12,9 +14,9 @@ pairs of a cell. Their collisions over all directions are counted with windows
 centred on the query vector; pairs that reach the calibrated count are verified
 by their cosine in double precision.
 
-The number of directions in a group takes unrelated vectors to be about at
-right angles. Where they are not (a cloud with one common direction), recall
-holds, but cells hold more rows.
+In a cloud with a common direction unrelated vectors lie closer to each other.
+Groups then have more directions, so that cells stay small, and recall takes
+more groups.
 """
 
 from __future__ import annotations
@@ -35,8 +37,12 @@ from tessera.llm.simhash import forest
 
 # Window width of a cell, in units of a unit vector's projection spread.
 CELL = 2.0
-# Unrelated vectors that a cell holds on average; sets the directions in a group.
-CELL_ROWS = 24
+# What one more group costs for a vector, in comparisons: it is shuffled and projected again.
+COPY_COST = 100
+# Classes whose pairs tell how close unrelated vectors are, and bins of their cosines.
+SAMPLE = 1_024
+_BINS = 128
+_MOST_PER_GROUP = 64
 _BLOCK_ROWS = 4_096
 _PAIRS = 1 << 17
 
@@ -64,18 +70,51 @@ class Plan:
         return self.per_group * self.groups
 
 
-def calibrate(rows: int, cosine: float, cell_recall: float = 0.985, count_recall: float = 0.998) -> Plan:
+def background(vectors: list[np.ndarray], cosine: float) -> list[tuple[float, float]]:
+    """``(cosine, share)`` of the pairs of a sample that are below ``cosine``, in bins.
+
+    Pairs of different lengths do not count: they never share a cell. Without
+    any pair left, unrelated vectors are taken to be at right angles.
+    """
+    shares = np.zeros(_BINS)
+    edges = np.linspace(-1, cosine, _BINS + 1)
+    for dim in sorted({len(v) for v in vectors}):
+        units = unit_rows(np.stack([v for v in vectors if len(v) == dim]))
+        found = (units @ units.T)[np.triu_indices(len(units), 1)]
+        shares += np.histogram(found[found < cosine], edges)[0]
+    if not shares.sum():
+        return [(0.0, 1.0)]
+    some = np.flatnonzero(shares)
+    # A bin stands for its closest pairs.
+    return list(zip(edges[1:][some].tolist(), (shares[some] / shares.sum()).tolist()))
+
+
+def calibrate(
+    rows: int,
+    cosine: float,
+    unrelated: list[tuple[float, float]] | None = None,
+    cell_recall: float = 0.985,
+    count_recall: float = 0.998,
+) -> Plan:
     """Parameters that find a pair exactly at ``cosine`` with the product of both recalls.
 
-    The directions in a group grow with the logarithm of ``rows``, so that
-    unrelated vectors stay ``CELL_ROWS`` to a cell; the groups that recall then
-    takes grow with a small power of ``rows``. Closer pairs are found more
-    surely.
+    More directions a group leave fewer of the ``unrelated`` vectors (cosines
+    and shares, see :func:`background`) in a cell, and take more groups for
+    recall. The number with the least work is taken: comparisons in cells and
+    copies of vectors. Closer pairs are found more surely.
     """
     near = sqrt(2 - 2 * cosine)
-    p_near, p_far = _same_cell(near, CELL), _same_cell(sqrt(2), CELL)
-    per_group = max(1, ceil(log(max(2.0, rows / CELL_ROWS)) / -log(p_far)))
-    groups = max(1, ceil(log(1 - cell_recall) / log(1 - p_near**per_group)))
+    p_near = _same_cell(near, CELL)
+    far = [(_same_cell(sqrt(2 - 2 * c), CELL), share) for c, share in unrelated or [(0.0, 1.0)]]
+
+    def groups_of(k: int) -> int:
+        return max(1, ceil(log(1 - cell_recall) / log1p(-(p_near**k))))
+
+    def work(k: int) -> float:
+        return groups_of(k) * (COPY_COST + rows * sum(share * p**k for p, share in far))
+
+    per_group = min(range(1, _MOST_PER_GROUP + 1), key=work)
+    groups = groups_of(per_group)
     m, half_width = per_group * groups, 2 * near
     p = erf(2 / sqrt(2))
     least, above = m, p**m
@@ -202,13 +241,12 @@ def _linked(
     dims = np.array([len(b) for b in bodies])
     values = np.zeros((len(bodies), plan.directions), np.float32)
     cells = np.zeros((len(bodies), plan.groups), np.int64)
-    normed: list = [None] * len(bodies)
+    units_of, place = {}, np.zeros(len(bodies), np.int64)
     for dim in np.unique(dims):
         which = np.flatnonzero(dims == dim)
-        x = unit_rows(np.stack([bodies[i] for i in which]))
-        values[which], cells[which] = _project(x, plan, seed)
-        for k, i in enumerate(which):
-            normed[i] = x[k]
+        units_of[dim] = unit_rows(np.stack([bodies[i] for i in which]))
+        values[which], cells[which] = _project(units_of[dim], plan, seed)
+        place[which] = np.arange(len(which))
     earlier = np.arange(plan.groups)
     for i, j in _unit_pairs(starts, table["__side"].to_numpy()):
         new = (dims[i] == dims[j]) & ~((cells[i] == cells[j]) & (earlier < number[i][:, None])).any(axis=1)
@@ -219,9 +257,12 @@ def _linked(
             count[part] = (np.abs(values[i[part]] - values[j[part]]) <= plan.half_width).sum(axis=1)
         often = count >= plan.least
         i, j = i[often], j[often]
-        if len(i):
-            near = np.array([normed[a] @ normed[b] for a, b in zip(i, j)]) >= cosine
-            yield i[near], j[near]
+        for dim, x in units_of.items():
+            own = np.flatnonzero(dims[i] == dim)
+            for at in range(0, len(own), 8192):
+                a, b = i[own[at : at + 8192]], j[own[at : at + 8192]]
+                near = np.einsum("rd,rd->r", x[place[a]], x[place[b]]) >= cosine
+                yield a[near], b[near]
 
 
 def near_duplicates(
@@ -257,7 +298,9 @@ def near_duplicates(
         .withColumn("node", row_position()),
         "classes",
     )
-    plan = calibrate(classes.count(), cosine)
+    # By hash: at most SAMPLE vectors reach the driver, and decide nothing but the amount of work.
+    seen = [np.array(r["vector"], np.float64) for r in classes.orderBy("h1", "h2").limit(SAMPLE).select("vector").collect()]
+    plan = calibrate(classes.count(), cosine, background(seen, cosine))
     units = ["cell", "number", "__left", "__right"]
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "n")])
 

@@ -180,6 +180,54 @@ def test_calibrated_recall_at_the_bound():
         assert hit.mean() >= 0.95
 
 
+def _compared(cells):
+    """Pairs in cells, those of several groups counted in each."""
+    counts = [np.unique(c, return_counts=True)[1] for c in cells.T]
+    return sum(int((n * (n - 1) // 2).sum()) for n in counts)
+
+
+def test_clouds_with_a_common_direction():
+    """Unrelated vectors at a mean cosine of 0.8: cells stay small, and pairs at the bound are found."""
+    rng = np.random.default_rng(8)
+    # The share of all pairs that a table of a million such vectors compares, measured on some of them.
+    n, dim = 2_000, 64
+    common = collisions.unit_rows(rng.standard_normal((1, dim)))
+    own = collisions.unit_rows(rng.standard_normal((n, dim)))
+    a = collisions.unit_rows(np.sqrt(0.8) * common + np.sqrt(0.2) * own)
+    shares = collisions.background(list(a[: collisions.SAMPLE]), 0.95)
+    assert sum(share for _, share in shares) == pytest.approx(1)
+    assert sum(c * share for c, share in shares) == pytest.approx(0.8, abs=0.03)
+    plain, fitted = collisions.calibrate(10**6, 0.95), collisions.calibrate(10**6, 0.95, shares)
+    pairs = n * (n - 1) / 2
+    assert _compared(collisions._project(a, fitted, 5)[1]) < 0.05 * pairs
+    assert _compared(collisions._project(a, plain, 5)[1]) > 0.2 * pairs
+    other = rng.standard_normal((400, dim))
+    other -= (other * a[:400]).sum(axis=1, keepdims=True) * a[:400]
+    b = 0.951 * a[:400] + np.sqrt(1 - 0.951**2) * collisions.unit_rows(other)
+    (va, ca), (vb, cb) = collisions._project(a[:400], fitted, 5), collisions._project(b, fitted, 5)
+    hit = (ca == cb).any(axis=1) & ((np.abs(va - vb) <= fitted.half_width).sum(axis=1) >= fitted.least)
+    assert hit.mean() >= 0.95
+
+
+def test_background_of_nothing():
+    assert collisions.background([], 0.95) == [(0.0, 1.0)]
+    assert collisions.background([np.ones(3), np.ones(4), np.ones(3)], 0.95) == [(0.0, 1.0)]
+
+
+def test_links_in_a_cloud_by_brute_force(ready, work):
+    rng = np.random.default_rng(4)
+    own = collisions.unit_rows(rng.standard_normal((900, 24)))
+    own[600:] = collisions.unit_rows(own[:300] + 0.12 * rng.standard_normal((300, 24)))
+    x = collisions.unit_rows(np.sqrt(0.7) * np.eye(24)[0] + np.sqrt(0.3) * own)
+    near = x @ x.T >= 0.95
+    want = near.sum(axis=1) - 1
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = ready.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in collisions.near_duplicates(df, work).collect()}
+    links = np.array([got[i] for i in range(900)])
+    assert (links <= want).all() and links.sum() >= 0.95 * want.sum() and want.sum() >= 300
+
+
 def test_near_copies_share_a_class(ready, work):
     rng = random.Random(6)
     text = " ".join(f"w{rng.randint(0, 999)}" for _ in range(400))
