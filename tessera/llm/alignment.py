@@ -11,9 +11,10 @@ other. Pieces emit their links and the common ends they meet; put one after
 the other, common ends cut the tokens into groups, also those that begin in
 one piece and end in a later one.
 
-Work is done by blocks of documents of bounded size. A block lists its distinct
-linked id pairs once; those lists, not links, are counted over the corpus and
-given back to their blocks.
+Work is done by blocks of documents of bounded size. A block is encoded and
+merged slice by slice, of which only links as numbers and written groups stay in
+memory. It lists its distinct linked id pairs once; those lists, not links, are
+counted over the corpus and given back to their blocks.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from tessera.llm.tokens import byte_letters, text_slices
 PIECE = 256
 # Text that one block holds; a longer text is a block by itself.
 BLOCK_BYTES = 4 << 20
+# Text of a block that is encoded and merged at a time; a longer text is a slice by itself.
+SLICE_BYTES = 256 << 10
 
 # Fixed value: how byte-level BPE cuts a text before merging.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -168,7 +171,9 @@ class Aligner:
         self._first_b = len(self._written)
         self._written += [f"{i}{end}" for i in range(self.size_b) for end in ",;"]
 
-    def block(self, texts: list[str | None]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    def block(
+        self, texts: list[str | None], slice_bytes: int = SLICE_BYTES
+    ) -> tuple[list[tuple], np.ndarray, np.ndarray]:
         """``(n_a, n_b, n_groups, n_links, groups, links)`` for each text; the pairs and their counts.
 
         ``links`` holds four bytes a link, compressed: its place in the block's
@@ -178,6 +183,27 @@ class Aligner:
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=3).compress
+        # Pairs fit in four bytes unless the vocabularies are very large.
+        kind = np.min_scalar_type(len(self._length_a) * self.size_b)
+        rows: list[tuple] = []
+        links = [np.empty(0, kind)]
+        for at, to in text_slices(pa.array(texts, pa.large_string()), slice_bytes):
+            some, linked = self._slice(texts[at:to])
+            rows += some
+            links.append(linked.astype(kind))
+        pairs, place, counts = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
+        by_count = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(pairs), "<u4")
+        rank[by_count] = np.arange(len(pairs))
+        place = rank[place]
+        done = 0
+        for i, row in enumerate(rows):
+            rows[i] = (*row, pack(place[done : done + row[3]].tobytes()))
+            done += row[3]
+        return rows, pairs[by_count].astype(np.int64), counts[by_count]
+
+    def _slice(self, texts: list[str | None]) -> tuple[list[tuple], np.ndarray]:
+        """``(n_a, n_b, n_groups, n_links, groups)`` for each text; the pair of every link, in order."""
         own = [i for i, t in enumerate(texts) if t]
         raw = [" " + texts[i] for i in own]
         ids_a, ids_b = self._a.encode(raw), self._b.encode([texts[i] for i in own])
@@ -188,17 +214,10 @@ class Aligner:
         ]
         own, ids_a, ids_b = ([x for x, ok in zip(y, whole) if ok] for y in (own, ids_a, ids_b))
         flat_a, flat_b, from_a, from_b = _flat(ids_a), _flat(ids_b), _bounds(ids_a), _bounds(ids_b)
-        # All texts of the block lie end to end, so a text's end is a common end.
+        # All texts of the slice lie end to end, so a text's end is a common end.
         link_a, link_b, to_a, to_b = merge(np.cumsum(self._length_a[flat_a]), np.cumsum(self._length_b[flat_b]))
-        pairs, place, counts = np.unique(
-            flat_a[link_a] * self.size_b + flat_b[link_b], return_inverse=True, return_counts=True
-        )
         from_group = np.searchsorted(to_a, from_a, "right")
         from_link = np.searchsorted(link_a, from_a, "left")
-        by_count = np.argsort(-counts, kind="stable")
-        rank = np.empty(len(pairs), "<u4")
-        rank[by_count] = np.arange(len(pairs))
-        pairs, counts, place = pairs[by_count], counts[by_count], rank[place]
 
         # A's tokens of a group, then B's.
         order = np.empty(len(flat_a) + len(flat_b), np.int64)
@@ -207,20 +226,18 @@ class Aligner:
         before_b = np.concatenate([[0], to_b])
         order[place_a + before_b[group_a]] = 2 * flat_a + (place_a + 1 == to_a[group_a])
         order[place_b + to_a[group_b]] = self._first_b + 2 * flat_b + (place_b + 1 == to_b[group_b])
-        rows: list[tuple] = [(0, 0, 0, 0, "", pack(b""))] * len(texts)
+        rows: list[tuple] = [(0, 0, 0, 0, "")] * len(texts)
         written = self._written.__getitem__
         for k, i in enumerate(own):
             a0, a1, b0, b1 = from_a[k], from_a[k + 1], from_b[k], from_b[k + 1]
-            l0, l1 = from_link[k], from_link[k + 1]
             rows[i] = (
                 int(a1 - a0),
                 int(b1 - b0),
                 int(from_group[k + 1] - from_group[k]),
-                int(l1 - l0),
+                int(from_link[k + 1] - from_link[k]),
                 "".join(map(written, order[a0 + b0 : a1 + b1].tolist()))[:-1],
-                pack(place[l0:l1].tobytes()),
             )
-        return rows, pairs, counts
+        return rows, flat_a[link_a] * self.size_b + flat_b[link_b]
 
 
 def align(

@@ -3,6 +3,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -145,6 +146,29 @@ def test_block_size_does_not_change_results(ready, libraries, monkeypatch, tmp_p
     assert whole == cut
 
 
+@pytest.mark.parametrize("limit", [1, 500, 4000])
+def test_slices_do_not_change_a_block(libraries, limit):
+    texts = [t for _, t, _ in odd_rows()]
+    aligner = alignment.Aligner(*PATHS)
+    (rows, pairs, counts), (cut, cut_pairs, cut_counts) = aligner.block(texts), aligner.block(texts, limit)
+    assert rows == cut and pairs.tolist() == cut_pairs.tolist() and counts.tolist() == cut_counts.tolist()
+    assert [len(r) for r in aligner.block([])] == [0, 0, 0]
+
+
+def test_a_block_takes_little_memory():
+    """Tokens and merge steps are held for a slice, not for the block: 111 bytes a byte of text before."""
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(1, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(600)]
+    aligner = alignment.Aligner(*PATHS)
+    aligner.block(texts[:5])
+    tracemalloc.start()
+    aligner.block(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 * sum(map(len, texts))
+
+
 def test_whole_small_table(ready, libraries):
     docs = ready.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     got = {r["doc_id"]: tuple(r[n] for n in NAMES) for r in QUERIES["op11_token_alignment"](ready, SF).collect()}
