@@ -12,30 +12,41 @@ over shards, what reaches the least frequency goes back to the shards that
 hold it, and the next depth extends that. Contexts are sorted as deep as the
 longest phrase needs, no deeper.
 
+Most n-grams of frequent parts are rare themselves. So before a depth is
+extended, shards count its n-grams by a hash of 32 bits (Park, Chen and Yu,
+1995): sorted lists of buckets and counts, about two bytes an entry, are summed
+over shards, and buckets that reach the least frequency come back. Only their
+places stay in the text that is indexed, and only their n-grams become rows.
+
 No phrase is lost on the way: a phrase is never more frequent than its prefix
-and its suffix. A shard lists each n-gram once, so no key has more rows than
-there are shards, and a frequent word costs no more rows than another.
+and its suffix, nor than its bucket. A shard lists each n-gram once, so no key
+has more rows than there are shards, and a frequent word costs no more rows than
+another.
 """
 
 from __future__ import annotations
 
+import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tessera.llm.common import Scratch, check_columns, col, dense_index, row_position
+from tessera.llm.common import Scratch, check_columns, col, dense_index, parts_for, row_position
 
 # Words of the shards that one task holds open; a longer text is a shard by itself.
 SHARD_WORDS = 4_000_000
 # Contexts are sorted to four words, so phrases have five at most.
 MOST_WORDS = 5
 
+# Fixed value: an odd 64-bit multiplier.
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 # A-Z become lower case, these characters end a piece, a tab is a space.
 _BREAK = b"\xff"  # in no UTF-8 text
 _FOLD = bytes.maketrans(
@@ -106,18 +117,21 @@ class _Half:
 
 
 def longer_grams(
-    text: np.ndarray, at: np.ndarray, width: int
+    text: np.ndarray, at: np.ndarray | None, width: int, words: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """N-grams one word longer than the known ones, both of whose parts are known.
 
-    ``at`` holds a place in ``text`` of every known n-gram of ``width`` words.
+    ``at`` holds a place in ``text`` of every known n-gram of ``width`` words;
+    or ``words`` has their words, a row each, and they may be missing there.
     Returns ``prefix, suffix`` (which of the known ones), ``count`` and ``at``
     for each, and the places of ``text`` that known n-grams cover.
     """
-    words = text[at[:, None] + np.arange(width)].astype(np.int64)
+    if words is None:
+        words = text[at[:, None] + np.arange(width)]
+    words = words.astype(np.int64)
     ahead, back = _Half(text, 1), _Half(text, -1)
-    low, count = ahead.search((words[:, k] for k in reversed(range(width))), len(at))
-    low_back, _ = back.search((words[:, k] for k in range(width)), len(at))
+    low, count = ahead.search((words[:, k] for k in reversed(range(width))), len(words))
+    low_back, _ = back.search((words[:, k] for k in range(width)), len(words))
 
     of_suffix, left, _, counted, row = ahead.extend(low, count)
     of_prefix, _, smaller, _, _ = back.extend(low_back, count)
@@ -151,12 +165,68 @@ def restricted(text: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (np.cumsum(used) - 1)[out].astype("<i4"), np.cumsum(stays)
 
 
+def buckets(text: np.ndarray, marks: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places from which ``width`` words of one piece follow, and a 32-bit hash of those words' ``marks``."""
+    places = max(0, len(text) - width + 1)
+    hashed, whole = np.zeros(places, np.uint64), np.ones(places, bool)
+    for k in range(width):
+        word = text[k : k + places]
+        hashed = (hashed ^ (hashed >> np.uint64(29)) ^ marks[word]) * _MIX
+        whole &= word > 0
+    at = np.flatnonzero(whole)
+    return at, (hashed[at] >> np.uint64(32)).astype("<u4")
+
+
+def _packed(sorted_: np.ndarray, *more: np.ndarray) -> bytes:
+    """Sorted 32-bit numbers as gaps, and others beside them, byte planes compressed."""
+    import zstandard
+
+    numbers = np.concatenate([np.diff(sorted_, prepend=sorted_.dtype.type(0)), *more]).astype("<u4")
+    return zstandard.ZstdCompressor(level=1).compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked(packed: bytes, columns: int) -> np.ndarray:
+    """What ``_packed`` was given, a row each."""
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(4, -1)
+    numbers = np.ascontiguousarray(planes.T).view("<u4").reshape(columns, -1).copy()
+    numbers[0] = np.cumsum(numbers[0], dtype=np.uint32)
+    return numbers
+
+
+def bucket_lists(text: np.ndarray, marks: np.ndarray, width: int, parts: int) -> list[bytes | None]:
+    """Buckets of all n-grams of ``width`` words with their counts, packed, in ``parts`` equal ranges of buckets."""
+    found, count = np.unique(buckets(text, marks, width)[1], return_counts=True)
+    cut = np.searchsorted(found, np.arange(parts + 1, dtype=np.int64) * 2**32 // parts)
+    return [_packed(found[a:b], count[a:b]) if b > a else None for a, b in zip(cut[:-1], cut[1:])]
+
+
+def _passing(lists: DataFrame, least: int) -> DataFrame:
+    """``of, passing``: each shard's buckets that all shards together reach ``least`` times, a row a part."""
+    schema = T.StructType([T.StructField("of", T.LongType()), T.StructField("passing", T.BinaryType())])
+
+    def total(rows: pa.Table) -> pa.Table:
+        each = [_unpacked(x, 2) for x in rows["list"].to_pylist()]
+        bucket, count = np.concatenate(each, axis=1)
+        place = np.unique(bucket, return_inverse=True)[1]
+        passes = (np.bincount(place, count) >= least)[place]
+        ends = np.cumsum([x.shape[1] for x in each])
+        left = [bucket[b - x.shape[1] : b][passes[b - x.shape[1] : b]] for b, x in zip(ends, each)]
+        packed = [_packed(x) if len(x) else None for x in left]
+        answer = pa.table([rows["shard"], pa.array(packed, pa.binary())], schema=to_arrow_schema(schema))
+        return answer.filter(pc.is_valid(answer["passing"]))
+
+    return lists.groupBy("part").applyInArrow(total, schema)
+
+
 def shards(
-    docs: DataFrame, scratch: Scratch, lang_col: str, text_col: str, shard_words: int = SHARD_WORDS
+    docs: DataFrame, scratch: Scratch, lang_col: str, text_col: str, shard_words: int, parts: int
 ) -> DataFrame:
     """``shard, lang, n, ids, words``: texts by language, and each word with its count and a place.
 
-    Shards are made where the documents are read; no text is shuffled.
+    ``lists`` has the buckets of pairs of words. Shards are made where the
+    documents are read; no text is shuffled.
     """
     schema = T.StructType(
         [
@@ -166,6 +236,7 @@ def shards(
             T.StructField("words", T.ArrayType(T.StringType())),
             T.StructField("counts", T.ArrayType(T.LongType())),
             T.StructField("places", T.ArrayType(T.LongType())),
+            T.StructField("lists", T.ArrayType(T.BinaryType())),
         ]
     )
 
@@ -177,11 +248,15 @@ def shards(
 
         def shard(lang: str) -> pa.RecordBatch:
             text = np.frombuffer(ids.pop(lang), np.int32)
-            words = [w.decode() for w in list(numbers.pop(lang))[1:]]
+            words = list(numbers.pop(lang))[1:]
+            own = zlib.crc32(lang.encode() + b"\0")
+            marks = np.array([0, *(zlib.crc32(w, own) for w in words)], np.uint64)
+            words = [w.decode() for w in words]
             counts = np.bincount(text, minlength=len(words) + 1)[1:]
             places = np.empty(len(words) + 1, np.int64)
             places[text[::-1]] = np.arange(len(text))[::-1]
             values = [lang, int(counts.sum()), text.astype("<i4").tobytes(), words, counts.tolist(), places[1:].tolist()]
+            values.append(bucket_lists(text, marks, 2, parts))
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], schema=arrow)
 
         for batch in batches:
@@ -209,37 +284,79 @@ def shards(
     return dense_index(saved, "row", "shard").drop("row")
 
 
-_STEP = T.StructType([T.StructField("ids", T.BinaryType())] + [
-    T.StructField(n, T.LongType()) for n in ("shard", "prefix", "suffix", "count", "at")
+def _mark(lang: Column, word: Column) -> Column:
+    """The mark that :func:`shards` gives a word."""
+    return F.crc32(F.concat(lang, F.lit("\0"), word))
+
+
+_STEP = T.StructType([T.StructField(n, T.BinaryType()) for n in ("ids", "marks", "list")] + [
+    T.StructField(n, T.LongType()) for n in ("part", "shard", "prefix", "suffix", "count", "at")
 ])
 
 
-def _deeper(texts: DataFrame, known: DataFrame, width: int, last: bool) -> DataFrame:
-    """The shards' n-grams of ``width + 1`` words, and (unless ``last``) what is left of their texts."""
+def _deeper(texts: DataFrame, known: DataFrame, passing: DataFrame, width: int, last: bool, parts: int) -> DataFrame:
+    """The shards' n-grams of ``width + 1`` words whose buckets pass.
+
+    Unless ``last``, also what is left of their texts, with the marks of its
+    words, and the buckets of its n-grams of ``width + 2`` words.
+    """
 
     def step(texts: pa.Table, known: pa.Table) -> pa.Table:
         arrow = to_arrow_schema(_STEP)
-        if not texts.num_rows or not known.num_rows:
+
+        def rows(n: int, **columns) -> pa.Table:
+            return pa.table([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in arrow], schema=arrow)
+
+        listed = [_unpacked(x, 1)[0] for x in known["passing"].drop_null().to_pylist()]
+        known = known.filter(pc.is_valid(known["gram"]))
+        if not texts.num_rows or not known.num_rows or not listed:
             return arrow.empty_table()
-        shard = known["of"][0].as_py()
+        shard = texts["shard"][0].as_py()
         text = np.frombuffer(texts["ids"][0].as_py(), "<i4")
         at, gram = known["at"].to_numpy(), known["gram"].to_numpy()
         if width == 1:
-            frequent = np.zeros(int(text.max()) + 1, bool)
+            frequent, marks = np.zeros(int(text.max()) + 1, bool), np.zeros(int(text.max()) + 1, np.uint64)
             frequent[text[at]] = True
-            text, moved = restricted(text, frequent[text])
-            at = moved[at]
-        prefix, suffix, count, found, covered = longer_grams(text, at, width)
-        rows = [pa.nulls(len(count), pa.binary()), np.full(len(count), shard), gram[prefix], gram[suffix], count]
+            marks[text[at]] = known["mark"].to_numpy()
+            text = np.where(frequent[text], text, 0)
+        else:
+            marks = np.frombuffer(texts["marks"][0].as_py(), "<u4").astype(np.uint64)
+        words = text[at[:, None] + np.arange(width)]
+
+        start, bucket = buckets(text, marks, width + 1)
+        start = start[np.isin(bucket, np.concatenate(listed))]
+        if not len(start):
+            return arrow.empty_table()
+        cover = np.zeros(len(text) + 1, np.int64)
+        cover[start] += 1
+        np.subtract.at(cover, start + width + 1, 1)
+        keep = np.cumsum(cover[:-1]) > 0
+        left, moved = restricted(text, keep)
+        # Symbols are numbered anew; known n-grams that hold one which is gone are gone too.
+        symbol = np.zeros(len(marks), np.int64)
+        symbol[text[keep]] = left[moved[keep]]
+        left_marks = np.zeros(int(left.max()) + 1, "<u4")
+        left_marks[symbol[text[keep]]] = marks[text[keep]]
+        words = symbol[words]
+        there = (words > 0).all(axis=1)
+        gram = gram[there]
+        prefix, suffix, count, found, _ = longer_grams(left, None, width, words[there])
+        # N-grams that only stand where two that pass meet or overlap are not listed.
+        passes = np.zeros(len(left), bool)
+        passes[moved[start]] = True
+        prefix, suffix, count, found = (x[passes[found]] for x in (prefix, suffix, count, found))
+        n = len(count)
+        grams = rows(n, shard=np.full(n, shard), prefix=gram[prefix], suffix=gram[suffix], count=count, at=found)
         if last:
-            return pa.table([*rows, pa.array(found)], schema=arrow)
-        left, moved = restricted(text, covered)
-        grams = pa.table([*rows, pa.array(moved[found])], schema=arrow)
-        none = [pa.nulls(1, pa.int64())] * 4
-        whole = pa.table([pa.array([left.tobytes()], pa.binary()), pa.array([shard]), *none], schema=arrow)
-        return pa.concat_tables([whole, grams])
-
-    known = known.select(F.col("shard").alias("of"), "at", "gram")
+            return grams
+        whole = rows(1, shard=[shard], ids=[left.tobytes()], marks=[left_marks.tobytes()])
+        lists = bucket_lists(left, left_marks.astype(np.uint64), width + 2, parts)
+        held = [k for k, x in enumerate(lists) if x is not None]
+        lists = rows(len(held), shard=[shard] * len(held), part=held, list=[lists[k] for k in held])
+        return pa.concat_tables([whole, lists, grams])
+
+    known = known.select(F.col("shard").alias("of"), "at", "gram", "mark")
+    known = known.unionByName(passing, allowMissingColumns=True)
     return texts.groupBy("shard").cogroup(known.groupBy("of")).applyInArrow(step, _STEP)
 
 
@@ -279,23 +396,28 @@ def collocations(
     check_columns(docs, [lang_col, text_col])
     if not 2 <= max_words <= MOST_WORDS:
         raise ValueError(f"max_words must be 2 to {MOST_WORDS}")
-    texts = shards(docs, scratch, lang_col, text_col, shard_words)
+    parts = parts_for(docs.sparkSession)
+    texts = shards(docs, scratch, lang_col, text_col, shard_words, parts)
     totals = texts.groupBy("lang").agg(F.sum("n").alias("n"))
     listed = texts.select("shard", "lang", F.explode(F.arrays_zip("words", "counts", "places")).alias("x"))
     listed = listed.select(
         "shard", "lang", F.col("x.words").alias("word"), F.col("x.counts").alias("count"), F.col("x.places").alias("at")
     )
-    known = _frequent(listed, ["lang", "word"], least, scratch)
+    known = _frequent(listed, ["lang", "word"], least, scratch).withColumn("mark", _mark(F.col("lang"), F.col("word")))
     grams = _once(known).select(
         "gram", "lang", F.array("word").alias("words"), F.array("f").alias("heads"), F.array("f").alias("tails")
     )
     levels, inner = [], []
-    texts = texts.select("shard", "ids")
+    lists = texts.select("shard", F.posexplode("lists").alias("part", "list")).filter(F.col("list").isNotNull())
+    texts = texts.select("shard", "ids", F.lit(None).cast("binary").alias("marks"))
     for width in range(1, max_words):
-        found = scratch.save(_deeper(texts, known, width, width + 1 == max_words), "grams")
-        texts = found.filter(F.col("ids").isNotNull()).select("shard", "ids")
-        rows = found.filter(F.col("prefix").isNotNull()).drop("ids")
+        passing = _passing(lists, least)
+        found = scratch.save(_deeper(texts, known, passing, width, width + 1 == max_words, parts), "grams")
+        texts = found.filter(F.col("ids").isNotNull()).select("shard", "ids", "marks")
+        lists = found.filter(F.col("list").isNotNull()).select("shard", "part", "list")
+        rows = found.filter(F.col("prefix").isNotNull()).drop("ids", "marks", "list", "part")
         known = _frequent(rows, ["prefix", "suffix"], least, scratch)
+        known = known.withColumn("mark", F.lit(None).cast("long"))
         longer = _once(known).select(F.col("gram").alias("id"), "prefix", "suffix", "f")
         # ``heads`` and ``tails``: frequencies of the phrase's first and last 1, 2, ... words.
         tail = grams.select(F.col("gram").alias("suffix"), F.col("words").alias("w"), "tails")

@@ -103,6 +103,40 @@ def test_scores_are_exact_beyond_64_bits(ready, work):
     assert got["score"] == 1000 * a * n // (left * right)
 
 
+@pytest.mark.parametrize("shard", [200, 10**6])
+def test_rare_ngrams_are_not_listed(ready, work, shard):
+    """N-grams become rows in the shards only if they are frequent, though all of their words are."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=60)) + rng.choice([" x y z u v", "", " x y z"]), "s") for i in range(100)]
+    docs = make_docs(ready, rows).repartition(4)
+    got = found(co.collocations(docs, work, 30, 100, shard_words=shard))
+    assert got == brute([("en", t) for _, t, _ in rows], 30, 100)
+    frequent = Counter(g for _, t, _ in rows for w in range(2, 6) for g in zip(*[t.split()[k:] for k in range(w)]))
+    frequent = {g for g, n in frequent.items() if n >= 30}
+    shards = ready.read.parquet(f"{work.path}/0001-shards").count()
+    listed = ready.read.parquet(f"{work.path}/*-grams").filter("prefix is not null")
+    assert len(frequent) <= listed.count() <= len(frequent) * shards
+
+
+def test_bucket_lists_hold_every_ngram():
+    rng = random.Random(6)
+    text = np.array([0, *rng.choices(range(0, 30), k=2000), 0], np.int32)
+    marks = np.array([0, *rng.choices(range(2**32), k=29)], np.uint64)
+    for width in range(1, 6):
+        windows = Counter(w for w in zip(*[text[k:].tolist() for k in range(width)]) if 0 not in w)
+        at, bucket = co.buckets(text, marks, width)
+        assert len(at) == sum(windows.values())
+        of = {tuple(text[i : i + width].tolist()): int(b) for i, b in zip(at, bucket)}
+        want = Counter()
+        for w, n in windows.items():
+            want[of[w]] += n
+        for parts in (1, 7):
+            lists = [co._unpacked(x, 2).T.tolist() for x in co.bucket_lists(text, marks, width, parts) if x]
+            assert {b: n for part in lists for b, n in part} == want
+    assert co.bucket_lists(np.array([0], np.int32), marks, 2, 3) == [None] * 3
+
+
 def test_both_halves_find_the_same_rows():
     """An n-gram's interval starts where the other half says, at every depth."""
     rng = random.Random(5)
