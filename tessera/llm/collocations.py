@@ -17,6 +17,8 @@ extended, shards count its n-grams by a hash of 32 bits (Park, Chen and Yu,
 1995): sorted lists of buckets and counts, about two bytes an entry, are summed
 over shards, and buckets that reach the least frequency come back. Only their
 places stay in the text that is indexed, and only their n-grams become rows.
+What little is left of several shards of a language is laid end to end and
+indexed as one shard from then on, so an n-gram has few rows.
 
 No phrase is lost on the way: a phrase is never more frequent than its prefix
 and its suffix, nor than its bucket. A shard lists each n-gram once, so no key
@@ -38,10 +40,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tessera.llm.common import Scratch, check_columns, col, dense_index, parts_for, row_position
+from tessera.llm.common import Scratch, check_columns, col, dense_index, part_of, parts_for, place_in_part, row_position
 
 # Words of the shards that one task holds open; a longer text is a shard by itself.
 SHARD_WORDS = 4_000_000
+# Shards of a language that one task narrows and lays together hold so many times as many words.
+HOME_SHARDS = 2
 # Contexts are sorted to four words, so phrases have five at most.
 MOST_WORDS = 5
 
@@ -203,8 +207,10 @@ def bucket_lists(text: np.ndarray, marks: np.ndarray, width: int, parts: int) ->
 
 
 def _passing(lists: DataFrame, least: int) -> DataFrame:
-    """``of, passing``: each shard's buckets that all shards together reach ``least`` times, a row a part."""
-    schema = T.StructType([T.StructField("of", T.LongType()), T.StructField("passing", T.BinaryType())])
+    """``home, shard, passing``: each shard's buckets that all shards together reach ``least`` times, a row a part."""
+    schema = T.StructType(
+        [T.StructField("home", T.LongType()), T.StructField("shard", T.LongType()), T.StructField("passing", T.BinaryType())]
+    )
 
     def total(rows: pa.Table) -> pa.Table:
         each = [_unpacked(x, 2) for x in rows["list"].to_pylist()]
@@ -214,7 +220,7 @@ def _passing(lists: DataFrame, least: int) -> DataFrame:
         ends = np.cumsum([x.shape[1] for x in each])
         left = [bucket[b - x.shape[1] : b][passes[b - x.shape[1] : b]] for b, x in zip(ends, each)]
         packed = [_packed(x) if len(x) else None for x in left]
-        answer = pa.table([rows["shard"], pa.array(packed, pa.binary())], schema=to_arrow_schema(schema))
+        answer = pa.table([rows["home"], rows["shard"], pa.array(packed, pa.binary())], schema=to_arrow_schema(schema))
         return answer.filter(pc.is_valid(answer["passing"]))
 
     return lists.groupBy("part").applyInArrow(total, schema)
@@ -225,8 +231,8 @@ def shards(
 ) -> DataFrame:
     """``shard, lang, n, ids, words``: texts by language, and each word with its count and a place.
 
-    ``lists`` has the buckets of pairs of words. Shards are made where the
-    documents are read; no text is shuffled.
+    ``lists`` has the buckets of pairs of words, ``spread`` numbers to deal
+    shards by. Shards are made where the documents are read; no text is shuffled.
     """
     schema = T.StructType(
         [
@@ -281,7 +287,8 @@ def shards(
         F.coalesce(col(text_col), F.lit("")).alias("text"),
     )
     saved = scratch.save(read.mapInArrow(cut, schema).withColumn("row", row_position()), "shards")
-    return dense_index(saved, "row", "shard").drop("row")
+    row = F.col("row")
+    return dense_index(saved, "row", "shard").withColumn("spread", part_of(row) + place_in_part(row)).drop("row")
 
 
 def _mark(lang: Column, word: Column) -> Column:
@@ -294,70 +301,124 @@ _STEP = T.StructType([T.StructField(n, T.BinaryType()) for n in ("ids", "marks",
 ])
 
 
-def _deeper(texts: DataFrame, known: DataFrame, passing: DataFrame, width: int, last: bool, parts: int) -> DataFrame:
-    """The shards' n-grams of ``width + 1`` words whose buckets pass.
+class _Narrowed:
+    """What is left of a shard's text: places of n-grams of ``width + 1`` words whose bucket passes.
 
-    Unless ``last``, also what is left of their texts, with the marks of its
-    words, and the buckets of its n-grams of ``width + 2`` words.
+    ``words`` and ``gram`` are the known n-grams that are still there, ``passes``
+    tells where those that pass begin.
     """
 
-    def step(texts: pa.Table, known: pa.Table) -> pa.Table:
-        arrow = to_arrow_schema(_STEP)
-
-        def rows(n: int, **columns) -> pa.Table:
-            return pa.table([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in arrow], schema=arrow)
-
-        listed = [_unpacked(x, 1)[0] for x in known["passing"].drop_null().to_pylist()]
-        known = known.filter(pc.is_valid(known["gram"]))
-        if not texts.num_rows or not known.num_rows or not listed:
-            return arrow.empty_table()
-        shard = texts["shard"][0].as_py()
-        text = np.frombuffer(texts["ids"][0].as_py(), "<i4")
-        at, gram = known["at"].to_numpy(), known["gram"].to_numpy()
-        if width == 1:
-            frequent, marks = np.zeros(int(text.max()) + 1, bool), np.zeros(int(text.max()) + 1, np.uint64)
-            frequent[text[at]] = True
-            marks[text[at]] = known["mark"].to_numpy()
-            text = np.where(frequent[text], text, 0)
-        else:
-            marks = np.frombuffer(texts["marks"][0].as_py(), "<u4").astype(np.uint64)
-        words = text[at[:, None] + np.arange(width)]
-
+    def __init__(self, text: np.ndarray, marks: np.ndarray, words: np.ndarray, gram: np.ndarray, passing: np.ndarray):
+        width = words.shape[1]
         start, bucket = buckets(text, marks, width + 1)
-        start = start[np.isin(bucket, np.concatenate(listed))]
-        if not len(start):
-            return arrow.empty_table()
+        start = start[np.isin(bucket, passing)]
         cover = np.zeros(len(text) + 1, np.int64)
         cover[start] += 1
-        np.subtract.at(cover, start + width + 1, 1)
+        cover[start + width + 1] -= 1
         keep = np.cumsum(cover[:-1]) > 0
-        left, moved = restricted(text, keep)
+        self.text, moved = restricted(text, keep)
         # Symbols are numbered anew; known n-grams that hold one which is gone are gone too.
         symbol = np.zeros(len(marks), np.int64)
-        symbol[text[keep]] = left[moved[keep]]
-        left_marks = np.zeros(int(left.max()) + 1, "<u4")
-        left_marks[symbol[text[keep]]] = marks[text[keep]]
+        symbol[text[keep]] = self.text[moved[keep]]
+        self.marks = np.zeros(int(self.text.max()) + 1, np.uint64)
+        self.marks[symbol[text[keep]]] = marks[text[keep]]
         words = symbol[words]
         there = (words > 0).all(axis=1)
-        gram = gram[there]
-        prefix, suffix, count, found, _ = longer_grams(left, None, width, words[there])
-        # N-grams that only stand where two that pass meet or overlap are not listed.
-        passes = np.zeros(len(left), bool)
-        passes[moved[start]] = True
-        prefix, suffix, count, found = (x[passes[found]] for x in (prefix, suffix, count, found))
-        n = len(count)
-        grams = rows(n, shard=np.full(n, shard), prefix=gram[prefix], suffix=gram[suffix], count=count, at=found)
-        if last:
-            return grams
-        whole = rows(1, shard=[shard], ids=[left.tobytes()], marks=[left_marks.tobytes()])
-        lists = bucket_lists(left, left_marks.astype(np.uint64), width + 2, parts)
-        held = [k for k, x in enumerate(lists) if x is not None]
-        lists = rows(len(held), shard=[shard] * len(held), part=held, list=[lists[k] for k in held])
-        return pa.concat_tables([whole, lists, grams])
-
-    known = known.select(F.col("shard").alias("of"), "at", "gram", "mark")
-    known = known.unionByName(passing, allowMissingColumns=True)
-    return texts.groupBy("shard").cogroup(known.groupBy("of")).applyInArrow(step, _STEP)
+        self.words, self.gram = words[there], gram[there]
+        self.passes = np.zeros(len(self.text), bool)
+        self.passes[moved[start]] = True
+
+    def lay(self, others: list[_Narrowed]) -> None:
+        """Lay others behind this one; all know their words by the same numbers."""
+        every = [self, *others]
+        grams, place = np.unique(np.concatenate([x.gram for x in every]), return_inverse=True)
+        marks, done, texts = np.zeros(len(grams) + 1, np.uint64), 0, []
+        for x in every:
+            symbol = np.zeros(len(x.marks), np.int64)
+            symbol[x.words[:, 0]] = 1 + place[done : done + len(x.gram)]
+            done += len(x.gram)
+            marks[symbol[1:]] = x.marks[1:]
+            texts.append(symbol[x.text])
+        self.text, self.marks = np.concatenate(texts).astype("<i4"), marks
+        self.words, self.gram = np.arange(1, len(grams) + 1)[:, None], grams
+        self.passes = np.concatenate([x.passes for x in every])
+
+
+def _deeper(
+    texts: DataFrame, known: DataFrame, passing: DataFrame, width: int, last: bool, parts: int, shard_words: int
+) -> DataFrame:
+    """The shards' n-grams of ``width + 1`` words whose buckets pass.
+
+    Unless ``last``, also what is left of their texts, with the marks of its
+    words, and the buckets of its n-grams of ``width + 2`` words. Shards with one
+    ``home`` become one while ``shard_words`` are left of them, named after the
+    first.
+    """
+
+    def step(texts: pa.Table, known: pa.Table) -> pa.Table:
+        arrow = to_arrow_schema(_STEP)
+        out = [arrow.empty_table()]
+        known = known.sort_by("shard")
+        shard_of = known["shard"].to_numpy()
+
+        def rows(n: int, **columns) -> pa.Table:
+            return pa.table([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in arrow], schema=arrow)
+
+        def narrowed(shard: int, row: int) -> _Narrowed | None:
+            first, end = np.searchsorted(shard_of, [shard, shard + 1])
+            own = known.slice(first, end - first)
+            listed = [_unpacked(x, 1)[0] for x in own["passing"].drop_null().to_pylist()]
+            own = own.filter(pc.is_valid(own["gram"]))
+            if not own.num_rows or not listed:
+                return None
+            text = np.frombuffer(texts["ids"][row].as_py(), "<i4")
+            at, gram = own["at"].to_numpy(), own["gram"].to_numpy()
+            if width == 1:
+                frequent, marks = np.zeros(int(text.max()) + 1, bool), np.zeros(int(text.max()) + 1, np.uint64)
+                frequent[text[at]] = True
+                marks[text[at]] = own["mark"].to_numpy()
+                text = np.where(frequent[text], text, 0)
+            else:
+                marks = np.frombuffer(texts["marks"][row].as_py(), "<u4").astype(np.uint64)
+            left = _Narrowed(text, marks, text[at[:, None] + np.arange(width)], gram, np.concatenate(listed))
+            return left if left.passes.any() else None
+
+        def listed(shard: int, left: _Narrowed) -> None:
+            prefix, suffix, count, found, _ = longer_grams(left.text, None, width, left.words)
+            # N-grams that only stand where two that pass meet or overlap are not listed.
+            prefix, suffix, count, found = (x[left.passes[found]] for x in (prefix, suffix, count, found))
+            n = len(count)
+            named = dict(prefix=left.gram[prefix], suffix=left.gram[suffix], count=count, at=found)
+            out.append(rows(n, shard=np.full(n, shard), **named))
+            if not last:
+                marks = left.marks.astype("<u4").tobytes()
+                out.append(rows(1, shard=[shard], ids=[left.text.tobytes()], marks=[marks]))
+                lists = bucket_lists(left.text, left.marks, width + 2, parts)
+                held = [k for k, x in enumerate(lists) if x is not None]
+                out.append(rows(len(held), shard=[shard] * len(held), part=held, list=[lists[k] for k in held]))
+
+        open_: list[tuple[int, _Narrowed]] = []
+
+        def close() -> None:
+            if open_:
+                (shard, first), *others = open_
+                if others:
+                    first.lay([x for _, x in others])
+                open_.clear()
+                listed(shard, first)
+
+        for row, shard in sorted(enumerate(texts["shard"].to_pylist()), key=lambda x: x[1]):
+            left = narrowed(shard, row)
+            if left is not None:
+                if sum(len(x.text) for _, x in open_) + len(left.text) > shard_words:
+                    close()
+                open_.append((shard, left))
+        close()
+        return pa.concat_tables(out)
+
+    known = known.select(F.col("home").alias("of"), "shard", "at", "gram", "mark")
+    known = known.unionByName(passing.withColumnRenamed("home", "of"), allowMissingColumns=True)
+    return texts.groupBy("home").cogroup(known.groupBy("of")).applyInArrow(step, _STEP)
 
 
 def _frequent(rows: DataFrame, key: list[str], least: int, scratch: Scratch) -> DataFrame:
@@ -399,22 +460,26 @@ def collocations(
     parts = parts_for(docs.sparkSession)
     texts = shards(docs, scratch, lang_col, text_col, shard_words, parts)
     totals = texts.groupBy("lang").agg(F.sum("n").alias("n"))
-    listed = texts.select("shard", "lang", F.explode(F.arrays_zip("words", "counts", "places")).alias("x"))
+    homes = totals.select("lang", F.floor(F.col("n") / (HOME_SHARDS * shard_words) + 1).alias("homes"))
+    texts = texts.join(F.broadcast(homes), "lang").withColumn("home", F.xxhash64("lang", F.pmod("spread", "homes")))
+    listed = texts.select("shard", "home", "lang", F.explode(F.arrays_zip("words", "counts", "places")).alias("x"))
     listed = listed.select(
-        "shard", "lang", F.col("x.words").alias("word"), F.col("x.counts").alias("count"), F.col("x.places").alias("at")
+        "shard", "home", "lang", F.col("x.words").alias("word"), F.col("x.counts").alias("count"), F.col("x.places").alias("at")
     )
     known = _frequent(listed, ["lang", "word"], least, scratch).withColumn("mark", _mark(F.col("lang"), F.col("word")))
     grams = _once(known).select(
         "gram", "lang", F.array("word").alias("words"), F.array("f").alias("heads"), F.array("f").alias("tails")
     )
     levels, inner = [], []
-    lists = texts.select("shard", F.posexplode("lists").alias("part", "list")).filter(F.col("list").isNotNull())
-    texts = texts.select("shard", "ids", F.lit(None).cast("binary").alias("marks"))
+    lists = texts.select("shard", "home", F.posexplode("lists").alias("part", "list")).filter(F.col("list").isNotNull())
+    texts = texts.select("shard", "home", "ids", F.lit(None).cast("binary").alias("marks"))
     for width in range(1, max_words):
         passing = _passing(lists, least)
-        found = scratch.save(_deeper(texts, known, passing, width, width + 1 == max_words, parts), "grams")
-        texts = found.filter(F.col("ids").isNotNull()).select("shard", "ids", "marks")
-        lists = found.filter(F.col("list").isNotNull()).select("shard", "part", "list")
+        last = width + 1 == max_words
+        found = scratch.save(_deeper(texts, known, passing, width, last, parts, shard_words), "grams")
+        found = found.withColumn("home", F.col("shard"))
+        texts = found.filter(F.col("ids").isNotNull()).select("shard", "home", "ids", "marks")
+        lists = found.filter(F.col("list").isNotNull()).select("shard", "home", "part", "list")
         rows = found.filter(F.col("prefix").isNotNull()).drop("ids", "marks", "list", "part")
         known = _frequent(rows, ["prefix", "suffix"], least, scratch)
         known = known.withColumn("mark", F.lit(None).cast("long"))

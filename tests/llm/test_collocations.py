@@ -119,6 +119,18 @@ def test_rare_ngrams_are_not_listed(ready, work, shard):
     assert len(frequent) <= listed.count() <= len(frequent) * shards
 
 
+def test_what_is_left_of_shards_is_one_shard(ready, work):
+    """Shards of a language that hold a few frequent n-grams list each of them once, not once a shard."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"r{rng.randrange(10**6)}" for _ in range(60)) + ", big red dog", "s") for i in range(200)]
+    docs = make_docs(ready, rows).repartition(8)
+    got = found(co.collocations(docs, work, 100, 100, shard_words=4000))
+    assert got == brute([("en", t) for _, t, _ in rows], 100, 100)
+    assert ready.read.parquet(f"{work.path}/0001-shards").count() == 8
+    listed = ready.read.parquet(f"{work.path}/*-grams").filter("prefix is not null")
+    assert listed.count() == 3
+
+
 def test_bucket_lists_hold_every_ngram():
     rng = random.Random(6)
     text = np.array([0, *rng.choices(range(0, 30), k=2000), 0], np.int32)
