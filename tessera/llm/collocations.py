@@ -17,8 +17,8 @@ extended, shards count its n-grams by a hash of 32 bits (Park, Chen and Yu,
 1995): sorted lists of buckets and counts, about two bytes an entry, are summed
 over shards, and buckets that reach the least frequency come back. Only their
 places stay in the text that is indexed, and only their n-grams become rows.
-What little is left of several shards of a language is laid end to end and
-indexed as one shard from then on, so an n-gram has few rows.
+What little is left of several shards of a language is laid end to end and is
+one shard from then on, indexed by stretches, so an n-gram has few rows.
 
 No phrase is lost on the way: a phrase is never more frequent than its prefix
 and its suffix, nor than its bucket. A shard lists each n-gram once, so no key
@@ -45,7 +45,7 @@ from tessera.llm.common import Scratch, check_columns, col, dense_index, part_of
 # Words of the shards that one task holds open; a longer text is a shard by itself.
 SHARD_WORDS = 4_000_000
 # Shards of a language that one task narrows and lays together hold so many times as many words.
-HOME_SHARDS = 2
+HOME_SHARDS = 3
 # Contexts are sorted to four words, so phrases have five at most.
 MOST_WORDS = 5
 
@@ -301,6 +301,16 @@ _STEP = T.StructType([T.StructField(n, T.BinaryType()) for n in ("ids", "marks",
 ])
 
 
+def stretches(text: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of stretches of about ``most`` places that begin and end with a 0, which two share."""
+    zeros = np.flatnonzero(text == 0)
+    at, last = 0, len(text) - 1
+    while at < last:
+        to = int(zeros[min(np.searchsorted(zeros, at + most), len(zeros) - 1)])
+        yield at, to + 1
+        at = to
+
+
 class _Narrowed:
     """What is left of a shard's text: places of n-grams of ``width + 1`` words whose bucket passes.
 
@@ -351,8 +361,8 @@ def _deeper(
 
     Unless ``last``, also what is left of their texts, with the marks of its
     words, and the buckets of its n-grams of ``width + 2`` words. Shards with one
-    ``home`` become one while ``shard_words`` are left of them, named after the
-    first.
+    ``home`` become one, named after the first and indexed by stretches of
+    ``shard_words``.
     """
 
     def step(texts: pa.Table, known: pa.Table) -> pa.Table:
@@ -384,9 +394,16 @@ def _deeper(
             return left if left.passes.any() else None
 
         def listed(shard: int, left: _Narrowed) -> None:
-            prefix, suffix, count, found, _ = longer_grams(left.text, None, width, left.words)
+            each = []
+            for first, end in stretches(left.text, shard_words):
+                prefix, suffix, count, found, _ = longer_grams(left.text[first:end], None, width, left.words)
+                each.append((prefix * np.int64(len(left.gram)) + suffix, count, found + first))
+            pair, count, found = map(np.concatenate, zip(*each))
             # N-grams that only stand where two that pass meet or overlap are not listed.
-            prefix, suffix, count, found = (x[left.passes[found]] for x in (prefix, suffix, count, found))
+            pair, count, found = (x[left.passes[found]] for x in (pair, count, found))
+            pair, place, same = np.unique(pair, return_index=True, return_inverse=True)
+            prefix, suffix = np.divmod(pair, len(left.gram))
+            count, found = np.bincount(same, count, len(pair)).astype(np.int64), found[place]
             n = len(count)
             named = dict(prefix=left.gram[prefix], suffix=left.gram[suffix], count=count, at=found)
             out.append(rows(n, shard=np.full(n, shard), **named))
@@ -397,23 +414,13 @@ def _deeper(
                 held = [k for k, x in enumerate(lists) if x is not None]
                 out.append(rows(len(held), shard=[shard] * len(held), part=held, list=[lists[k] for k in held]))
 
-        open_: list[tuple[int, _Narrowed]] = []
-
-        def close() -> None:
-            if open_:
-                (shard, first), *others = open_
-                if others:
-                    first.lay([x for _, x in others])
-                open_.clear()
-                listed(shard, first)
-
-        for row, shard in sorted(enumerate(texts["shard"].to_pylist()), key=lambda x: x[1]):
-            left = narrowed(shard, row)
-            if left is not None:
-                if sum(len(x.text) for _, x in open_) + len(left.text) > shard_words:
-                    close()
-                open_.append((shard, left))
-        close()
+        held = sorted((shard, row) for row, shard in enumerate(texts["shard"].to_pylist()))
+        held = [(shard, left) for shard, row in held if (left := narrowed(shard, row)) is not None]
+        if held:
+            (shard, first), *others = held
+            if others:
+                first.lay([x for _, x in others])
+            listed(shard, first)
         return pa.concat_tables(out)
 
     known = known.select(F.col("home").alias("of"), "shard", "at", "gram", "mark")

@@ -124,13 +124,23 @@ def test_what_is_left_of_shards_is_one_shard(ready, work):
     rng = random.Random(4)
     rows = [(i, " ".join(f"r{rng.randrange(10**6)}" for _ in range(60)) + ", big red dog", "s") for i in range(200)]
     docs = make_docs(ready, rows).repartition(8)
-    got = found(co.collocations(docs, work, 100, 100, shard_words=4000))
+    got = found(co.collocations(docs, work, 100, 100, shard_words=5000))
     assert got == brute([("en", t) for _, t, _ in rows], 100, 100)
     assert ready.read.parquet(f"{work.path}/0001-shards").count() == 8
     listed = ready.read.parquet(f"{work.path}/*-grams").filter("prefix is not null")
     assert listed.count() == 3
 
 
+@pytest.mark.parametrize("most", [1, 5, 60, 10**6])
+def test_stretches_share_their_zeros(most):
+    rng = random.Random(most)
+    text = np.array([0, *rng.choices(range(0, 4), k=300), 0], np.int32)
+    cuts = list(co.stretches(text, most))
+    assert cuts[0][0] == 0 and cuts[-1][1] == len(text)
+    assert all(b == c + 1 for (_, b), (c, _) in zip(cuts, cuts[1:]))
+    assert all(text[a] == 0 == text[b - 1] for a, b in cuts)
+
+
 def test_bucket_lists_hold_every_ngram():
     rng = random.Random(6)
     text = np.array([0, *rng.choices(range(0, 30), k=2000), 0], np.int32)
