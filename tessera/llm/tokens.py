@@ -29,8 +29,9 @@ _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 _ODD = "[\x1c-\x1f]"
 _WORD_END = "\x01"
 _BETWEEN = "\n"
-# Text that is encoded at a time; a longer text is a slice by itself.
-SLICE_BYTES = 16 << 20
+# Text that is encoded at a time; a longer text is a slice by itself. A slice's
+# arrays take some ten times its bytes, in each worker beside the JVM.
+SLICE_BYTES = 2 << 20
 
 
 def byte_letters() -> dict[str, int]:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -45,6 +46,21 @@ def test_slices_do_not_change_ids(library, monkeypatch, limit):
     assert list(WordEncoder(tokenizer_path()).encode(pa.array([], pa.string()))) == []
 
 
+def test_encoding_takes_bounded_memory_beside_its_batch(library):
+    line = "plain words of a text that many other texts hold, "
+    texts = pa.array([f"{i} " + line * 200 for i in range(2_000)])
+    assert texts.nbytes > 19e6
+    encode = WordEncoder(tokenizer_path()).encode
+    tracemalloc.start()
+    try:
+        for ids in encode(texts):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 64e6
+    finally:
+        tracemalloc.stop()
+    assert np.frombuffer(ids, "<u4").tolist() == library(texts[-1].as_py())
+
+
 def test_segment_tree_finds_the_tightest_bin():
     rng = random.Random(1)
     for capacity in (1, 7, 64, 100):
